@@ -156,3 +156,25 @@ SELECT sensor_id, "timestamp", temperature, humidity, temperature_change,
        round(rolling_avg_temperature, 6) AS rolling_avg_temperature
 FROM feat ORDER BY sensor_id, "timestamp" LIMIT 10"""),
 }
+
+_RAW_COLS = 'event_id, sensor_id, "timestamp", temperature, humidity, source'
+
+ORACLE.update({
+    "src_csv": _with("""SELECT event_id, 'MANUFACTURING_01' AS sensor_id, "timestamp", temperature, humidity,
+       'csv' AS source FROM raw"""),
+    "src_json": _with("""SELECT event_id, sensor_id, "timestamp", temperature, humidity, 'api' AS source FROM raw"""),
+    "src_table": _with(
+        """SELECT event_id, sensor_id, "timestamp", temperature, humidity, 'database' AS source FROM raw"""),
+    "union_sources": _with("""SELECT event_id,
+       CASE WHEN source = 'csv' THEN 'MANUFACTURING_01' ELSE sensor_id END AS sensor_id,
+       "timestamp", temperature, humidity, source FROM raw"""),
+    "incremental_table": _with(
+        """SELECT event_id, sensor_id, "timestamp", temperature, humidity, 'database' AS source, 1 AS pull FROM raw"""),
+    "json_encode": _with(f"""SELECT {_RAW_COLS} FROM raw"""),
+    "json_decode": _with(f"""SELECT {_RAW_COLS} FROM raw"""),
+    "stream_valid": _with("""SELECT * FROM valid"""),
+    "stream_invalid": _with(f"""SELECT {_RAW_COLS}, reasons FROM tagged WHERE reasons <> ''"""),
+    "stream_dedup": _with("""SELECT DISTINCT * FROM valid""", raw=READINGS_DUP),
+    "stream_csv_ingest": _with("""SELECT event_id, NULLIF(sensor_id, '') AS sensor_id, "timestamp", temperature,
+       humidity, source FROM raw"""),
+})

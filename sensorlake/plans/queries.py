@@ -23,9 +23,21 @@ from ..operators.metrics import (
 from ..operators.splits import label_chrono, label_reference_current
 from ..operators.validate import dq_summary, reason_counts, validate_reading, with_reasons
 from ..schemas import FEATURE_STORE_COLUMNS, READING_COLUMNS
-from ..session import apply_runtime_conf, scratch_path
+from ..session import apply_runtime_conf, durable, scratch_path
+from ..sinks.files import ISO_TIME_TEXT, readings_to_json, readings_to_json_value, readings_to_wide_csv, write_csv
 from ..sinks.upsert import upsert
 from ..sources.events import readings_dup, readings_raw
+from ..sources.files import load_all, load_csv, load_json
+from ..sources.sqlite import load_table, pull_increment, write_shards
+from ..streaming.consumer import (
+    await_all,
+    csv_file_source,
+    deduplicate,
+    file_source,
+    parse_messages,
+    split_stream,
+    start_parquet,
+)
 from .export import export
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,3 +211,123 @@ def q_feature_peek(spark, sf_dir):
     """L1: the first 10 stored features by (sensor, time)."""
     peek = _feature_store(spark, sf_dir).orderBy("sensor_id", "timestamp").limit(10)
     return export(peek, ("rolling_avg_temperature",))
+
+
+# ------------------------------------------------------------ sources
+
+def _landing(spark, readings: DataFrame, name: str) -> str:
+    path = scratch_path(spark, name)
+    readings_to_json(readings, path)
+    return path
+
+
+@query("src_csv")
+def q_src_csv(spark, sf_dir):
+    """Readings exported as the wide process CSV, loaded back."""
+    path = scratch_path(spark, "wide-csv")
+    readings_to_wide_csv(readings_raw(spark, sf_dir), path)
+    return export(load_csv(spark, path, id_col="event_id"))
+
+
+@query("src_json")
+def q_src_json(spark, sf_dir):
+    """Reading objects in JSON landing files, loaded back."""
+    path = _landing(spark, readings_raw(spark, sf_dir), "json-landing")
+    return export(load_json(spark, path, source="api"))
+
+
+@query("src_table")
+def q_src_table(spark, sf_dir):
+    """S3: readings in SQLite files (one per task), read back by id range."""
+    paths = write_shards(readings_raw(spark, sf_dir), scratch_path(spark, "sqlite"))
+    return export(load_table(spark, paths))
+
+
+@query("union_sources")
+def q_union_sources(spark, sf_dir):
+    """Each row goes to the source named in its ``source`` column (csv
+    file, JSON landing, SQLite), and the three loads are unioned by name."""
+    raw = readings_raw(spark, sf_dir)
+    csv_path = scratch_path(spark, "wide-csv")
+    readings_to_wide_csv(raw.filter(F.col("source") == "csv"), csv_path)
+    json_path = _landing(spark, raw.filter(F.col("source") == "api"), "json-landing")
+    db = write_shards(raw.filter(F.col("source") == "database"), scratch_path(spark, "sqlite"))
+    return export(load_all(load_csv(spark, csv_path, id_col="event_id"),
+                           load_json(spark, json_path, source="api"), load_table(spark, db)))
+
+
+@query("incremental_table")
+def q_incremental_table(spark, sf_dir):
+    """Two pulls with a stored high-water mark: the first returns every
+    row, the second (no new ids) none. ``pull`` numbers the pull."""
+    paths = write_shards(readings_raw(spark, sf_dir), scratch_path(spark, "sqlite"))
+    offsets = scratch_path(spark, "offsets")
+    first = pull_increment(spark, paths, offsets, "raw_sensor_readings").withColumn("pull", F.lit(1))
+    first = durable(first)
+    second = pull_increment(spark, paths, offsets, "raw_sensor_readings").withColumn("pull", F.lit(2))
+    return export(first.unionByName(second))
+
+
+@query("json_encode")
+def q_json_encode(spark, sf_dir):
+    """Readings published as JSON values (text files), read back with
+    the generic JSON reader."""
+    path = _landing(spark, readings_raw(spark, sf_dir), "published")
+    return export(load_json(spark, path, source=None))
+
+
+@query("json_decode")
+def q_json_decode(spark, sf_dir):
+    """Message bytes + envelope -> typed readings."""
+    msgs = readings_to_json_value(readings_raw(spark, sf_dir)).select(
+        F.encode("value", "UTF-8").alias("value"), F.lit("raw-sensor-readings").alias("topic"),
+        F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"))
+    return export(parse_messages(msgs).select(*READING_COLUMNS))
+
+
+# ------------------------------------------------------------ streaming
+
+def _run_stream(spark, df: DataFrame, name: str) -> DataFrame:
+    base = scratch_path(spark, name)
+    q = start_parquet(df, f"{base}/out", f"{base}/checkpoint", available_now=True)
+    await_all([q])
+    return spark.read.parquet(f"{base}/out")
+
+
+def _stream_parsed(spark, readings: DataFrame, name: str) -> DataFrame:
+    landing = _landing(spark, readings, name)
+    return parse_messages(file_source(spark, landing))
+
+
+@query("stream_valid")
+def q_stream_valid(spark, sf_dir):
+    """Valid branch of the stream (one availableNow run)."""
+    valid, _ = split_stream(_stream_parsed(spark, readings_raw(spark, sf_dir), "stream-landing"))
+    return export(_run_stream(spark, valid.select(*READING_COLUMNS), "stream-valid"))
+
+
+@query("stream_invalid")
+def q_stream_invalid(spark, sf_dir):
+    """Rejects of the stream with reasons."""
+    _, invalid = split_stream(_stream_parsed(spark, readings_raw(spark, sf_dir), "stream-landing"))
+    return export(_run_stream(spark, invalid.select(*READING_COLUMNS, "reasons"), "stream-invalid"))
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """Watermark + dedup on (sensor_id, timestamp, source) over a
+    stream carrying repeated events."""
+    valid, _ = split_stream(_stream_parsed(spark, readings_dup(spark, sf_dir), "stream-landing"))
+    return export(_run_stream(spark, deduplicate(valid).select(*READING_COLUMNS), "stream-dedup"))
+
+
+@query("stream_csv_ingest")
+def q_stream_csv_ingest(spark, sf_dir):
+    """Simulator CSV files arriving one file per micro-batch."""
+    raw = readings_raw(spark, sf_dir)
+    folder = scratch_path(spark, "csv-landing")
+    write_csv(raw.select("sensor_id", F.date_format("timestamp", ISO_TIME_TEXT).alias("timestamp"),
+                         "temperature", "humidity", F.lit(False).alias("is_faulty"),
+                         F.lit(None).cast("string").alias("fault_type"), "source", "event_id")
+              .repartition(4), folder)
+    return export(_run_stream(spark, csv_file_source(spark, folder, max_files_per_trigger=1), "stream-csv"))
