@@ -178,3 +178,71 @@ ORACLE.update({
     "stream_csv_ingest": _with("""SELECT event_id, NULLIF(sensor_id, '') AS sensor_id, "timestamp", temperature,
        humidity, source FROM raw"""),
 })
+
+CALIBRATE = """,
+nums AS (SELECT event_id, temperature, humidity FROM raw WHERE temperature IS NOT NULL AND humidity IS NOT NULL),
+d AS (SELECT *, temperature - lag(temperature) OVER (ORDER BY event_id) AS dt,
+             humidity - lag(humidity) OVER (ORDER BY event_id) AS dh FROM nums),
+m AS (SELECT count(*) AS n_rows, avg(temperature) AS temp_mean, stddev_pop(temperature) AS temp_std,
+             min(temperature) AS temp_min, max(temperature) AS temp_max,
+             avg(humidity) AS hum_mean, stddev_pop(humidity) AS hum_std,
+             min(humidity) AS hum_min, max(humidity) AS hum_max,
+             least(stddev_pop(dt), stddev_pop(temperature) * 0.1) AS ts,
+             least(stddev_pop(dh), stddev_pop(humidity) * 0.1) AS hs,
+             covar_pop(temperature, humidity) AS cov, var_pop(temperature) AS var_t FROM d)
+SELECT CAST(n_rows AS BIGINT) AS n_rows, round(temp_mean, 6) AS temp_mean, round(temp_std, 6) AS temp_std,
+       round(temp_min, 6) AS temp_min, round(temp_max, 6) AS temp_max, round(hum_mean, 6) AS hum_mean,
+       round(hum_std, 6) AS hum_std, round(hum_min, 6) AS hum_min, round(hum_max, 6) AS hum_max,
+       round(CASE WHEN ts IS NULL OR ts = 0 THEN 1.0 ELSE ts END, 6) AS temp_step,
+       round(CASE WHEN hs IS NULL OR hs = 0 THEN 0.8 ELSE hs END, 6) AS hum_step,
+       round(CASE WHEN var_t > 0 THEN greatest(-2.0, least(2.0, cov / var_t)) ELSE -0.5 END, 6) AS coupling,
+       n_rows >= 3 AS enough_rows
+FROM m"""
+
+
+def _with_tail(tail: str, raw: str = READINGS_RAW) -> str:
+    """Extra CTEs after the shared ones, then the final SELECT."""
+    base = _with("", raw).rstrip()
+    return base + tail
+
+
+ORACLE.update({
+    "calibrate": _with_tail(CALIBRATE),
+    "feat_humidity_trend": _with("""
+SELECT event_id, sensor_id, "timestamp",
+       humidity - lag(humidity) OVER (PARTITION BY sensor_id ORDER BY "timestamp", event_id) AS humidity_trend
+FROM valid"""),
+    "eval_test_metrics": _with(PERSISTENCE_METRICS.replace("split = 'validation'", "split = 'test'")),
+    "dashboard_summary": _with("""
+SELECT a.*, l.latest_temperature, l.latest_humidity FROM (
+  SELECT sensor_id, CAST(count(*) AS BIGINT) AS n_rows, min("timestamp") AS first_timestamp,
+         max("timestamp") AS last_timestamp, round(avg(temperature), 6) AS avg_temperature,
+         max(temperature) AS max_temperature, min(temperature) AS min_temperature,
+         round(avg(humidity), 6) AS avg_humidity, max(humidity) AS max_humidity, min(humidity) AS min_humidity
+  FROM valid GROUP BY sensor_id) a
+JOIN (SELECT sensor_id, temperature AS latest_temperature, humidity AS latest_humidity FROM (
+        SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY "timestamp" DESC, event_id DESC) AS rk
+        FROM valid) WHERE rk = 1) l USING (sensor_id)"""),
+    "dashboard_histogram": _with("""
+SELECT sensor_id, column_name, bin, CAST(count(*) AS BIGINT) AS n_rows, min(lo + bin * w) AS bin_low FROM (
+  SELECT sensor_id, 'temperature' AS column_name,
+         least(greatest(CAST(floor((temperature - 300.0) / 10.0) AS BIGINT), 0), 14) AS bin,
+         300.0e0 AS lo, 10.0e0 AS w FROM valid
+  UNION ALL
+  SELECT sensor_id, 'humidity', least(greatest(CAST(floor((humidity - 30.0) / 5.0) AS BIGINT), 0), 9),
+         30.0e0, 5.0e0 FROM valid)
+GROUP BY sensor_id, column_name, bin"""),
+    "etl_quality": _with("""
+SELECT total_rows, valid_rows, invalid_rows, duplicate_rows,
+       round(valid_rows / total_rows, 6) AS valid_rate, round(invalid_rows / total_rows, 6) AS invalid_rate,
+       round(duplicate_rows / valid_rows, 6) AS duplicate_rate
+FROM (SELECT CAST(sum(n) AS BIGINT) AS total_rows,
+             CAST(sum(CASE WHEN v THEN n ELSE 0 END) AS BIGINT) AS valid_rows,
+             CAST(sum(CASE WHEN v THEN 0 ELSE n END) AS BIGINT) AS invalid_rows,
+             CAST(sum(CASE WHEN v THEN n - 1 ELSE 0 END) AS BIGINT) AS duplicate_rows
+      FROM (SELECT sensor_id, "timestamp", source, reasons = '' AS v, count(*) AS n
+            FROM tagged GROUP BY sensor_id, "timestamp", source, reasons = ''))""", raw=READINGS_DUP),
+    "curated_layout": _with("""SELECT *, CAST("timestamp" AS DATE) AS event_date FROM valid"""),
+    "consumer_run": _with("""SELECT DISTINCT * FROM valid""", raw=READINGS_DUP),
+    "replay_raw": _with("""SELECT * FROM valid"""),
+})

@@ -38,7 +38,17 @@ from ..streaming.consumer import (
     split_stream,
     start_parquet,
 )
+from ..ml.model import coefficients, train_model
+from ..ml.registry import Registry
+from ..operators.calibrate import calibrate
+from ..operators.faults import inject_faults
+from ..operators.reports import dashboard_histogram, dashboard_summary, etl_quality
+from ..sinks.curated import read_curated, write_curated
+from ..streaming.consumer import run_consumer
 from .export import export
+from .infer import run_inference
+from .monitor import evaluate_on
+from .train import run_training
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -331,3 +341,143 @@ def q_stream_csv_ingest(spark, sf_dir):
                          F.lit(None).cast("string").alias("fault_type"), "source", "event_id")
               .repartition(4), folder)
     return export(_run_stream(spark, csv_file_source(spark, folder, max_files_per_trigger=1), "stream-csv"))
+
+
+# ------------------------------------------------------------ ML
+
+def _labelled(spark, sf_dir) -> DataFrame:
+    return label_chrono(durable(add_features(_valid(spark, sf_dir))))
+
+
+@query("train_linear")
+def q_train_linear(spark, sf_dir):
+    """M1-M2: fit on the train split; one row per coefficient."""
+    lab = _labelled(spark, sf_dir)
+    model = train_model(lab.filter(F.col("split") == "train"))
+    return coefficients(spark, model)
+
+
+@query("pipeline_infer")
+def q_pipeline_infer(spark, sf_dir):
+    """M3/K4: score every valid reading that has a change with the model
+    trained on the train split (the prediction sink's columns + keys)."""
+    lab = _labelled(spark, sf_dir)
+    model = train_model(lab.filter(F.col("split") == "train"))
+    pred = run_inference(readings_raw(spark, sf_dir), model, scratch_path(spark, "predictions"),
+                         with_keys=True, fmt="parquet")
+    return export(pred.select("event_id", "sensor_id", "timestamp", "temperature", "prediction"))
+
+
+@query("model_registry")
+def q_model_registry(spark, sf_dir):
+    """M5-M9: the training plan end to end into a fresh registry; one row
+    per logged run with its parameters, metrics, gate outcome and version."""
+    root = scratch_path(spark, "registry")
+    res = run_training(readings_raw(spark, sf_dir), registry_root=root,
+                       store_root=scratch_path(spark, "stores"), invalid_path=scratch_path(spark, "invalid"))
+    reg = Registry(spark, root)
+    runs = reg.runs().select(
+        "run_id", "run_name", "model_name",
+        F.col("params")["regParam"].alias("reg_param"),
+        F.col("params")["elasticNetParam"].alias("elastic_net_param"),
+        F.col("params")["features"].alias("features"),
+        F.col("metrics")["validation_mse"].alias("validation_mse"),
+        F.col("metrics")["validation_mae"].alias("validation_mae"),
+        F.col("metrics")["validation_rmse"].alias("validation_rmse"),
+    )
+    vers = reg.versions().select("run_id", "version")
+    return (runs.join(vers, "run_id", "left")
+            .withColumn("passed", F.lit(res.passed))
+            .withColumn("champion_version", F.lit(reg.alias_version()).cast("long")))
+
+
+@query("champion_eval")
+def q_champion_eval(spark, sf_dir):
+    """Score the reference slice (features recomputed on it) and report
+    MAE/RMSE, with the model trained on the train split."""
+    lab = _labelled(spark, sf_dir)
+    model = train_model(lab.filter(F.col("split") == "train"))
+    return evaluate_on(label_reference_current(_valid(spark, sf_dir)), model, "reference")
+
+
+# ------------------------------------------------------------ simulator operators
+
+@query("calibrate")
+def q_calibrate(spark, sf_dir):
+    """Simulator settings learned from every numeric reading, in event order."""
+    out = calibrate(readings_raw(spark, sf_dir))
+    return export(out, tuple(c for c in out.columns if c not in ("n_rows", "enough_rows")))
+
+
+@query("inject_faults")
+def q_inject_faults(spark, sf_dir):
+    """Hash-chosen faults on the valid readings (one field each)."""
+    return export(inject_faults(_valid(spark, sf_dir), seed=42))
+
+
+# ------------------------------------------------------------ tier B
+
+@query("feat_humidity_trend")
+def q_feat_humidity_trend(spark, sf_dir):
+    """Humidity - previous humidity per sensor."""
+    f = add_features(_valid(spark, sf_dir), change=False, rolling=False, target=False, humidity_trend=True)
+    return export(f.select("event_id", "sensor_id", "timestamp", "humidity_trend"))
+
+
+@query("eval_test_metrics")
+def q_eval_test_metrics(spark, sf_dir):
+    """MSE/MAE/RMSE/R² on the test split (persistence forecast)."""
+    lab = label_chrono(add_features(_valid(spark, sf_dir)))
+    pred = lab.filter(F.col("split") == "test").withColumn("prediction", F.col("temperature"))
+    return export(regression_metrics(pred), ("mse", "mae", "rmse", "r2"))
+
+
+@query("dashboard_summary")
+def q_dashboard_summary(spark, sf_dir):
+    """Per sensor: rows, time range, latest reading, avg/max/min."""
+    return export(dashboard_summary(_valid(spark, sf_dir)),
+                  ("avg_temperature", "avg_humidity"))
+
+
+@query("dashboard_histogram")
+def q_dashboard_histogram(spark, sf_dir):
+    """Fixed-width histograms of temperature and humidity per sensor."""
+    return dashboard_histogram(_valid(spark, sf_dir))
+
+
+@query("etl_quality")
+def q_etl_quality(spark, sf_dir):
+    """Valid, invalid and duplicate counts and rates of a batch with
+    repeated events."""
+    out = etl_quality(readings_dup(spark, sf_dir))
+    return export(out, tuple(c for c in out.columns if c.endswith("_rate")))
+
+
+@query("curated_layout")
+def q_curated_layout(spark, sf_dir):
+    """B2: valid readings written partitioned by event date, read back."""
+    path = scratch_path(spark, "curated")
+    write_curated(_valid(spark, sf_dir), path)
+    return export(read_curated(spark, path))
+
+
+@query("consumer_run")
+def q_consumer_run(spark, sf_dir):
+    """The three-query consumer over a landing folder of repeated
+    events; returns its deduplicated valid table."""
+    landing = _landing(spark, readings_dup(spark, sf_dir), "consumer-landing")
+    out = scratch_path(spark, "consumer")
+    await_all(run_consumer(file_source(spark, landing), out, available_now=True))
+    return export(spark.read.parquet(f"{out}/valid").select(*READING_COLUMNS))
+
+
+@query("replay_raw")
+def q_replay_raw(spark, sf_dir):
+    """Batch replay of the raw (bronze) table the consumer keeps:
+    the same parse + validate functions over stored messages."""
+    landing = _landing(spark, readings_raw(spark, sf_dir), "consumer-landing")
+    out = scratch_path(spark, "consumer")
+    await_all(run_consumer(file_source(spark, landing), out, available_now=True))
+    raw = spark.read.parquet(f"{out}/raw")
+    valid, _ = split_stream(parse_messages(raw))
+    return export(valid.select(*READING_COLUMNS))
