@@ -58,24 +58,20 @@ def offset_values(seq_df: DataFrame, keys: list[str], specs: list[tuple[str, str
     seq = F.col(seq_col)
     chunk = F.expr(f"({seq_col} - 1) div {chunk_rows}")
     pos = (seq - 1) % chunk_rows
-    own = seq_df.withColumn("_chunk", chunk).withColumn("_own", F.lit(True))
-    halo_cols = list(dict.fromkeys([*keys, seq_col, "_chunk", *[c for _, c, _ in specs]]))
-    parts = [own]
+    # Every row goes to its own chunk; the last ``before`` rows of a chunk
+    # also go to the next one (its predecessors) and the first ``after`` rows
+    # to the previous one (its successors). One scan, one explode.
+    targets = [chunk]
     if before:
-        # the last ``before`` rows of each chunk are the predecessors of the next one
-        parts.append(own.filter(pos >= chunk_rows - before).select(*halo_cols)
-                     .withColumn("_chunk", F.col("_chunk") + 1).withColumn("_own", F.lit(False)))
+        targets.append(F.when(pos >= chunk_rows - before, chunk + 1))
     if after:
-        # the first ``after`` rows of each chunk are the successors of the previous one
-        parts.append(own.filter((pos < after) & (F.col("_chunk") > 0)).select(*halo_cols)
-                     .withColumn("_chunk", F.col("_chunk") - 1).withColumn("_own", F.lit(False)))
-    ext = parts[0]
-    for p in parts[1:]:
-        ext = ext.unionByName(p, allowMissingColumns=True)
+        targets.append(F.when((pos < after) & (chunk > 0), chunk - 1))
+    ext = seq_df.select("*", chunk.alias("_home"), F.explode(F.array_compact(F.array(*targets))).alias("_chunk"))
     w = Window.partitionBy(*keys, "_chunk").orderBy(seq_col)
     cols = [F.lead(c, k).over(w).alias(out) if k > 0 else F.lag(c, -k).over(w).alias(out)
             for out, c, k in specs]
-    return ext.select("*", *cols).filter(F.col("_own")).drop("_chunk", "_own")
+    return (ext.select("*", *cols).filter(F.col("_chunk") == F.col("_home"))
+            .drop("_chunk", "_home"))
 
 
 # ---------------------------------------------------------------- rolling mean
@@ -90,14 +86,16 @@ def rolling_mean_by_second(df: DataFrame, keys: list[str], value: str, *, ts_col
         raise ValueError("chunk_seconds must be at least window_seconds")
     per_sec = df.groupBy(*keys, epoch_seconds(F.col(ts_col)).alias("_sec")).agg(
         F.sum(value).alias("_sum"), F.count(value).alias("_cnt"))
-    own = per_sec.withColumn("_day", F.expr(f"_sec div {chunk_seconds}")).withColumn("_own", F.lit(True))
-    halo = (own.filter(F.col("_sec") - F.col("_day") * chunk_seconds >= chunk_seconds - window_seconds)
-            .withColumn("_day", F.col("_day") + 1).withColumn("_own", F.lit(False)))
+    day = F.expr(f"_sec div {chunk_seconds}")
+    # a second in the last ``window`` seconds of its day also feeds the next day
+    tail = F.col("_sec") - day * chunk_seconds >= chunk_seconds - window_seconds
+    ext = per_sec.select("*", day.alias("_home"),
+                         F.explode(F.array_compact(F.array(day, F.when(tail, day + 1)))).alias("_day"))
     w = (Window.partitionBy(*keys, "_day").orderBy("_sec")
          .rangeBetween(-window_seconds, Window.currentRow))
     mean = F.try_divide(F.sum("_sum").over(w), F.sum("_cnt").over(w))
-    return (own.unionByName(halo).select(*keys, "_sec", "_own", mean.alias(out))
-            .filter(F.col("_own")).drop("_own"))
+    return (ext.select(*keys, "_sec", "_day", "_home", mean.alias(out))
+            .filter(F.col("_day") == F.col("_home")).drop("_day", "_home"))
 
 
 # ---------------------------------------------------------------- features
@@ -113,12 +111,14 @@ def add_features(valid: DataFrame, *, strategy: str = "chunked", keys: tuple[str
                  humidity_trend: bool = False, with_seq: bool = False) -> DataFrame:
     """F1 change, F2 rolling mean, F3 target (optionally the humidity trend),
     appended to the input columns. Ties on timestamp are broken by
-    ``event_id``. Only the requested features are computed."""
+    ``event_id``. Only the requested features are computed. ``with_seq``
+    also keeps ``seq`` (row number per sensor) and ``key_rows`` (rows of the
+    sensor), which lets the chronological split skip a second numbering."""
     keys = list(keys)
     names = _feature_names(change, rolling, target, humidity_trend)
     if strategy == "window":
         return _features_window(valid, keys, change, rolling, target, humidity_trend)
-    seq_df = sequence_index(valid, keys, ORDER)
+    seq_df = sequence_index(valid, keys, ORDER, count_col="key_rows")
     specs = []
     if change:
         specs.append(("_prev_t", "temperature", -1))
@@ -141,7 +141,7 @@ def add_features(valid: DataFrame, *, strategy: str = "chunked", keys: tuple[str
         out = out.withColumn("temperature_change", F.col("temperature") - F.col("_prev_t"))
     if humidity_trend:
         out = out.withColumn("humidity_trend", F.col("humidity") - F.col("_prev_h"))
-    return out.select(*valid.columns, *(["seq"] if with_seq else []), *names)
+    return out.select(*valid.columns, *(["seq", "key_rows"] if with_seq else []), *names)
 
 
 def _features_window(valid: DataFrame, keys: list[str], change: bool, rolling: bool, target: bool,

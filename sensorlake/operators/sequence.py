@@ -6,13 +6,15 @@ With three sensors, one key holds a third of all rows. Instead:
 
 1. range-partition on (key, order...) and sort inside each partition, so a hot
    key is spread over many contiguous, ordered partitions;
-2. tag each row with its partition and position, and checkpoint, because range
-   bounds come from sampling and a recomputation could move rows;
+2. tag each row with its partition and position, and write the result as a
+   table in the shared work folder, because range bounds come from sampling
+   and a recomputation could move rows;
 3. count rows per (partition, key) run - a table of at most
    partitions + keys rows - and turn the counts into start offsets with a
    running sum per key;
-4. join the offsets back (broadcast when the run table is small enough,
-   checked by count; a shuffle join otherwise) and add the local position.
+4. join the offsets back and add the local position. The run table is
+   fetched with a row cap; when it fits under the cap it is broadcast from
+   that bounded copy, otherwise it stays distributed and is shuffle-joined.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from ..session import durable
 
 # Largest run table (rows) that is broadcast instead of shuffle-joined.
-BROADCAST_RUN_ROWS = 200_000
+BROADCAST_RUN_ROWS = 50_000
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
@@ -35,9 +37,14 @@ def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_RUN_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast hint only behind a row-count check of ``df``."""
-    n = df.count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
+    """Broadcast only behind a size check: fetch at most ``max_rows + 1``
+    rows; if they are all there is, broadcast that bounded local copy (the
+    source is not computed again), else keep ``df`` distributed."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        local = df.sparkSession.createDataFrame(rows, df.schema) if rows else df.limit(0)
+        return F.broadcast(local), True
+    return df, False
 
 
 def sequence_index(df: DataFrame, keys: list[str], order: list[str], *,
@@ -45,7 +52,7 @@ def sequence_index(df: DataFrame, keys: list[str], order: list[str], *,
                    partitions: int | None = None) -> DataFrame:
     """Adds ``seq_col`` = 1-based row number per ``keys`` in ``order``
     (ascending, nulls first), and optionally ``count_col`` = rows per key.
-    ``keys`` may be empty for one global numbering. The result is checkpointed
+    ``keys`` may be empty for one global numbering. The result is written
     and range-partitioned by (keys, order)."""
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -55,7 +62,7 @@ def sequence_index(df: DataFrame, keys: list[str], order: list[str], *,
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
     )
-    laid = durable(laid)
+    laid = durable(laid, "sequence")
 
     runs = laid.groupBy("_part", *keys).agg(
         F.count(F.lit(1)).alias("_run_rows"),

@@ -39,7 +39,7 @@ def run_monitoring(readings: DataFrame, model: PipelineModel | None, *, registry
                    eval_slice: str = "reference", threshold: float = C.DRIFT_THRESHOLD_PERCENT,
                    **feature_kw) -> MonitorResult:
     valid, _ = validate_reading(readings)
-    labelled = label_reference_current(valid)                     # checkpointed
+    labelled = label_reference_current(valid)                     # materialised
     drift = drift_report(labelled, threshold=threshold)
     metrics = {}
     if model is not None:

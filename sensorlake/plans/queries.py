@@ -139,7 +139,7 @@ def q_feat_target(spark, sf_dir):
 @query("split_chrono")
 def q_split_chrono(spark, sf_dir):
     """Per-sensor chronological 70/15/15 split."""
-    lab = label_chrono(add_features(_valid(spark, sf_dir)))
+    lab = label_chrono(add_features(_valid(spark, sf_dir), with_seq=True))
     return export(lab.select("event_id", "sensor_id", "timestamp", "row_num", "total_rows",
                              "train_end", "validation_end", "split"))
 
@@ -171,7 +171,7 @@ def _persistence_validation(spark, sf_dir) -> DataFrame:
     """Validation split scored by the persistence forecast (prediction =
     current temperature): a model-free prediction the metrics can be checked
     on exactly."""
-    lab = label_chrono(add_features(_valid(spark, sf_dir)))
+    lab = label_chrono(add_features(_valid(spark, sf_dir), with_seq=True))
     return lab.filter(F.col("split") == "validation").withColumn("prediction", F.col("temperature"))
 
 
@@ -346,7 +346,7 @@ def q_stream_csv_ingest(spark, sf_dir):
 # ------------------------------------------------------------ ML
 
 def _labelled(spark, sf_dir) -> DataFrame:
-    return label_chrono(durable(add_features(_valid(spark, sf_dir))))
+    return label_chrono(durable(add_features(_valid(spark, sf_dir), with_seq=True)))
 
 
 @query("train_linear")
@@ -363,9 +363,9 @@ def q_pipeline_infer(spark, sf_dir):
     trained on the train split (the prediction sink's columns + keys)."""
     lab = _labelled(spark, sf_dir)
     model = train_model(lab.filter(F.col("split") == "train"))
-    pred = run_inference(readings_raw(spark, sf_dir), model, scratch_path(spark, "predictions"),
-                         with_keys=True, fmt="parquet")
-    return export(pred.select("event_id", "sensor_id", "timestamp", "temperature", "prediction"))
+    path = scratch_path(spark, "predictions")
+    run_inference(readings_raw(spark, sf_dir), model, path, with_keys=True, fmt="parquet")
+    return export(spark.read.parquet(path))
 
 
 @query("model_registry")
@@ -427,7 +427,7 @@ def q_feat_humidity_trend(spark, sf_dir):
 @query("eval_test_metrics")
 def q_eval_test_metrics(spark, sf_dir):
     """MSE/MAE/RMSE/R² on the test split (persistence forecast)."""
-    lab = label_chrono(add_features(_valid(spark, sf_dir)))
+    lab = label_chrono(add_features(_valid(spark, sf_dir), with_seq=True))
     pred = lab.filter(F.col("split") == "test").withColumn("prediction", F.col("temperature"))
     return export(regression_metrics(pred), ("mse", "mae", "rmse", "r2"))
 

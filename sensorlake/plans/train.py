@@ -47,11 +47,11 @@ def run_training(readings: DataFrame, *, registry_root: str, store_root: str | N
         write_invalid(invalid, invalid_path)                                      # K1
     if store_root:
         upsert(f"{store_root}/sensor_readings", valid)                            # K2
-    feats = durable(add_features(valid, **feature_kw))
+    feats = durable(add_features(valid, with_seq=True, **feature_kw))
     if store_root:
         upsert(f"{store_root}/sensor_features",
                feats.select(*FEATURE_STORE_COLUMNS, "event_id", "source"))        # K3
-    labelled = label_chrono(feats)                                                # P1 (checkpointed)
+    labelled = label_chrono(feats)                                                # P1 (materialised)
     counts = {r["split"]: r["n"] for r in
               labelled.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     train = labelled.filter(F.col("split") == "train")

@@ -77,12 +77,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared work folder.
+def durable(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing a Parquet table in the shared work folder and
+    reading it back.
 
     Used where a later step depends on a physical layout (range bounds come
     from sampling, positions from row order) that a recomputation after a lost
-    executor could change.
+    executor could change: once written, every reader sees the same rows. A
+    columnar table also lets later steps read only the columns they need.
     """
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .. import config as C
+from ..session import durable
 
 KEY = ("sensor_id", "timestamp")
 
@@ -57,6 +58,8 @@ def upsert(store_path: str, batch: DataFrame, keys=KEY, *, partition_by: list[st
     fresh = first_wins(batch, keys, priority)
     store = read_store(spark, store_path)
     if store is not None:
+        # the batch is read twice (bounds, anti-join): materialise it once
+        fresh = durable(fresh, "upsert-batch")
         lo_hi = fresh.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
         if lo_hi["lo"] is None:
             existing = store.select(*keys).limit(0)
