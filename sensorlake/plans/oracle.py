@@ -246,3 +246,9 @@ FROM (SELECT CAST(sum(n) AS BIGINT) AS total_rows,
     "consumer_run": _with("""SELECT DISTINCT * FROM valid""", raw=READINGS_DUP),
     "replay_raw": _with("""SELECT * FROM valid"""),
 })
+
+ORACLE.update({
+    "stream_late_quarantine": _with("""SELECT DISTINCT *, 'accepted' AS status FROM valid""", raw=READINGS_DUP),
+    "stream_table": _with(
+        """SELECT event_id, sensor_id, "timestamp", temperature, humidity, 'database' AS source FROM raw"""),
+})

@@ -44,7 +44,9 @@ from ..operators.calibrate import calibrate
 from ..operators.faults import inject_faults
 from ..operators.reports import dashboard_histogram, dashboard_summary, etl_quality
 from ..sinks.curated import read_curated, write_curated
-from ..streaming.consumer import run_consumer
+from ..streaming.consumer import run_consumer, run_quarantine
+from ..sources.sqlite import stream_table
+from ..ml.search import grid_search
 from .export import export
 from .infer import run_inference
 from .monitor import evaluate_on
@@ -481,3 +483,38 @@ def q_replay_raw(spark, sf_dir):
     raw = spark.read.parquet(f"{out}/raw")
     valid, _ = split_stream(parse_messages(raw))
     return export(valid.select(*READING_COLUMNS))
+
+
+@query("stream_late_quarantine")
+def q_stream_late_quarantine(spark, sf_dir):
+    """Repeated events through the quarantine policy in one micro-batch:
+    no row is late yet, repeats are dropped, ``status`` marks each row."""
+    landing = _landing(spark, readings_dup(spark, sf_dir), "quarantine-landing")
+    out = scratch_path(spark, "quarantine")
+    await_all([run_quarantine(file_source(spark, landing), out)])
+    acc = spark.read.parquet(f"{out}/valid").select(*READING_COLUMNS, F.lit("accepted").alias("status"))
+    try:
+        late = spark.read.parquet(f"{out}/late").select(*READING_COLUMNS, F.lit("late").alias("status"))
+        acc = acc.unionByName(late)
+    except Exception:  # noqa: BLE001 - no late rows written
+        pass
+    return export(acc)
+
+
+@query("stream_table")
+def q_stream_table(spark, sf_dir):
+    """S10 as a stream: SQLite files read as an id-offset stream until
+    every row has arrived."""
+    paths = write_shards(readings_raw(spark, sf_dir), scratch_path(spark, "sqlite"))
+    base = scratch_path(spark, "sqlite-stream")
+    q = (stream_table(spark, paths).writeStream.format("parquet")
+         .option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/out"))
+    q.processAllAvailable()
+    q.stop()
+    return export(spark.read.parquet(f"{base}/out"))
+
+
+@query("hyper_search")
+def q_hyper_search(spark, sf_dir):
+    """regParam x elasticNetParam grid on the chronological split."""
+    return grid_search(_labelled(spark, sf_dir))

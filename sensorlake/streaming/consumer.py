@@ -14,6 +14,8 @@ keeps its deduplication state.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -174,3 +176,67 @@ def await_all(queries: list[StreamingQuery]) -> None:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+
+
+# ------------------------------------------------------------------ late rows
+
+def _watermark_before(spark: SparkSession, marks_path: str, batch_id: int, delay_seconds: int):
+    """The watermark late rows of batch ``batch_id`` are judged by, as Spark
+    does it: the previous batch's watermark, i.e. the max event time of the
+    batches up to ``batch_id - 2`` minus the delay (None before that)."""
+    try:
+        marks = spark.read.parquet(marks_path)
+    except Exception:  # noqa: BLE001 - no batch recorded yet
+        return None
+    row = marks.filter(F.col("batch_id") <= batch_id - 2).agg(F.max("max_event_time").alias("m")).first()
+    if row is None or row["m"] is None:
+        return None
+    return row["m"] - _dt.timedelta(seconds=delay_seconds)
+
+
+def quarantine_batch(batch: DataFrame, batch_id: int, out_dir: str, *, delay_seconds: int = 600,
+                     keys=C.STREAM_DEDUP_KEYS) -> None:
+    """One micro-batch of the quarantine policy, with the native operator's
+    thresholds: rows at or before the watermark go to ``late/`` instead of
+    being dropped; the others are deduplicated against themselves and
+    against accepted rows after the watermark (the keys the native state
+    store would still hold), and go to ``valid/``. Output is partitioned by
+    ``batch_id`` and overwritten dynamically, so a retried batch replaces
+    its own output."""
+    from ..session import durable
+    from ..sinks.upsert import first_wins
+    spark = batch.sparkSession
+    marks_path, valid_path, late_path = f"{out_dir}/_marks", f"{out_dir}/valid", f"{out_dir}/late"
+    wm = _watermark_before(spark, marks_path, batch_id, delay_seconds)
+    rows = durable(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), "quarantine-batch")
+    is_late = F.lit(False) if wm is None else (F.col("timestamp") <= F.lit(wm))
+    late = rows.filter(is_late)
+    fresh = first_wins(rows.filter(~is_late), keys,
+                       [F.col("event_id")] if "event_id" in rows.columns else None)
+    try:
+        seen = spark.read.parquet(valid_path).filter(F.col("batch_id") < batch_id)
+        if wm is not None:
+            seen = seen.filter(F.col("timestamp") > F.lit(wm))
+        fresh = fresh.join(seen.select(*keys), list(keys), "left_anti")
+    except Exception:  # noqa: BLE001 - nothing accepted yet
+        pass
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    fresh.write.mode("overwrite").partitionBy("batch_id").parquet(valid_path)
+    late.write.mode("overwrite").partitionBy("batch_id").parquet(late_path)
+    rows.groupBy("batch_id").agg(F.max("timestamp").alias("max_event_time")) \
+        .write.mode("overwrite").partitionBy("batch_id").parquet(marks_path)
+
+
+def run_quarantine(messages: DataFrame, out_dir: str, *, delay_seconds: int = 600,
+                   available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """The consumer's valid branch with late rows kept (``late/``)
+    instead of dropped silently. Rejects are not part of this query."""
+    valid, _ = split_stream(parse_messages(messages))
+    valid = valid.select(*READING_COLUMNS)
+    w = valid.writeStream.option("checkpointLocation", f"{out_dir}/_checkpoint").foreachBatch(
+        lambda df, bid: quarantine_batch(df, bid, out_dir, delay_seconds=delay_seconds))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()

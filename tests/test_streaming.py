@@ -93,3 +93,17 @@ def test_duplicate_event_sent_twice(spark, tmp_path):
     await_all([start_parquet(_pipeline(spark, landing), out, str(tmp_path / "ck"), available_now=True)])
     assert spark.read.parquet(out).count() == 1
     assert spark.read.parquet(out).filter(F.col("sensor_id") == "TEST_SENSOR_01").count() == 1
+
+
+def test_quarantine_keeps_late_rows(spark, tmp_path):
+    from sensorlake.streaming.consumer import quarantine_batch, run_quarantine
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i, b in enumerate(BATCHES):
+        _write_batch(landing, i, b)
+    await_all([run_quarantine(file_source(spark, landing, max_files_per_trigger=1), out)])
+    assert _times(spark, f"{out}/valid") == ["00:00", "00:20", "00:56", "01:00", "01:05"]
+    assert _times(spark, f"{out}/late") == ["00:21", "00:50"]
+    # a retried batch replaces its own output instead of adding to it
+    batch2 = spark.read.parquet(f"{out}/valid").filter(F.col("batch_id") == 2).drop("batch_id")
+    quarantine_batch(batch2, 2, out)
+    assert _times(spark, f"{out}/valid") == ["00:00", "00:20", "00:56", "01:00", "01:05"]
