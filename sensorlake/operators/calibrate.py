@@ -22,7 +22,7 @@ from .sequence import sequence_index
 D = C.SIMULATOR_DEFAULTS
 
 
-def calibrate(readings: DataFrame, order_col: str = "event_id", *, chunk_rows: int = 1 << 20) -> DataFrame:
+def calibrate(readings: DataFrame, order_col: str = "event_id", *, chunk_rows: int = 1 << 12) -> DataFrame:
     nums = readings.filter(F.col("temperature").isNotNull() & F.col("humidity").isNotNull()) \
         .select(order_col, "temperature", "humidity")
     seq = sequence_index(nums, [], [order_col])

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from .sequence import null_safe_on, sequence_index
 
-DEFAULT_CHUNK_ROWS = 1 << 20
+DEFAULT_CHUNK_ROWS = 1 << 12   # rows per lag/lead window group (+13 halo rows)
 DEFAULT_CHUNK_SECONDS = 86_400
 ORDER = ["timestamp", "event_id"]
 

@@ -252,3 +252,5 @@ ORACLE.update({
     "stream_table": _with(
         """SELECT event_id, sensor_id, "timestamp", temperature, humidity, 'database' AS source FROM raw"""),
 })
+
+ORACLE["stream_features"] = _with(f"""SELECT {FEATURE_COLS} FROM feat WHERE target_temperature IS NOT NULL""")

@@ -47,6 +47,7 @@ from ..sinks.curated import read_curated, write_curated
 from ..streaming.consumer import run_consumer, run_quarantine
 from ..sources.sqlite import stream_table
 from ..ml.search import grid_search
+from ..streaming.features import stream_features
 from .export import export
 from .infer import run_inference
 from .monitor import evaluate_on
@@ -518,3 +519,11 @@ def q_stream_table(spark, sf_dir):
 def q_hyper_search(spark, sf_dir):
     """regParam x elasticNetParam grid on the chronological split."""
     return grid_search(_labelled(spark, sf_dir))
+
+
+@query("stream_features")
+def q_stream_features(spark, sf_dir):
+    """Per-sensor features on the stream, emitted when the target arrives."""
+    valid, _ = split_stream(_stream_parsed(spark, readings_raw(spark, sf_dir), "stream-landing"))
+    out = _run_stream(spark, stream_features(valid.select(*READING_COLUMNS)), "stream-features")
+    return export(out, ("rolling_avg_temperature",))

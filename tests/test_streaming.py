@@ -107,3 +107,36 @@ def test_quarantine_keeps_late_rows(spark, tmp_path):
     batch2 = spark.read.parquet(f"{out}/valid").filter(F.col("batch_id") == 2).drop("batch_id")
     quarantine_batch(batch2, 2, out)
     assert _times(spark, f"{out}/valid") == ["00:00", "00:20", "00:56", "01:00", "01:05"]
+
+
+def test_stream_features_across_batches_equal_batch(spark, tmp_path):
+    from conftest import SF_SMALL
+    from sensorlake.operators.features import add_features
+    from sensorlake.sinks.files import readings_to_json_value
+    from sensorlake.sources.events import readings_raw
+    from sensorlake.operators.validate import validate_reading
+    from sensorlake.streaming.features import stream_features
+    raw = readings_raw(spark, SF_SMALL)
+    lines = [r["value"] for r in readings_to_json_value(raw.orderBy("timestamp", "event_id")).collect()]
+    landing = tmp_path / "in"
+    landing.mkdir()
+    step = len(lines) // 4 + 1
+    for i in range(4):
+        p = landing / f"part-{i}.json"
+        p.write_text("\n".join(lines[i * step:(i + 1) * step]) + "\n")
+        os.utime(p, (1_700_000_000 + 10 * i,) * 2)
+    valid, _ = split_stream(parse_messages(file_source(spark, str(landing), max_files_per_trigger=1)))
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    q = start_parquet(stream_features(valid.select(*READING_COLUMNS)), out, ck, available_now=True)
+    await_all([q])
+    assert len(q.recentProgress) >= 4
+    got = {r["event_id"]: r for r in spark.read.parquet(out).collect()}
+    batch = add_features(validate_reading(raw)[0]).filter(F.col("target_temperature").isNotNull())
+    want = {r["event_id"]: r for r in batch.collect()}
+    assert set(got) == set(want)
+    for k, w in want.items():
+        g = got[k]
+        assert g["target_temperature"] == w["target_temperature"]
+        assert g["temperature_change"] == w["temperature_change"] or \
+            (g["temperature_change"] is None and w["temperature_change"] is None)
+        assert abs(g["rolling_avg_temperature"] - w["rolling_avg_temperature"]) < 1e-9
