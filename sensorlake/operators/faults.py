@@ -1,10 +1,14 @@
 """Fault injection into a readings table (G2) and the reading grid (G1).
 
-Faults are chosen per row by hashing (seed, event_id), so the result is the
+Faults are chosen per row from (seed, event_id) alone, so the result is the
 same on every run and every executor, with no shuffle: at ``rate`` a row gets
 one of six faults, each touching one field, and is labelled ``is_faulty`` /
 ``fault_type``. Out-of-range values lie U(1, 0.2 * span) beyond a bound,
-either side, rounded to 2 places.
+either side, in whole hundredths.
+
+The per-row draws are a multiplicative hash in exact 64-bit integer
+arithmetic (``(id mod 2^31) * a + c mod 2^31``), so any SQL engine computes
+the same faults - the injection is checked against SQL.
 """
 
 from __future__ import annotations
@@ -17,28 +21,33 @@ from pyspark.sql import functions as F
 from .. import config as C
 
 _UNIT = 1 << 30
+_M = 1 << 31
+# multiplier per independent draw (distinct odd constants)
+_MULT = {"rate": 1103515245, "kind": 22695477, "blank": 1664525, "side": 214013, "mag": 134775813}
 
 
-def _uniform(seed: int, salt: str, key: str = "event_id") -> Column:
-    """Deterministic U[0, 1) from (seed, salt, key)."""
-    return F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), F.col(key)), F.lit(_UNIT)).cast("double") / _UNIT
+def _draw(seed: int, name: str, key: str = "event_id") -> Column:
+    """Deterministic U[0, 1) per row from (seed, name, key)."""
+    c = (seed * 7919 + list(_MULT).index(name) * 104729) % _M
+    return F.pmod(F.pmod(F.col(key), F.lit(_M)) * F.lit(_MULT[name]) + F.lit(c), F.lit(_M)).cast("double") / _M
 
 
 def inject_faults(readings: DataFrame, *, rate: float = C.SIMULATOR_DEFAULTS["fault_rate"], seed: int = 0,
                   bounds: dict | None = None) -> DataFrame:
     b = dict(C.SIMULATOR_DEFAULTS, **(bounds or {}))
-    hit = _uniform(seed, "rate") < F.lit(rate)
+    hit = _draw(seed, "rate") < F.lit(rate)
     kind = F.element_at(F.array(*[F.lit(f) for f in C.FAULT_TYPES]),
-                        (F.floor(_uniform(seed, "kind") * len(C.FAULT_TYPES)) + 1).cast("int"))
+                        (F.floor(_draw(seed, "kind") * len(C.FAULT_TYPES)) + 1).cast("int"))
     fault = F.when(hit, kind)
     blank = F.element_at(F.array(F.lit(None).cast("string"), F.lit(""), F.lit(" ")),
-                         (F.floor(_uniform(seed, "blank") * 3) + 1).cast("int"))
+                         (F.floor(_draw(seed, "blank") * 3) + 1).cast("int"))
 
     def beyond(lo: float, hi: float) -> Column:
-        span = hi - lo
-        mag = F.lit(1.0) + _uniform(seed, "mag") * F.lit(0.2 * span - 1.0)
-        low = _uniform(seed, "side") < 0.5
-        return F.round(F.when(low, F.lit(lo) - mag).otherwise(F.lit(hi) + mag), 2)
+        span_cents = int(round(0.2 * (hi - lo) * 100))
+        cents = F.lit(100) + F.floor(_draw(seed, "mag") * F.lit(span_cents - 100))
+        low = _draw(seed, "side") < 0.5
+        return F.when(low, (F.lit(int(round(lo * 100))) - cents) / 100.0) \
+            .otherwise((F.lit(int(round(hi * 100))) + cents) / 100.0)
 
     def only(name: str, value: Column, col: str) -> Column:
         return F.when(fault == name, value).otherwise(F.col(col))

@@ -254,3 +254,39 @@ ORACLE.update({
 })
 
 ORACLE["stream_features"] = _with(f"""SELECT {FEATURE_COLS} FROM feat WHERE target_temperature IS NOT NULL""")
+
+
+def _fault_sql(seed: int = 42, rate: float = 0.05) -> str:
+    from ..operators.faults import _M, _MULT
+
+    def draw(name: str) -> str:
+        c = (seed * 7919 + list(_MULT).index(name) * 104729) % _M
+        return f"((((event_id % {_M}) * {_MULT[name]} + {c}) % {_M}) / {_M}.0)"
+
+    mag = draw("mag")
+    return f"""
+SELECT event_id,
+  CASE WHEN fault_type = 'missing_sensor_id'
+       THEN (CASE CAST(floor({draw('blank')} * 3) AS BIGINT) WHEN 0 THEN NULL WHEN 1 THEN '' ELSE ' ' END)
+       ELSE sensor_id END AS sensor_id,
+  CASE WHEN fault_type = 'missing_timestamp' THEN NULL ELSE "timestamp" END AS "timestamp",
+  CASE WHEN fault_type = 'missing_temperature' THEN NULL
+       WHEN fault_type = 'temperature_out_of_range' THEN
+         CASE WHEN {draw('side')} < 0.5 THEN (30000 - (100 + floor({mag} * 2900))) / 100.0
+              ELSE (45000 + (100 + floor({mag} * 2900))) / 100.0 END
+       ELSE temperature END AS temperature,
+  CASE WHEN fault_type = 'missing_humidity' THEN NULL
+       WHEN fault_type = 'humidity_out_of_range' THEN
+         CASE WHEN {draw('side')} < 0.5 THEN (3000 - (100 + floor({mag} * 900))) / 100.0
+              ELSE (8000 + (100 + floor({mag} * 900))) / 100.0 END
+       ELSE humidity END AS humidity,
+  source, is_faulty, fault_type
+FROM (SELECT *, {draw('rate')} < {rate} AS is_faulty,
+             CASE WHEN {draw('rate')} < {rate} THEN
+               ['missing_sensor_id', 'missing_timestamp', 'missing_temperature', 'missing_humidity',
+                'temperature_out_of_range', 'humidity_out_of_range'][CAST(floor({draw('kind')} * 6) AS BIGINT) + 1]
+             END AS fault_type
+      FROM valid)"""
+
+
+ORACLE["inject_faults"] = _with(_fault_sql())
