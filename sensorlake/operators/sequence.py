@@ -52,12 +52,15 @@ def sequence_index(df: DataFrame, keys: list[str], order: list[str], *,
                    partitions: int | None = None) -> DataFrame:
     """Adds ``seq_col`` = 1-based row number per ``keys`` in ``order``
     (ascending, nulls first), and optionally ``count_col`` = rows per key.
-    ``keys`` may be empty for one global numbering. The result is written
-    and range-partitioned by (keys, order)."""
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ``keys`` may be empty for one global numbering. The numbered layout is
+    materialised in the shared work folder first."""
+    # Without an explicit count the range exchange uses the session's shuffle
+    # partitions and AQE may merge small neighbours; merged partitions are
+    # contiguous ranges in order, so positions stay exact.
+    ranged = (df.repartitionByRange(partitions, *keys, *order) if partitions
+              else df.repartitionByRange(*keys, *order))
     laid = (
-        df.repartitionByRange(n_parts, *keys, *order)
+        ranged
         .sortWithinPartitions(*keys, *order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())

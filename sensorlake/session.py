@@ -52,23 +52,26 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and written tables.
+    """Shared folder for materialised stages, stores and stream checkpoints.
 
     The cluster names it in ``spark.checkpoint.dir``; we only make our own
     (a local temporary folder) when that setting is absent, as in tests.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        sc = None
     if configured:
-        base = configured.rstrip("/")
-    else:
-        base = _LOCAL_WORK_DIR.get("dir")
-        if base is None:
-            base = tempfile.mkdtemp(prefix="sensorlake-")
-            _LOCAL_WORK_DIR["dir"] = base
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(base + "/rdd-checkpoints")
+        return configured.rstrip("/")
+    base = _LOCAL_WORK_DIR.get("dir")
+    if base is None:
+        base = tempfile.mkdtemp(prefix="sensorlake-")
+        _LOCAL_WORK_DIR["dir"] = base
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(base + "/rdd-checkpoints")
     return base
 
 
