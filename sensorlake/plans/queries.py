@@ -518,7 +518,7 @@ def q_stream_table(spark, sf_dir):
 @query("hyper_search")
 def q_hyper_search(spark, sf_dir):
     """regParam x elasticNetParam grid on the chronological split."""
-    return grid_search(_labelled(spark, sf_dir))
+    return grid_search(_labelled(spark, sf_dir), parallelism=3)
 
 
 @query("stream_features")

@@ -128,6 +128,19 @@ def deduplicate(valid: DataFrame, *, delay: str = C.WATERMARK_DELAY,
     return valid.withWatermark("timestamp", delay).dropDuplicates(list(keys))
 
 
+def observe_quality(parsed: DataFrame, name: str = "etl_quality") -> DataFrame:
+    """B11 on a stream: per micro-batch row, valid and invalid counts and one
+    count per rule, reported in ``StreamingQueryProgress.observedMetrics``
+    (computed while the batch flows through, no extra pass)."""
+    from ..functions.rules import is_valid, reason_columns
+    names = ("missing_sensor_id", "missing_timestamp", "missing_temperature", "temperature_out_of_range",
+             "missing_humidity", "humidity_out_of_range")
+    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(is_valid()).alias("valid_rows"),
+               F.count_if(~is_valid()).alias("invalid_rows")]
+    metrics += [F.count_if(r.isNotNull()).alias(n) for r, n in zip(reason_columns(), names)]
+    return parsed.observe(name, *metrics)
+
+
 # ------------------------------------------------------------------ sinks
 
 def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str):
@@ -138,10 +151,15 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str):
             .option("checkpointLocation", checkpoint))
 
 
-def start_parquet(df: DataFrame, path: str, checkpoint: str, *, available_now: bool = False,
+def start_parquet(df: DataFrame, path: str | None, checkpoint: str, *, available_now: bool = False,
                   processing_time: str | None = None, partition_by: list[str] | None = None,
-                  name: str | None = None) -> StreamingQuery:
-    w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+                  name: str | None = None, fmt: str = "parquet") -> StreamingQuery:
+    """Checkpointed append sink. ``fmt`` is ``parquet`` (default; idempotent
+    on replay), ``console`` (K5, for watching) or ``memory`` (tests; needs
+    ``name``)."""
+    w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    if fmt == "console":
+        w = w.option("truncate", False)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if name:
@@ -150,7 +168,7 @@ def start_parquet(df: DataFrame, path: str, checkpoint: str, *, available_now: b
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start(path)
+    return w.start(path) if path and fmt == "parquet" else w.start()
 
 
 def run_consumer(messages: DataFrame, out_dir: str, *, available_now: bool = False,
@@ -158,7 +176,7 @@ def run_consumer(messages: DataFrame, out_dir: str, *, available_now: bool = Fal
     """T4: the full consumer. Three checkpointed queries over the same input:
     raw events (B1, with ingestion time), deduplicated valid readings, and
     rejects with reasons and the raw message (B3)."""
-    parsed = parse_messages(messages, strict=strict)
+    parsed = observe_quality(parse_messages(messages, strict=strict))
     valid, invalid = split_stream(parsed)
     deduped = deduplicate(valid).select(*READING_COLUMNS, "is_faulty", "fault_type", *ENVELOPE)
     raw = messages.select(F.col("value").cast("string").alias("value"), *ENVELOPE,

@@ -140,3 +140,26 @@ def test_stream_features_across_batches_equal_batch(spark, tmp_path):
         assert g["temperature_change"] == w["temperature_change"] or \
             (g["temperature_change"] is None and w["temperature_change"] is None)
         assert abs(g["rolling_avg_temperature"] - w["rolling_avg_temperature"]) < 1e-9
+
+
+def test_consumer_reports_quality_metrics(spark, tmp_path):
+    from sensorlake.streaming.consumer import run_consumer
+    landing = tmp_path / "in"
+    landing.mkdir()
+    rows = [{"sensor_id": "A", "timestamp": "2024-01-01T00:00:00Z", "temperature": 370.0, "humidity": 55.0,
+             "source": "csv"},
+            {"sensor_id": " ", "timestamp": "2024-01-01T00:01:00Z", "temperature": 500.0, "humidity": 55.0,
+             "source": "csv"},
+            {"sensor_id": "A", "timestamp": "2024-01-01T00:00:00Z", "temperature": 370.0, "humidity": 55.0,
+             "source": "csv"}]
+    (landing / "a.json").write_text("\n".join(json.dumps(r) for r in rows) + "\n")
+    out = str(tmp_path / "out")
+    qs = run_consumer(file_source(spark, str(landing)), out, available_now=True)
+    await_all(qs)
+    valid_q = qs[1]
+    m = [p["observedMetrics"]["etl_quality"] for p in valid_q.recentProgress if p.get("observedMetrics")]
+    assert m and m[0]["rows"] == 3 and m[0]["valid_rows"] == 2 and m[0]["invalid_rows"] == 1
+    assert m[0]["missing_sensor_id"] == 1 and m[0]["temperature_out_of_range"] == 1
+    assert spark.read.parquet(f"{out}/valid").count() == 1          # the repeat is dropped
+    assert spark.read.parquet(f"{out}/invalid").count() == 1
+    assert spark.read.parquet(f"{out}/raw").count() == 3
