@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .sequence import null_safe_on, sequence_index
+from .sequence import sequence_index
 
 DEFAULT_CHUNK_ROWS = 1 << 12   # rows per lag/lead window group (+13 halo rows)
 DEFAULT_CHUNK_SECONDS = 86_400
@@ -164,4 +164,4 @@ def _features_window(valid: DataFrame, keys: list[str], change: bool, rolling: b
     return df.select(*valid.columns, *_feature_names(change, rolling, target, humidity_trend))
 
 
-__all__ = ["add_features", "offset_values", "rolling_mean_by_second", "epoch_seconds", "null_safe_on"]
+__all__ = ["add_features", "offset_values", "rolling_mean_by_second", "epoch_seconds"]
