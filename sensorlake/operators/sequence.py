@@ -19,9 +19,7 @@ With three sensors, one key holds a third of all rows. Instead:
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
@@ -30,12 +28,6 @@ from ..session import durable
 BROADCAST_RUN_ROWS = 50_000
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    """Join condition with null-safe equality on every column."""
-    conds = [left[c].eqNullSafe(right[c]) for c in cols]
-    return reduce(lambda a, b: a & b, conds)
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_RUN_ROWS) -> tuple[DataFrame, bool]:
     """Broadcast only behind a size check: fetch at most ``max_rows + 1``
     rows; if they are all there is, broadcast that bounded local copy (the

@@ -360,8 +360,8 @@ def q_train_linear(spark, sf_dir):
     return coefficients(spark, model)
 
 
-@query("pipeline_infer")
-def q_pipeline_infer(spark, sf_dir):
+@query("predict_readings")
+def q_predict_readings(spark, sf_dir):
     """M3/K4: score every valid reading that has a change with the model
     trained on the train split (the prediction sink's columns + keys)."""
     lab = _labelled(spark, sf_dir)
