@@ -205,7 +205,7 @@ def q_upsert_first_wins(spark, sf_dir):
 
 
 def _feature_store(spark, sf_dir) -> DataFrame:
-    feats = add_features(_valid(spark, sf_dir), target=False)
+    feats = durable(add_features(_valid(spark, sf_dir), target=False), "features")
     path = scratch_path(spark, "feature-store")
     rows = feats.select(*FEATURE_STORE_COLUMNS, "event_id", "source")
     upsert(path, rows)
