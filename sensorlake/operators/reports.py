@@ -73,3 +73,9 @@ def etl_quality(batch: DataFrame, keys=("sensor_id", "timestamp", "source")) ->
         F.try_divide(F.col("invalid_rows"), F.col("total_rows")).alias("invalid_rate"),
         F.try_divide(F.col("duplicate_rows"), F.col("valid_rows")).alias("duplicate_rate"),
     )
+
+
+def preview(df: DataFrame, n: int = 20, order: tuple[str, ...] = ("sensor_id", "timestamp")) -> DataFrame:
+    """L2: the first ``n`` rows in a stated order (a top-n, not a full sort),
+    for ``show()``-style previews that are the same on every run."""
+    return df.orderBy(*order).limit(n)

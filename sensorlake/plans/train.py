@@ -23,7 +23,7 @@ from ..operators.validate import validate_reading
 from ..schemas import FEATURE_STORE_COLUMNS
 from ..session import durable
 from ..sinks.files import write_invalid
-from ..sinks.upsert import upsert
+from ..sinks.upsert import upsert, with_event_date
 
 
 @dataclass
@@ -35,6 +35,7 @@ class TrainResult:
     version: int | None
     split_counts: dict = field(default_factory=dict)
     validation_predictions: DataFrame | None = None
+    test_metrics: dict = field(default_factory=dict)
 
 
 def run_training(readings: DataFrame, *, registry_root: str, store_root: str | None = None,
@@ -46,11 +47,13 @@ def run_training(readings: DataFrame, *, registry_root: str, store_root: str | N
     if invalid_path:
         write_invalid(invalid, invalid_path)                                      # K1
     if store_root:
-        upsert(f"{store_root}/sensor_readings", valid)                            # K2
+        upsert(f"{store_root}/sensor_readings", with_event_date(valid),
+               partition_by=["event_date"])                                       # K2, B2
     feats = durable(add_features(valid, with_seq=True, **feature_kw))
     if store_root:
         upsert(f"{store_root}/sensor_features",
-               feats.select(*FEATURE_STORE_COLUMNS, "event_id", "source"))        # K3
+               with_event_date(feats.select(*FEATURE_STORE_COLUMNS, "event_id", "source")),
+               partition_by=["event_date"])                                       # K3
     labelled = label_chrono(feats)                                                # P1 (materialised)
     counts = {r["split"]: r["n"] for r in
               labelled.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -59,13 +62,17 @@ def run_training(readings: DataFrame, *, registry_root: str, store_root: str | N
     model = train_model(train, reg_param=reg_param, elastic_net=elastic_net)     # M1, M2
     pred = predict(model, validation)                                            # M3
     m = regression_metrics(pred).first().asDict()                                # A4, M4
-    metrics = {"validation_mse": m["mse"], "validation_mae": m["mae"], "validation_rmse": m["rmse"]}
+    metrics = {"validation_mse": m["mse"], "validation_mae": m["mae"], "validation_rmse": m["rmse"],
+               "validation_r2": m["r2"]}
+    t = regression_metrics(predict(model, labelled.filter(F.col("split") == "test"))).first().asDict()
+    test_metrics = {f"test_{k}": t[k] for k in ("mse", "mae", "rmse", "r2")}      # B7
     passed = m["mae"] is not None and m["mae"] <= max_mae                         # M5
     reg = Registry(spark, registry_root)
-    run_id = reg.log_run("training", params_of(model, max_mae=max_mae), metrics, model_name)   # M8
+    run_id = reg.log_run("training", params_of(model, max_mae=max_mae), {**metrics, **test_metrics},
+                         model_name)                                              # M8
     version = None
     if passed:                                                                    # M6, M9
         version = reg.register(model, run_id, metrics,
                                signature(pred.select("features"), pred.select("prediction")), model_name)
         reg.set_alias(version, C.CHAMPION_ALIAS, model_name)
-    return TrainResult(model, metrics, passed, run_id, version, counts, pred)
+    return TrainResult(model, metrics, passed, run_id, version, counts, pred, test_metrics)

@@ -37,6 +37,11 @@ def first_wins(batch: DataFrame, keys=KEY, priority: list[Column] | None = None)
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in cols]).select(*batch.columns)
 
 
+def with_event_date(df: DataFrame) -> DataFrame:
+    """Adds the store's partition column (UTC date of the reading)."""
+    return df.withColumn("event_date", F.to_date("timestamp"))
+
+
 def read_store(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -64,7 +69,12 @@ def upsert(store_path: str, batch: DataFrame, keys=KEY, *, partition_by: list[st
         if lo_hi["lo"] is None:
             existing = store.select(*keys).limit(0)
         else:
-            existing = store.select(*keys).filter(F.col("timestamp").between(lo_hi["lo"], lo_hi["hi"]))
+            in_range = F.col("timestamp").between(lo_hi["lo"], lo_hi["hi"])
+            if "event_date" in store.columns:
+                # the same bound on the partition column prunes whole folders
+                in_range = in_range & F.col("event_date").between(F.to_date(F.lit(lo_hi["lo"])),
+                                                                  F.to_date(F.lit(lo_hi["hi"])))
+            existing = store.filter(in_range).select(*keys)
         fresh = fresh.join(existing, list(keys), "left_anti")
     writer = fresh.write.mode("append")
     if partition_by:
