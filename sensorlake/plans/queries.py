@@ -49,7 +49,7 @@ from ..sources.sqlite import stream_table
 from ..ml.search import grid_search
 from ..streaming.features import stream_features
 from .export import export
-from .infer import run_inference
+from .infer import run_inference, score, store_predictions
 from .monitor import evaluate_on
 from .train import run_training
 
@@ -527,3 +527,19 @@ def q_stream_features(spark, sf_dir):
     valid, _ = split_stream(_stream_parsed(spark, readings_raw(spark, sf_dir), "stream-landing"))
     out = _run_stream(spark, stream_features(valid.select(*READING_COLUMNS)), "stream-features")
     return export(out, ("rolling_avg_temperature",))
+
+
+@query("prediction_store")
+def q_prediction_store(spark, sf_dir):
+    """Predictions stored insert-or-ignore by (model_version, sensor_id,
+    timestamp) with the scoring time; storing the same scores twice adds
+    nothing."""
+    lab = _labelled(spark, sf_dir)
+    model = train_model(lab.filter(F.col("split") == "train"))
+    pred, _ = score(readings_raw(spark, sf_dir), model)
+    pred = durable(pred.select("event_id", "sensor_id", "timestamp", "temperature", "prediction", "source"),
+                   "scores")
+    path = scratch_path(spark, "prediction-store")
+    store_predictions(pred, path, 1)
+    store_predictions(pred, path, 1)
+    return export(spark.read.parquet(path).drop("scored_at"))
