@@ -8,10 +8,8 @@
 * ``target_temperature`` = temperature 12 readings later (rows, not time);
 * optional ``humidity_trend`` = humidity - previous humidity.
 
-Two physical strategies compute the same values:
-
-``chunked`` (default, skew-safe). A single sensor may hold a third of all
-rows, so nothing is partitioned by sensor alone:
+A single sensor may hold a third of all rows, so nothing is partitioned by
+sensor alone:
   - rows get an exact per-sensor sequence number (``sequence_index``), are cut
     into chunks of ``chunk_rows`` consecutive rows, and each chunk is sent
     the one row before it and the 12 rows after it (a halo), so lag/lead run
@@ -22,8 +20,7 @@ rows, so nothing is partitioned by sensor alone:
     with the previous 1800 seconds as halo (at most 86,400 + 1,800 rows per
     task whatever the data rate), and joined back on (sensor, second).
 
-``window``: the plain window form, one task per sensor. Fine for many small
-sensors; used as the test reference for ``chunked``.
+The tests check the result against the plain per-sensor window form.
 """
 
 from __future__ import annotations
@@ -105,7 +102,7 @@ def _feature_names(change: bool, rolling: bool, target: bool, humidity_trend: bo
             + (["target_temperature"] if target else []) + (["humidity_trend"] if humidity_trend else []))
 
 
-def add_features(valid: DataFrame, *, strategy: str = "chunked", keys: tuple[str, ...] = ("sensor_id",),
+def add_features(valid: DataFrame, *, keys: tuple[str, ...] = ("sensor_id",),
                  chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
                  change: bool = True, rolling: bool = True, target: bool = True,
                  humidity_trend: bool = False, with_seq: bool = False) -> DataFrame:
@@ -116,8 +113,6 @@ def add_features(valid: DataFrame, *, strategy: str = "chunked", keys: tuple[str
     sensor), which lets the chronological split skip a second numbering."""
     keys = list(keys)
     names = _feature_names(change, rolling, target, humidity_trend)
-    if strategy == "window":
-        return _features_window(valid, keys, change, rolling, target, humidity_trend)
     seq_df = sequence_index(valid, keys, ORDER, count_col="key_rows")
     specs = []
     if change:
@@ -144,24 +139,4 @@ def add_features(valid: DataFrame, *, strategy: str = "chunked", keys: tuple[str
     return out.select(*valid.columns, *(["seq", "key_rows"] if with_seq else []), *names)
 
 
-def _features_window(valid: DataFrame, keys: list[str], change: bool, rolling: bool, target: bool,
-                     humidity_trend: bool) -> DataFrame:
-    # F1, F3 and the trend share one spec and are built together so Catalyst
-    # collapses them into one Window node; F2 needs its own RANGE spec.
-    w = Window.partitionBy(*keys).orderBy(*ORDER)
-    cols = []
-    if change:
-        cols.append((F.col("temperature") - F.lag("temperature", 1).over(w)).alias("temperature_change"))
-    if target:
-        cols.append(F.lead("temperature", C.TARGET_LEAD_ROWS).over(w).alias("target_temperature"))
-    if humidity_trend:
-        cols.append((F.col("humidity") - F.lag("humidity", 1).over(w)).alias("humidity_trend"))
-    df = valid.select("*", *cols)
-    if rolling:
-        wr = (Window.partitionBy(*keys).orderBy(epoch_seconds(F.col("timestamp")))
-              .rangeBetween(-C.ROLLING_WINDOW_SECONDS, Window.currentRow))
-        df = df.withColumn("rolling_avg_temperature", F.avg("temperature").over(wr))
-    return df.select(*valid.columns, *_feature_names(change, rolling, target, humidity_trend))
-
-
 __all__ = ["add_features", "offset_values", "rolling_mean_by_second", "epoch_seconds"]

@@ -63,6 +63,7 @@ def sequence_index(df: DataFrame, keys: list[str], order: list[str], *,
         F.count(F.lit(1)).alias("_run_rows"),
         F.min("_pos").alias("_run_pos0"),
     )
+    # over the run table (at most one row per partition and key), not the data
     by_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = by_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select(
@@ -82,11 +83,3 @@ def sequence_index(df: DataFrame, keys: list[str], order: list[str], *,
         out = out.withColumn(count_col, F.col("_key_rows").cast("long"))
     drop = ["_part", "_pos", "_r_part", "_run_pos0", "_run_base", "_key_rows"] + [f"_r_{k}" for k in keys]
     return out.drop(*drop)
-
-
-def row_number_window(df: DataFrame, keys: list[str], order: list[str],
-                      seq_col: str = "seq") -> DataFrame:
-    """The plain window form (one task per key). Kept for small inputs and as
-    the reference the distributed form is tested against."""
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(*order)
-    return df.withColumn(seq_col, F.row_number().over(w).cast("long"))

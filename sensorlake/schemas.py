@@ -53,7 +53,8 @@ STREAM_VALUE_STRICT = StructType([
     StructField("event_id", LongType(), True),
 ])
 
-# Wide process CSV: 15 columns, header row. Only three feed a reading.
+# --- fixed values: the wide process CSV header (15 columns, in file order);
+# only three feed a reading.
 WIDE_CSV_COLUMNS = [
     "Timestamp",
     "Current Temperature (°C)",

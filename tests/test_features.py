@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from sensorlake.operators.features import add_features
-from sensorlake.operators.sequence import row_number_window, sequence_index
+from plain_forms import features_window, row_number_window
+from sensorlake.operators.sequence import sequence_index
 from sensorlake.operators.validate import validate_reading
 from sensorlake.sources.events import readings_raw
 
@@ -15,10 +16,9 @@ def test_rolling_window_fixture(readings):
     rows = [(1, "A", "2024-01-01 00:00:00", 1.0, 50.0), (2, "A", "2024-01-01 00:10:00", 2.0, 50.0),
             (3, "A", "2024-01-01 00:30:00", 3.0, 50.0), (4, "A", "2024-01-01 00:30:00.900000", 4.0, 50.0),
             (5, "A", "2024-01-01 01:01:00", 5.0, 50.0)]
-    for strategy in ("chunked", "window"):
-        out = add_features(readings(rows), strategy=strategy, chunk_rows=13, chunk_seconds=1800)
+    for out in (add_features(readings(rows), chunk_rows=13, chunk_seconds=1800), features_window(readings(rows))):
         got = [r["rolling_avg_temperature"] for r in out.orderBy("event_id").collect()]
-        assert got == [1.0, 1.5, 2.5, 2.5, 5.0], strategy
+        assert got == [1.0, 1.5, 2.5, 2.5, 5.0]
 
 
 def test_target_is_twelve_rows_ahead(readings):
@@ -41,7 +41,7 @@ def _compare(a, b, cols):
 def test_chunked_equals_window_on_events(spark):
     valid = validate_reading(readings_raw(spark, SF_SMALL))[0]
     cols = ["temperature_change", "rolling_avg_temperature", "target_temperature", "humidity_trend"]
-    plain = add_features(valid, strategy="window", humidity_trend=True)
+    plain = features_window(valid, humidity_trend=True)
     for chunk_rows, chunk_seconds in ((13, 1800), (50, 7200), (1 << 20, 86400)):
         chunked = add_features(valid, chunk_rows=chunk_rows, chunk_seconds=chunk_seconds, humidity_trend=True)
         _compare(chunked, plain, cols)

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from plain_forms import features_window
 from sensorlake.operators.features import add_features
 from sensorlake.operators.splits import label_reference_current
 from sensorlake.operators.validate import validate_reading, with_reasons
@@ -39,7 +40,7 @@ def _pdf(df):
 def test_chunked_features_equal_window(spark, rows, chunk_rows, chunk_seconds):
     df = _frame(spark, rows)
     a = _pdf(add_features(df, chunk_rows=chunk_rows, chunk_seconds=chunk_seconds, humidity_trend=True))
-    b = _pdf(add_features(df, strategy="window", humidity_trend=True))
+    b = _pdf(features_window(df, humidity_trend=True))
     for c in ["temperature_change", "rolling_avg_temperature", "target_temperature", "humidity_trend"]:
         pd.testing.assert_series_equal(a[c], b[c], check_exact=False, rtol=1e-9, atol=1e-9)
 
@@ -96,4 +97,4 @@ def test_empty_input(spark):
     empty = spark.createDataFrame([], READING)
     assert add_features(empty).count() == 0
     assert label_reference_current(empty).count() == 0
-    assert add_features(empty.filter(F.lit(False)), strategy="window").count() == 0
+    assert add_features(empty, target=False, rolling=False).count() == 0
