@@ -23,7 +23,7 @@ from ..operators.validate import validate_reading
 from ..schemas import FEATURE_STORE_COLUMNS
 from ..session import durable
 from ..sinks.files import write_invalid
-from ..sinks.upsert import upsert, with_event_date
+from ..sinks.upsert import first_wins, upsert, with_event_date
 
 
 @dataclass
@@ -36,14 +36,19 @@ class TrainResult:
     split_counts: dict = field(default_factory=dict)
     validation_predictions: DataFrame | None = None
     test_metrics: dict = field(default_factory=dict)
+    sensors_without_target: int = 0     # sensors with <= 12 valid rows: no training row
 
 
 def run_training(readings: DataFrame, *, registry_root: str, store_root: str | None = None,
                  invalid_path: str | None = None, max_mae: float = C.MAX_VALIDATION_MAE,
                  reg_param: float = C.REG_PARAM, elastic_net: float = C.ELASTIC_NET_PARAM,
-                 model_name: str = C.MODEL_NAME, **feature_kw) -> TrainResult:
+                 model_name: str = C.MODEL_NAME, dedup_first: bool = False, **feature_kw) -> TrainResult:
+    """``dedup_first``: build features on first-wins deduplicated readings
+    (default: on every valid row, duplicates included)."""
     spark = readings.sparkSession
     valid, invalid = validate_reading(readings)
+    if dedup_first:
+        valid = first_wins(valid)
     if invalid_path:
         write_invalid(invalid, invalid_path)                                      # K1
     if store_root:
@@ -54,6 +59,8 @@ def run_training(readings: DataFrame, *, registry_root: str, store_root: str | N
         upsert(f"{store_root}/sensor_features",
                with_event_date(feats.select(*FEATURE_STORE_COLUMNS, "event_id", "source")),
                partition_by=["event_date"])                                       # K3
+    short = feats.groupBy("sensor_id").agg(F.max("key_rows").alias("n")) \
+        .filter(F.col("n") <= C.TARGET_LEAD_ROWS).count()                       # D11
     labelled = label_chrono(feats)                                                # P1 (materialised)
     counts = {r["split"]: r["n"] for r in
               labelled.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -75,4 +82,4 @@ def run_training(readings: DataFrame, *, registry_root: str, store_root: str | N
         version = reg.register(model, run_id, metrics,
                                signature(pred.select("features"), pred.select("prediction")), model_name)
         reg.set_alias(version, C.CHAMPION_ALIAS, model_name)
-    return TrainResult(model, metrics, passed, run_id, version, counts, pred, test_metrics)
+    return TrainResult(model, metrics, passed, run_id, version, counts, pred, test_metrics, short)

@@ -54,7 +54,7 @@ def test_pass_branch_registers_and_promotes(spark, grid, tmp_path):
     assert mon.metrics["monitoring_mae"] < 15 and reg.runs().count() == 2
     # stores are insert-or-ignore: a second run adds nothing
     n = spark.read.parquet(str(tmp_path / "stores/sensor_readings")).count()
-    run_training(grid, registry_root=root, store_root=str(tmp_path / "stores"))
+    run_training(grid, registry_root=root, store_root=str(tmp_path / "stores"), dedup_first=True)
     assert spark.read.parquet(str(tmp_path / "stores/sensor_readings")).count() == n == 1800
     assert Registry(spark, root).alias_version() == 2
 
@@ -63,6 +63,8 @@ def test_fail_branch_keeps_no_version(spark, tmp_path):
     root = str(tmp_path / "reg")
     res = run_training(readings_raw(spark, SF_SMALL), registry_root=root)
     assert not res.passed and res.version is None
+    assert res.sensors_without_target == 1          # the '' pseudo-sensor has < 13 rows at sf0.001
+    assert set(res.test_metrics) == {"test_mse", "test_mae", "test_rmse", "test_r2"}
     assert Registry(spark, root).alias_version() is None
     with pytest.raises(LookupError):
         Registry(spark, root).load()

@@ -59,3 +59,22 @@ def test_union_sources_keeps_every_row(spark, tmp_path):
     u = load_all(load_csv(spark, str(tmp_path / "csv"), id_col="event_id"),
                  load_json(spark, str(tmp_path / "api")), load_table(spark, db))
     assert _rows(u) == _rows(raw)
+
+
+def test_simulator_csv_stream(spark, tmp_path):
+    from sensorlake.streaming.consumer import await_all, csv_file_source, start_parquet
+    from sensorlake.operators.validate import with_reasons
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text(
+        "sensor_id,timestamp,temperature,humidity,is_faulty,fault_type,source,event_id\n"
+        "MANUFACTURING_01,2026-10-06T12:00:00+05:30,372.63,55.1,False,,simulator,1\n"
+        "MANUFACTURING_02,,370.0,54.0,True,missing_timestamp,simulator,2\n"
+        " ,2026-10-06T12:01:00+05:30,371.0,56.0,True,missing_sensor_id,simulator,3\n")
+    out = str(tmp_path / "out")
+    await_all([start_parquet(csv_file_source(spark, str(folder)), out, str(tmp_path / "ck"), available_now=True)])
+    rows = {r["event_id"]: r for r in with_reasons(spark.read.parquet(out)).collect()}
+    assert rows[1]["timestamp"].isoformat().startswith("2026-10-06T06:30:00")     # offset applied, UTC
+    assert rows[1]["reasons"] == "" and rows[1]["temperature"] == 372.63
+    assert rows[2]["reasons"] == "Timestamp is missing"
+    assert rows[3]["reasons"] == "Sensor ID is missing"
