@@ -99,3 +99,39 @@ def test_calibrate_matches_statistics(spark, readings):
     mt, mh = statistics.fmean(ts), statistics.fmean(hs)
     cov = sum((a - mt) * (b - mh) for a, b in zip(ts, hs)) / len(ts)
     assert r["coupling"] == pytest.approx(max(-2.0, min(2.0, cov / statistics.pvariance(ts))))
+
+
+def test_coefficients_equal_least_squares(spark, grid):
+    import numpy as np
+    from sensorlake.ml.model import coefficients, train_model
+    from sensorlake.operators.features import add_features
+    from sensorlake.operators.splits import label_chrono
+    from sensorlake.schemas import FEATURE_COLUMNS
+    lab = label_chrono(add_features(grid, with_seq=True))
+    train = lab.filter(F.col("split") == "train")
+    model = train_model(train)
+    got = {r["term"]: r["coefficient"] for r in coefficients(spark, model).collect()}
+    pdf = train.select(*FEATURE_COLUMNS, "target_temperature").toPandas()
+    X = np.column_stack([pdf[c].to_numpy() for c in FEATURE_COLUMNS] + [np.ones(len(pdf))])
+    beta, *_ = np.linalg.lstsq(X, pdf["target_temperature"].to_numpy(), rcond=None)
+    for i, c in enumerate(FEATURE_COLUMNS):
+        assert got[c] == pytest.approx(beta[i], rel=1e-6, abs=1e-6)
+    assert got["intercept"] == pytest.approx(beta[-1], rel=1e-6, abs=1e-5)
+
+
+def test_champion_eval_equals_pandas(spark, grid):
+    import numpy as np
+    from sensorlake.ml.model import predict, train_model
+    from sensorlake.operators.features import add_features
+    from sensorlake.operators.splits import label_chrono, label_reference_current
+    from sensorlake.plans.monitor import evaluate_on
+    lab = label_chrono(add_features(grid, with_seq=True))
+    model = train_model(lab.filter(F.col("split") == "train"))
+    ref = label_reference_current(grid)
+    m = evaluate_on(ref, model, "reference").first()
+    part = ref.filter(F.col("slice") == "reference").drop("slice", "row_number", "total_rows")
+    feats = add_features(part).dropna(subset=["temperature_change", "target_temperature"])
+    p = predict(model, feats).select("prediction", "target_temperature").toPandas()
+    e = p["prediction"].to_numpy() - p["target_temperature"].to_numpy()
+    assert m["mae"] == pytest.approx(np.abs(e).mean()) and m["rmse"] == pytest.approx(np.sqrt((e * e).mean()))
+    assert m["n_rows"] == len(p)
