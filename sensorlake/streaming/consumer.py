@@ -238,11 +238,14 @@ def quarantine_batch(batch: DataFrame, batch_id: int, out_dir: str, *, delay_sec
         fresh = fresh.join(seen.select(*keys), list(keys), "left_anti")
     except Exception:  # noqa: BLE001 - nothing accepted yet
         pass
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    fresh.write.mode("overwrite").partitionBy("batch_id").parquet(valid_path)
-    late.write.mode("overwrite").partitionBy("batch_id").parquet(late_path)
-    rows.groupBy("batch_id").agg(F.max("timestamp").alias("max_event_time")) \
-        .write.mode("overwrite").partitionBy("batch_id").parquet(marks_path)
+    def replace_batch(df: DataFrame, path: str) -> None:
+        # dynamic overwrite: only this batch's partition is replaced
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(path))
+
+    replace_batch(fresh, valid_path)
+    replace_batch(late, late_path)
+    replace_batch(rows.groupBy("batch_id").agg(F.max("timestamp").alias("max_event_time")), marks_path)
 
 
 def run_quarantine(messages: DataFrame, out_dir: str, *, delay_seconds: int = 600,
