@@ -11,6 +11,7 @@ from ..ml.model import predict
 from ..operators.features import add_features
 from ..operators.validate import validate_reading
 from ..sinks.files import write_predictions
+from ..session import durable
 from ..sinks.upsert import upsert
 
 
@@ -24,7 +25,12 @@ def score(readings: DataFrame, model: PipelineModel, **feature_kw) -> tuple[Data
 
 
 def run_inference(readings: DataFrame, model: PipelineModel, out_path: str | None = None, *,
-                  with_keys: bool = False, fmt: str = "csv") -> DataFrame:
+                  with_keys: bool = False, fmt: str = "csv", materialize_input: bool = True) -> DataFrame:
+    """Scores the readings; with ``out_path`` also writes the prediction sink.
+    The sources are parsed once into a Parquet stage first (range sampling and
+    the shuffle would otherwise parse them twice)."""
+    if materialize_input:
+        readings = durable(readings, "readings")
     pred, _ = score(readings, model)
     if out_path:
         write_predictions(pred, out_path, with_keys=with_keys, fmt=fmt)

@@ -16,6 +16,7 @@ from ..operators.features import add_features
 from ..operators.metrics import drift_report, regression_metrics
 from ..operators.splits import label_reference_current
 from ..operators.validate import validate_reading
+from ..session import durable
 
 
 @dataclass
@@ -37,7 +38,9 @@ def evaluate_on(labelled: DataFrame, model: PipelineModel, eval_slice: str = "re
 
 def run_monitoring(readings: DataFrame, model: PipelineModel | None, *, registry_root: str | None = None,
                    eval_slice: str = "reference", threshold: float = C.DRIFT_THRESHOLD_PERCENT,
-                   **feature_kw) -> MonitorResult:
+                   materialize_input: bool = True, **feature_kw) -> MonitorResult:
+    if materialize_input:
+        readings = durable(readings, "readings")
     valid, _ = validate_reading(readings)
     labelled = label_reference_current(valid)                     # materialised
     drift = drift_report(labelled, threshold=threshold)

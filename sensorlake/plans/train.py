@@ -42,10 +42,15 @@ class TrainResult:
 def run_training(readings: DataFrame, *, registry_root: str, store_root: str | None = None,
                  invalid_path: str | None = None, max_mae: float = C.MAX_VALIDATION_MAE,
                  reg_param: float = C.REG_PARAM, elastic_net: float = C.ELASTIC_NET_PARAM,
-                 model_name: str = C.MODEL_NAME, dedup_first: bool = False, **feature_kw) -> TrainResult:
+                 model_name: str = C.MODEL_NAME, dedup_first: bool = False,
+                 materialize_input: bool = True, **feature_kw) -> TrainResult:
     """``dedup_first``: build features on first-wins deduplicated readings
-    (default: on every valid row, duplicates included)."""
+    (default: on every valid row, duplicates included). ``materialize_input``:
+    the readings feed five scans (rejects, store, range sampling, shuffle,
+    features); parse the sources once into a Parquet stage first."""
     spark = readings.sparkSession
+    if materialize_input:
+        readings = durable(readings, "readings")
     valid, invalid = validate_reading(readings)
     if dedup_first:
         valid = first_wins(valid)
