@@ -46,9 +46,21 @@ def build_session(master: str = "local[*]", app: str = "sensorlake",
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Pin the SQL settings our semantics depend on (safe on any session)."""
+    """Pin the SQL settings our semantics depend on (safe on any session),
+    and make the package's Python code travel with the tasks."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
+    ship_code()
+
+
+def ship_code() -> None:
+    """Python workers (Pandas UDF state functions, the SQLite data source)
+    need this package. Pickle its functions and classes by value, so an
+    executor runs them without the package installed or on its path (the
+    alternative is shipping a zip with --py-files / addPyFile)."""
+    from pyspark import cloudpickle
+    import sensorlake
+    cloudpickle.register_pickle_by_value(sensorlake)
 
 
 def work_dir(spark: SparkSession) -> str:

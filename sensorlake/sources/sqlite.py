@@ -53,15 +53,23 @@ def _split(path: str, lo: int, hi: int, pieces: int) -> list[IdRange]:
     return [IdRange(path, a, min(a + step - 1, hi)) for a in range(lo, hi + 1, step)]
 
 
-def _read_range(part: IdRange, table: str):
+def _read_range(part: IdRange, table: str, batch_rows: int = 8192):
+    """Rows of one id range as Arrow record batches (no per-row hand-off to
+    Spark)."""
+    import pyarrow as pa
+    schema = pa.schema([("id", pa.int64()), ("sensor_id", pa.string()), ("timestamp", pa.string()),
+                        ("temperature", pa.float64()), ("humidity", pa.float64())])
     con = _connect(part.path)
     try:
         cur = con.execute(
-            f"SELECT id, sensor_id, timestamp, temperature, humidity FROM {table} "
-            "WHERE id BETWEEN ? AND ? ORDER BY id", (part.lo, part.hi))
-        for rid, sid, ts, t, h in cur:
-            yield (rid, sid, None if ts is None else str(ts),
-                   None if t is None else float(t), None if h is None else float(h))
+            f"SELECT id, sensor_id, CAST(timestamp AS TEXT), CAST(temperature AS REAL), "
+            f"CAST(humidity AS REAL) FROM {table} WHERE id BETWEEN ? AND ? ORDER BY id", (part.lo, part.hi))
+        while True:
+            rows = cur.fetchmany(batch_rows)
+            if not rows:
+                break
+            cols = list(zip(*rows))
+            yield pa.record_batch([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
     finally:
         con.close()
 
