@@ -12,41 +12,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..ml.model import coefficients, train_model
+from ..ml.registry import Registry
+from ..ml.search import grid_search
+from ..operators.calibrate import calibrate
+from ..operators.faults import inject_faults
 from ..operators.features import add_features
-from ..operators.metrics import (
-    drift_report,
-    drift_stats,
-    quality_gate,
-    regression_metrics,
-    sensor_counts,
-)
+from ..operators.metrics import drift_report, drift_stats, quality_gate, regression_metrics, sensor_counts
+from ..operators.reports import dashboard_histogram, dashboard_summary, etl_quality
 from ..operators.splits import label_chrono, label_reference_current
 from ..operators.validate import dq_summary, reason_counts, validate_reading, with_reasons
 from ..schemas import FEATURE_STORE_COLUMNS, READING_COLUMNS
 from ..session import apply_runtime_conf, durable, scratch_path
+from ..sinks.curated import read_curated, write_curated
 from ..sinks.files import ISO_TIME_TEXT, readings_to_json, readings_to_json_value, readings_to_wide_csv, write_csv
 from ..sinks.upsert import upsert
 from ..sources.events import readings_dup, readings_raw
 from ..sources.files import load_all, load_csv, load_json
-from ..sources.sqlite import load_table, pull_increment, write_shards
+from ..sources.sqlite import load_table, pull_increment, stream_table, write_shards
 from ..streaming.consumer import (
     await_all,
     csv_file_source,
     deduplicate,
     file_source,
     parse_messages,
+    run_consumer,
+    run_quarantine,
     split_stream,
     start_parquet,
 )
-from ..ml.model import coefficients, train_model
-from ..ml.registry import Registry
-from ..operators.calibrate import calibrate
-from ..operators.faults import inject_faults
-from ..operators.reports import dashboard_histogram, dashboard_summary, etl_quality
-from ..sinks.curated import read_curated, write_curated
-from ..streaming.consumer import run_consumer, run_quarantine
-from ..sources.sqlite import stream_table
-from ..ml.search import grid_search
 from ..streaming.features import stream_features
 from .export import export
 from .infer import run_inference, score, store_predictions
