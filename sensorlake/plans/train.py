@@ -19,7 +19,7 @@ from ..ml.registry import Registry, signature
 from ..operators.features import add_features
 from ..operators.metrics import regression_metrics
 from ..operators.splits import label_chrono
-from ..operators.validate import validate_reading
+from ..operators.validate import dq_summary, validate_reading
 from ..schemas import FEATURE_STORE_COLUMNS
 from ..session import durable
 from ..sinks.files import write_invalid
@@ -37,6 +37,7 @@ class TrainResult:
     validation_predictions: DataFrame | None = None
     test_metrics: dict = field(default_factory=dict)
     sensors_without_target: int = 0     # sensors with <= 12 valid rows: no training row
+    quality: dict = field(default_factory=dict)   # A3 counts of the input
 
 
 def run_training(readings: DataFrame, *, registry_root: str, store_root: str | None = None,
@@ -51,6 +52,7 @@ def run_training(readings: DataFrame, *, registry_root: str, store_root: str | N
     spark = readings.sparkSession
     if materialize_input:
         readings = durable(readings, "readings")
+    quality = dq_summary(readings).first().asDict()                              # A3
     valid, invalid = validate_reading(readings)
     if dedup_first:
         valid = first_wins(valid)
@@ -80,11 +82,11 @@ def run_training(readings: DataFrame, *, registry_root: str, store_root: str | N
     test_metrics = {f"test_{k}": t[k] for k in ("mse", "mae", "rmse", "r2")}      # B7
     passed = m["mae"] is not None and m["mae"] <= max_mae                         # M5
     reg = Registry(spark, registry_root)
-    run_id = reg.log_run("training", params_of(model, max_mae=max_mae), {**metrics, **test_metrics},
-                         model_name)                                              # M8
+    run_id = reg.log_run("training", params_of(model, max_mae=max_mae),
+                         {**metrics, **test_metrics, **quality}, model_name)      # M8
     version = None
     if passed:                                                                    # M6, M9
         version = reg.register(model, run_id, metrics,
                                signature(pred.select("features"), pred.select("prediction")), model_name)
         reg.set_alias(version, C.CHAMPION_ALIAS, model_name)
-    return TrainResult(model, metrics, passed, run_id, version, counts, pred, test_metrics, short)
+    return TrainResult(model, metrics, passed, run_id, version, counts, pred, test_metrics, short, quality)

@@ -64,6 +64,7 @@ def test_fail_branch_keeps_no_version(spark, tmp_path):
     res = run_training(readings_raw(spark, SF_SMALL), registry_root=root)
     assert not res.passed and res.version is None
     assert res.sensors_without_target == 1          # the '' pseudo-sensor has < 13 rows at sf0.001
+    assert res.quality["total_rows"] == 1000 and res.quality["valid_rows"] == 818
     assert set(res.test_metrics) == {"test_mse", "test_mae", "test_rmse", "test_r2"}
     assert Registry(spark, root).alias_version() is None
     with pytest.raises(LookupError):
