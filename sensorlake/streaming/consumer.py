@@ -121,11 +121,26 @@ def split_stream(parsed: DataFrame, *, blank: str = "exact_space") -> tuple[Data
 
 
 def deduplicate(valid: DataFrame, *, delay: str = C.WATERMARK_DELAY,
-                keys=C.STREAM_DEDUP_KEYS) -> DataFrame:
+                keys=C.STREAM_DEDUP_KEYS, mode: str = "state") -> DataFrame:
     """Watermark on event time, then drop repeats of (sensor_id,
     timestamp, source). Rows older than the watermark are dropped; the state
-    for a key is removed once the watermark passes its event time."""
-    return valid.withWatermark("timestamp", delay).dropDuplicates(list(keys))
+    for a key is removed once the watermark passes its event time.
+
+    ``mode="state"`` (default): the native deduplication operator; a row is
+    emitted as soon as it first arrives. ``mode="aggregate"``: a windowless
+    streaming aggregation keeping the first row per key (``min_by`` on
+    ``event_id``), emitted in append mode once the watermark passes the key's
+    event time. It aggregates partially before the shuffle, so a key repeated
+    millions of times in one micro-batch reaches its task as one row per map
+    task; the price is output delayed by the watermark."""
+    w = valid.withWatermark("timestamp", delay)
+    if mode == "state":
+        return w.dropDuplicates(list(keys))
+    others = [c for c in valid.columns if c not in keys]
+    order = F.struct(F.coalesce(F.col("event_id"), F.lit(0)).alias("k")) if "event_id" in valid.columns \
+        else F.struct(F.lit(0).alias("k"))
+    picked = w.groupBy(*keys).agg(F.min_by(F.struct(*others), order).alias("_row"))
+    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*valid.columns)
 
 
 def observe_quality(parsed: DataFrame, name: str = "etl_quality") -> DataFrame:
