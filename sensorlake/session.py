@@ -23,6 +23,11 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Streaming state (dedup keys, per-sensor feature buffers) in RocksDB:
+    # off-heap, spills to local disk, checkpointed incrementally.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 _LOCAL_WORK_DIR: dict[str, str] = {}
