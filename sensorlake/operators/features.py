@@ -83,7 +83,7 @@ def rolling_mean_by_second(df: DataFrame, keys: list[str], value: str, *, ts_col
         raise ValueError("chunk_seconds must be at least window_seconds")
     per_sec = df.groupBy(*keys, epoch_seconds(F.col(ts_col)).alias("_sec")).agg(
         F.sum(value).alias("_sum"), F.count(value).alias("_cnt"))
-    day = F.expr(f"_sec div {chunk_seconds}")
+    day = F.floor(F.col("_sec") / F.lit(chunk_seconds)).cast("long")   # floor: also before 1970
     # a second in the last ``window`` seconds of its day also feeds the next day
     tail = F.col("_sec") - day * chunk_seconds >= chunk_seconds - window_seconds
     ext = per_sec.select("*", day.alias("_home"),

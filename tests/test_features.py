@@ -70,3 +70,13 @@ def test_hot_sensor_is_split_across_tasks(spark):
     laid = sequence_index(df, ["sensor_id"], ["timestamp", "event_id"], partitions=8)
     assert laid.rdd.getNumPartitions() >= 4
     assert laid.agg(F.max("seq")).first()[0] == 20000
+
+
+def test_rolling_across_day_chunks_before_1970(readings):
+    # rows either side of a day boundary (and of the epoch) see each other within 30 minutes
+    rows = [(1, "A", "1969-12-31 23:50:00", 1.0, 50.0), (2, "A", "1970-01-01 00:10:00", 3.0, 50.0),
+            (3, "A", "1969-12-30 23:59:00", 5.0, 50.0), (4, "A", "1969-12-31 00:01:00", 7.0, 50.0)]
+    got = {r["event_id"]: r["rolling_avg_temperature"]
+           for r in add_features(readings(rows), chunk_rows=13, chunk_seconds=3600).collect()}
+    want = {r["event_id"]: r["rolling_avg_temperature"] for r in features_window(readings(rows)).collect()}
+    assert got == want == {1: 1.0, 2: 2.0, 3: 5.0, 4: 6.0}
