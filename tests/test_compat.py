@@ -1,0 +1,29 @@
+"""The original call sequence of the training script, through sensorlake.compat."""
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from sensorlake import compat
+from sensorlake.operators.faults import reading_grid
+from sensorlake.sources.events import readings_raw
+
+
+def test_training_script_sequence(spark, tmp_path):
+    valid, invalid = compat.validate_reading(readings_raw(spark, SF_SMALL))
+    feats = compat.create_target(compat.create_rolling_average(compat.create_temperature_change(valid)))
+    assert {"temperature_change", "rolling_avg_temperature", "target_temperature"} <= set(feats.columns)
+    training = feats.filter(F.col("target_temperature").isNotNull())
+    train, val, test = compat.data_split(training)
+    assert "features" in train.columns and train.count() > 0
+    model = compat.train_model(train)
+    mse, mae, rmse = compat.evaluate_model(compat.predict(model, val))
+    assert abs(rmse * rmse - mse) < 1e-6 and mae > 0
+    compat.store_readings(str(tmp_path / "readings"), valid)
+    compat.store_features(str(tmp_path / "features"), feats)
+    assert compat.check_features(spark, str(tmp_path / "features")).count() == 10
+
+
+def test_monitoring_sequence(spark):
+    ref, cur = compat.split_reference_current_data(reading_grid(spark, per_sensor=100))
+    assert ref.count() == 240 and cur.count() == 60
+    drift = compat.calculate_drift(compat.calculate_statistics(ref), compat.calculate_statistics(cur))
+    assert drift["humidity"]["mean_status"] == "OK" and set(drift) == {"temperature", "humidity"}
