@@ -26,7 +26,7 @@ SESSION_CONF = {
     # Streaming state (dedup keys, per-sensor feature buffers) in RocksDB:
     # off-heap, spills to local disk, checkpointed incrementally.
     "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",  # = ROCKSDB_PROVIDER
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -58,6 +58,18 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     ship_code()
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Stream state in RocksDB (required by transformWithStateInPandas).
+    Only new queries take it: a restarted query keeps the provider recorded
+    in its checkpoint."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 def ship_code() -> None:
     """Python workers (Pandas UDF state functions, the SQLite data source)
     need this package. Pickle its functions and classes by value, so an

@@ -17,33 +17,43 @@ reaches the reading store). The last 12 readings of a sensor stay pending.
 
 State is keyed by sensor (a sensor's order is one sequence, so its rows of a
 micro-batch are handled by one task); its size is bounded by 30 minutes of
-readings plus 12, whatever the total volume.
+readings plus 12, whatever the total volume. It lives in the state store as
+typed rows (``transformWithStateInPandas`` list and value state; the session
+uses the RocksDB provider).
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from .. import config as C
+from ..session import use_rocksdb_state
 
 OUT_SCHEMA = ("event_id long, sensor_id string, timestamp timestamp, temperature double, humidity double, "
               "source string, temperature_change double, rolling_avg_temperature double, "
               "target_temperature double")
-STATE_SCHEMA = "buffer string"
+BUFFER_SCHEMA = "event_id long, ts_us long, temperature double, humidity double, source string"
 _COLS = ["event_id", "ts_us", "temperature", "humidity", "source"]
 
 
-def _load(state: GroupState) -> tuple[pd.DataFrame, int]:
-    if not state.exists:
-        return pd.DataFrame({c: [] for c in _COLS}), 0
-    d = json.loads(state.get[0])
-    return pd.DataFrame(d["rows"], columns=_COLS), int(d["emitted"])
+def _arrivals(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    new = []
+    for pdf in batches:
+        ts = pd.to_datetime(pdf["timestamp"])
+        ts = ts.dt.tz_localize(None) if getattr(ts.dt, "tz", None) is not None else ts
+        new.append(pd.DataFrame({
+            "event_id": pdf["event_id"].astype("int64"),
+            "ts_us": ts.astype("datetime64[us]").astype("int64"),
+            "temperature": pdf["temperature"].astype(float),
+            "humidity": pdf["humidity"].astype(float),
+            "source": pdf["source"].astype(object),
+        }))
+    return pd.concat(new, ignore_index=True) if new else pd.DataFrame({c: [] for c in _COLS})
 
 
 def _emit(sensor: str, buf: pd.DataFrame, emitted: int, lead: int, window_s: int):
@@ -59,7 +69,7 @@ def _emit(sensor: str, buf: pd.DataFrame, emitted: int, lead: int, window_s: int
     hi = np.searchsorted(sec, sec[idx], side="right")     # peers of the same second count
     rolling = np.array([t[a:b].mean() for a, b in zip(lo, hi)])
     prev = np.where(idx > 0, t[np.maximum(idx - 1, 0)], np.nan)
-    out = pd.DataFrame({
+    return pd.DataFrame({
         "event_id": buf["event_id"].to_numpy()[idx].astype("int64"),
         "sensor_id": sensor,
         "timestamp": pd.to_datetime(buf["ts_us"].to_numpy()[idx].astype("int64"), unit="us"),
@@ -70,53 +80,63 @@ def _emit(sensor: str, buf: pd.DataFrame, emitted: int, lead: int, window_s: int
         "rolling_avg_temperature": rolling,
         "target_temperature": t[idx + lead],
     })
-    return out
 
 
-def _step(key, batches: Iterator[pd.DataFrame], state: GroupState,
-          lead: int = C.TARGET_LEAD_ROWS, window_s: int = C.ROLLING_WINDOW_SECONDS):
-    sensor = key[0]
-    buf, emitted = _load(state)
-    new = []
-    for pdf in batches:
-        ts = pd.to_datetime(pdf["timestamp"])
-        ts = ts.dt.tz_localize(None) if getattr(ts.dt, "tz", None) is not None else ts
-        new.append(pd.DataFrame({
-            "event_id": pdf["event_id"].astype("int64"),
-            "ts_us": ts.astype("datetime64[us]").astype("int64"),
-            "temperature": pdf["temperature"].astype(float),
-            "humidity": pdf["humidity"].astype(float),
-            "source": pdf["source"],
-        }))
-    if new:
-        arrived = pd.concat(new, ignore_index=True)
+def _advance(sensor: str, buf: pd.DataFrame, emitted: int, arrived: pd.DataFrame,
+             lead: int = C.TARGET_LEAD_ROWS, window_s: int = C.ROLLING_WINDOW_SECONDS):
+    """One micro-batch for one sensor: merge the arrivals into the sorted
+    buffer (dropping any older than an emitted reading), emit the readings
+    whose target is known, and keep only what pending readings still need.
+    Returns (buffer, emitted count, output rows or None)."""
+    if len(arrived):
         if emitted > 0 and len(buf):
-            last = (buf["ts_us"].iloc[emitted - 1], buf["event_id"].iloc[emitted - 1])
-            keep = (arrived["ts_us"] > last[0]) | ((arrived["ts_us"] == last[0]) & (arrived["event_id"] > last[1]))
-            arrived = arrived[keep]
+            last_ts, last_id = buf["ts_us"].iloc[emitted - 1], buf["event_id"].iloc[emitted - 1]
+            arrived = arrived[(arrived["ts_us"] > last_ts) |
+                              ((arrived["ts_us"] == last_ts) & (arrived["event_id"] > last_id))]
         buf = pd.concat([buf, arrived], ignore_index=True) if len(buf) else arrived
         buf = buf.sort_values(["ts_us", "event_id"], kind="mergesort").reset_index(drop=True)
     out = _emit(sensor, buf, emitted, lead, window_s)
     if out is not None:
         emitted += len(out)
-    # keep the last emitted row and every row a pending row's frame can reach
     if emitted > 0:
-        first_pending_sec = (buf["ts_us"].iloc[emitted] // 1_000_000) if emitted < len(buf) else None
-        cut = emitted - 1
-        if first_pending_sec is not None:
+        cut = emitted - 1                                   # keep the last emitted reading
+        if emitted < len(buf):
             secs = buf["ts_us"].to_numpy() // 1_000_000
-            cut = min(cut, int(np.searchsorted(secs, first_pending_sec - window_s, side="left")))
+            first_pending = secs[emitted]
+            cut = min(cut, int(np.searchsorted(secs, first_pending - window_s, side="left")))
         buf = buf.iloc[cut:].reset_index(drop=True)
         emitted -= cut
-    state.update((json.dumps({"rows": buf.to_dict("list"), "emitted": emitted}),))
-    if out is not None:
-        yield out
+    return buf, emitted, out
+
+
+class SensorFeatures(StatefulProcessor):
+    """Per-sensor state: ``buffer`` (the sorted readings still needed) and
+    ``emitted`` (how many of them were already emitted)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.buffer = handle.getListState("buffer", BUFFER_SCHEMA)
+        self.emitted = handle.getValueState("emitted", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        stored = list(self.buffer.get()) if self.buffer.exists() else []
+        buf = pd.DataFrame(stored, columns=_COLS) if stored else pd.DataFrame({c: [] for c in _COLS})
+        buf = buf.astype({"event_id": "int64", "ts_us": "int64", "temperature": float, "humidity": float})
+        emitted = int(self.emitted.get()[0]) if self.emitted.exists() else 0
+        buf, emitted, out = _advance(key[0], buf, emitted, _arrivals(rows))
+        cols = buf.to_dict("list")
+        self.buffer.put(list(zip(*[cols[c] for c in _COLS])))
+        self.emitted.update((emitted,))
+        if out is not None:
+            yield out
+
+    def close(self) -> None:
+        pass
 
 
 def stream_features(valid: DataFrame) -> DataFrame:
     """Streaming (or batch) valid readings -> feature rows, emitted once the
     12-row-ahead target is known. Append mode."""
+    use_rocksdb_state(valid.sparkSession)
     return (valid.select("event_id", "sensor_id", "timestamp", "temperature", "humidity", "source")
             .groupBy("sensor_id")
-            .applyInPandasWithState(_step, OUT_SCHEMA, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.NoTimeout))
+            .transformWithStateInPandas(SensorFeatures(), OUT_SCHEMA, "Append", "None"))
