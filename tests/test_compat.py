@@ -27,3 +27,35 @@ def test_monitoring_sequence(spark):
     assert ref.count() == 240 and cur.count() == 60
     drift = compat.calculate_drift(compat.calculate_statistics(ref), compat.calculate_statistics(cur))
     assert drift["humidity"]["mean_status"] == "OK" and set(drift) == {"temperature", "humidity"}
+
+
+def test_strict_sqlite_table_and_union(spark, tmp_path):
+    import json
+    import sqlite3
+    db = str(tmp_path / "sensor_data.db")
+    con = sqlite3.connect(db)
+    con.execute("""CREATE TABLE raw_sensor_readings (id INTEGER PRIMARY KEY AUTOINCREMENT,
+                   sensor_id TEXT NOT NULL, timestamp DATETIME NOT NULL, temperature REAL NOT NULL,
+                   humidity REAL NOT NULL, UNIQUE(sensor_id, timestamp))""")
+    con.executemany("INSERT INTO raw_sensor_readings (sensor_id, timestamp, temperature, humidity) VALUES (?,?,?,?)",
+                    [("MANUFACTURING_01", f"2026-10-01 00:{m:02d}:00", 370.0 + m, 55.0) for m in range(0, 60, 5)])
+    con.commit()
+    con.close()
+    table = compat.load_from_database(spark, db)
+    rows = table.orderBy("event_id").collect()
+    assert len(rows) == 12 and rows[0]["event_id"] == 1 and rows[0]["timestamp"].minute == 0
+    assert rows[-1]["temperature"] == 425.0 and {r["source"] for r in rows} == {"database"}
+    (tmp_path / "api").mkdir()
+    (tmp_path / "api" / "r.json").write_text(json.dumps(
+        {"sensor_id": "MANUFACTURING_02", "timestamp": "2026-10-01T00:00:00", "temperature": 371.5,
+         "humidity": 54.0, "is_faulty": False, "fault_type": None, "source": "api"}))
+    (tmp_path / "wide.csv").write_text(
+        "Timestamp,Current Temperature (°C),Setpoint Temperature (°C),Temperature Error (°C),"
+        "PID Control Output (%),Fuzzy PID Control Output (%),Overshoot (°C),Response Time (s),"
+        "Steady-State Error (°C),Ambient Temperature (°C),Humidity (%),PID Kp,PID Ki,PID Kd,"
+        "Fuzzy Rule Base Parameters\n"
+        "2026-10-01 00:00:00.000000,372.25,375.0,-2.75,40.0,41.0,0.5,30.0,0.1,25.0,56.5,1.0,0.1,0.01,1\n")
+    both = compat.load_from_all_sources(spark, str(tmp_path / "wide.csv"), str(tmp_path / "api"), db)
+    got = sorted((r["source"], r["sensor_id"]) for r in both.select("source", "sensor_id").distinct().collect())
+    assert got == [("api", "MANUFACTURING_02"), ("csv", "MANUFACTURING_01"), ("database", "MANUFACTURING_01")]
+    assert both.count() == 14
