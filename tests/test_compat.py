@@ -59,3 +59,17 @@ def test_strict_sqlite_table_and_union(spark, tmp_path):
     got = sorted((r["source"], r["sensor_id"]) for r in both.select("source", "sensor_id").distinct().collect())
     assert got == [("api", "MANUFACTURING_02"), ("csv", "MANUFACTURING_01"), ("database", "MANUFACTURING_01")]
     assert both.count() == 14
+
+
+def test_model_lifecycle(spark, tmp_path):
+    grid = reading_grid(spark, per_sensor=200)
+    feats = compat.create_target(compat.create_rolling_average(compat.create_temperature_change(grid)))
+    train, val, _ = compat.data_split(feats.filter(F.col("target_temperature").isNotNull()))
+    root = str(tmp_path / "registry")
+    model, pred = compat.run_training(train, val, registry_root=root)
+    assert pred.count() == val.count()
+    champion = compat.load_champion_model(spark, root)           # the gate passed on the grid
+    ref, _ = compat.split_reference_current_data(grid)
+    mae, rmse = compat.evaluate_champion_model(ref, registry_root=root)
+    assert 0 < mae <= rmse < 15
+    assert champion.transform(feats.filter(F.col("temperature_change").isNotNull())).count() == 597
