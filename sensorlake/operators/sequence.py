@@ -41,7 +41,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_RUN_ROWS) -> tup
 
 def sequence_index(df: DataFrame, keys: list[str], order: list[str], *,
                    seq_col: str = "seq", count_col: str | None = None,
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None, broadcast_rows: int = BROADCAST_RUN_ROWS) -> DataFrame:
     """Adds ``seq_col`` = 1-based row number per ``keys`` in ``order``
     (ascending, nulls first), and optionally ``count_col`` = rows per key.
     ``keys`` may be empty for one global numbering. The numbered layout is
@@ -73,7 +73,7 @@ def sequence_index(df: DataFrame, keys: list[str], order: list[str], *,
         F.coalesce(F.sum("_run_rows").over(before), F.lit(0)).alias("_run_base"),
         F.sum("_run_rows").over(by_key).alias("_key_rows"),
     )
-    runs, _ = broadcast_if_small(runs)
+    runs, _ = broadcast_if_small(runs, broadcast_rows)
     cond = laid["_part"] == runs["_r_part"]
     for k in keys:
         cond = cond & laid[k].eqNullSafe(runs[f"_r_{k}"])

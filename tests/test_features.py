@@ -51,8 +51,8 @@ def test_sequence_index_equals_row_number(spark):
     rnd = random.Random(3)
     rows = [(i, rnd.choice(["a", "b", "c", None]), rnd.randint(0, 40)) for i in range(2000)]
     df = spark.createDataFrame(rows, "id long, k string, t long")
-    for keys in (["k"], []):
-        a = sequence_index(df, keys, ["t", "id"], count_col="n", partitions=7)
+    for keys, cap in ((["k"], 50_000), ([], 50_000), (["k"], 0)):     # cap 0: shuffle-join fallback
+        a = sequence_index(df, keys, ["t", "id"], count_col="n", partitions=7, broadcast_rows=cap)
         b = row_number_window(df, keys, ["t", "id"])
         got = {r["id"]: r["seq"] for r in a.collect()}
         want = {r["id"]: r["seq"] for r in b.collect()}
