@@ -35,8 +35,9 @@ def main():
     n = int(sys.argv[1]) if len(sys.argv) > 1 else 3_000_000
     log_dir = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     from pyspark.sql import functions as F
-    from plain_forms import features_window
+    from plain_forms import features_window, row_number_window
     from sensorlake.operators.features import add_features
+    from sensorlake.operators.splits import label_reference_current
     from sensorlake.session import build_session
     spark = build_session("local[8]", app="skew-probe", shuffle_partitions=32,
                           extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
@@ -51,7 +52,10 @@ def main():
         (F.lit(370.0) + F.sin(F.col("id").cast("double"))).alias("temperature"),
         F.lit(55.0).alias("humidity"), F.lit("csv").alias("source"))
     times = {}
-    for name, fn in (("skew-safe", lambda d: add_features(d)), ("plain window", features_window)):
+    forms = (("skew-safe features", lambda d: add_features(d)), ("plain window features", features_window),
+             ("distributed global split", label_reference_current),
+             ("unpartitioned global window", lambda d: row_number_window(d, [], ["timestamp", "event_id"])))
+    for name, fn in forms:
         sc.setJobGroup(name, name)
         t0 = time.perf_counter()
         fn(readings).write.format("noop").mode("overwrite").save()
