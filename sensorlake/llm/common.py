@@ -5,7 +5,6 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,26 +12,19 @@ from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf
 
-# Rows in one Arrow batch: bounds a Python worker's memory by this many texts.
-BATCH_ROWS = 256
+# An Arrow batch ends at this many bytes or rows: bounds a Python worker's
+# memory whatever the texts' lengths (one longer text is a batch of its own).
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 1 << 16
 
 
 def prepare(spark: SparkSession) -> None:
     """Session settings the operators rely on (UTC, ANSI, small Arrow batches)."""
     apply_runtime_conf(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-@contextmanager
-def wide_batches(spark: SparkSession, rows: int = 1 << 16):
-    """Larger Arrow batches for a step whose rows are a few numbers."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -77,13 +69,19 @@ def word_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace")
 
 
-def sample_by_hash(rows: DataFrame, id_col: str, limit: int, salt: str) -> DataFrame:
-    """About ``limit`` rows at most, chosen by a hash of the id and so the same
-    in every run; all rows when there are no more than ``limit``. Used only to
-    bound the rows that a classifier is fitted on."""
-    n = rows.count()
-    if n <= limit:
-        return rows
-    space = 1 << 30
-    h = F.pmod(F.xxhash64(F.lit(salt), F.col(id_col)), F.lit(space))
-    return rows.filter(h < int(space * (limit / n)))
+def bounded_sample(rows: DataFrame, id_col: str, limit: int) -> DataFrame:
+    """``limit`` rows at most, one for each id: those whose id hashes lowest,
+    the same in every run. Only bounds what a classifier is fitted on."""
+    return (rows.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
+            .orderBy(F.xxhash64(id_col), id_col).limit(limit))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label_col: str, *, id_col: str, text_col: str,
+                   limit: int) -> DataFrame:
+    """(id, ``_text``, ``_label``) of at most ``limit`` labelled documents. The
+    sample of labels has that bound, so it is broadcast; a document that
+    repeats is taken once, a null label is not learned from."""
+    sample = bounded_sample(labels.filter(F.col(label_col).isNotNull())
+                            .select(id_col, F.col(label_col).cast("int").alias("_label")), id_col, limit)
+    texts = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return texts.join(F.broadcast(sample), id_col).dropDuplicates([id_col])

@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, sharding, simhash
+from . import (
+    language,
+    licenses,
+    mixing,
+    packing,
+    quality,
+    rules,
+    sharding,
+    simhash,
+    spotsigs,
+    toxicity,
+)
 
 REGISTRY = {f.__name__: f for f in (
+    language.op1_language_id,
     simhash.op2_simhash_near_dedup,
+    licenses.op3_license_scans,
+    quality.op4_quality_classifier,
+    spotsigs.op5_document_fingerprints,
+    toxicity.op6_toxicity,
     packing.op7_packing,
+    rules.op8_quality_rules,
     sharding.op9_sharding,
     mixing.op10_mixing,
 )}
