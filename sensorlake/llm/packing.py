@@ -36,8 +36,9 @@ from . import common
 CAPACITY = 4096
 END_ID = 2
 GROUP_PIECES = 8192
-BLOCK_CHARS = 1 << 20        # a longer text is encoded in blocks cut at blanks
-CACHE_WORDS = 400_000        # memoised words per worker; emptied when full
+BLOCK_CHARS = 1 << 22        # texts are encoded so many characters at a time; longer ones are cut at blanks
+CACHE_WORDS = 700_000        # memoised words per worker; emptied when full
+JOINED_WORDS = 200           # new words given to the library in one text
 
 # The vocabulary's own splitting rule, for lower-cased text of U+0000-U+00FF
 # (letters, single digits, runs of anything else); other texts go to the
@@ -46,9 +47,17 @@ _LATIN_WORD = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+"
     "|[0-9²³¹¼-¾]"
     "|[^\\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
-# What the short way does not cover: characters above U+00FF, control and
-# no-break blanks that libraries class differently, and special tokens.
-_NOT_SIMPLE = re.compile("[^\x00-\xff]|[\x00-\x08\x0e-\x1f\x7f-\xa0\xad]|<\\|")
+# The bytes of Latin-1 that the short way covers: no control characters or
+# no-break blanks, which libraries class differently.
+_SIMPLE = bytes([*range(9, 14), *range(32, 127), *(b for b in range(161, 256) if b != 173)])
+
+
+def _is_simple(text: str) -> bool:
+    """Only covered characters, and nothing that may be a special token."""
+    try:
+        return not text.encode("latin-1").translate(None, _SIMPLE) and "<|" not in text
+    except UnicodeEncodeError:
+        return False
 
 
 def _byte_letters() -> dict[int, str]:
@@ -81,35 +90,64 @@ class Encoder:
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self.whole = Tokenizer.from_file(vocabulary)
-        self.words = Tokenizer(self.whole.model)     # the model alone: input is one split word
+        self.words = Tokenizer(self.whole.model)     # the model alone: input is split words
+        self.words.pre_tokenizer = WhitespaceSplit()
         self.letters = _byte_letters()
+        suffix = self.whole.model.end_of_word_suffix
+        vocab = self.whole.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
         self.known = common.worker_cache(f"ids of words, {vocabulary}")
 
-    def _learn(self, words: list[str]) -> None:
-        known = self.known
-        if len(known) + len(words) > CACHE_WORDS:
-            known.clear()
+    def _learn_words(self, words: list[str]) -> None:
+        """Many words go to the library as one text; the ids that end a word
+        cut the answer into the words' ids again."""
         spelled = [w.encode().decode("latin-1").translate(self.letters) for w in words]
-        for word, code in zip(words, self.words.encode_batch_fast(spelled, add_special_tokens=False)):
-            known[word] = np.array(code.ids, "<u4").tobytes()
-
-    def _part(self, text: str) -> bytes:
-        if _NOT_SIMPLE.search(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = _LATIN_WORD.findall(text.lower())
+        joined = [" ".join(spelled[i:i + JOINED_WORDS]) for i in range(0, len(spelled), JOINED_WORDS)]
+        ids = np.array([i for code in self.words.encode_batch_fast(joined, add_special_tokens=False) for i in code.ids], "<u4")
+        stops = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+        if len(stops) != len(words):
+            raise ValueError("the vocabulary has no id that ends each word")
+        raw = ids.tobytes()
+        self.known.update(zip(words, [raw[a:b] for a, b in zip([0, *stops], stops)]))
+
+    def _lookup(self, strings: set[str]) -> dict[str, bytes]:
+        """The ids of lower-cased strings between blanks. A string of letters
+        is one word; the others are split by the vocabulary's rule."""
         known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            self._learn([w for w in set(words) if w not in known])
-            if known.keys() >= set(words):
-                return b"".join([known[w] for w in words])
-            self._learn(list(set(words)))             # the cache was emptied meanwhile
-            return b"".join([known[w] for w in words])
-
-    def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self._part, _blocks(text))) if text else b""
+        mixed = [x for x in strings if not x.isalpha()]
+        parts = [_LATIN_WORD.findall(x) for x in mixed]
+        plain = list(strings.difference(mixed))
+        words = {w for p in parts for w in p}
+        missing = {x for x, ids in zip(plain, map(known.get, plain)) if ids is None}
+        missing.update(w for w in words if w not in known)
+        if len(known) + len(missing) > CACHE_WORDS:
+            known.clear()
+            missing = words.union(plain)
+        if missing:
+            self._learn_words(list(missing))
+        found = dict(zip(plain, map(known.get, plain)))
+        found.update(zip(mixed, [b"".join([known[w] for w in p]) for p in parts]))
+        return found
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text, in order."""
+        parts = [(i, block) for i, text in enumerate(texts) if text for block in _blocks(text)]
+        out: list[list[bytes]] = [[] for _ in texts]
+        while parts:
+            chars, n = 0, 0
+            while n < len(parts) and (n == 0 or chars < BLOCK_CHARS):
+                chars += len(parts[n][1])
+                n += 1
+            now, parts = parts[:n], parts[n:]
+            split = [block.lower().split() if _is_simple(block) else None for _, block in now]
+            ids = self._lookup(set().union(*filter(None, split)))
+            for (i, block), words in zip(now, split):
+                out[i].append(np.array(self.whole.encode(block, add_special_tokens=False).ids, "<u4").tobytes()
+                              if words is None else b"".join(map(ids.__getitem__, words)))
+        return (b"".join(x) for x in out)
 
 
 def cut_pieces(docs: DataFrame, *, id_col: str, text_col: str, vocabulary: str,
@@ -124,8 +162,8 @@ def cut_pieces(docs: DataFrame, *, id_col: str, text_col: str, vocabulary: str,
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             row, start, length, crc, total = [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = encoder.encode(text) + end
+            for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
+                ids += end
                 n = len(ids) // 4
                 for at in range(0, n, capacity):
                     piece = ids[4 * at:4 * (at + capacity)]
