@@ -19,6 +19,7 @@ is carried along; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -36,8 +37,8 @@ from . import common
 CAPACITY = 4096
 END_ID = 2
 GROUP_PIECES = 8192
-BLOCK_CHARS = 1 << 22        # texts are encoded so many characters at a time; longer ones are cut at blanks
-CACHE_WORDS = 700_000        # memoised words per worker; emptied when full
+BLOCK_CHARS = 1 << 21        # texts are encoded so many characters at a time; longer ones are cut at blanks
+CACHE_WORDS = 250_000        # memoised words per worker; emptied when full
 JOINED_WORDS = 200           # new words given to the library in one text
 
 # The vocabulary's own splitting rule, for lower-cased text of U+0000-U+00FF
@@ -89,6 +90,7 @@ class Encoder:
     remembered."""
 
     def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # a task has one core
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
         self.whole = Tokenizer.from_file(vocabulary)
