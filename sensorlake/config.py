@@ -30,7 +30,7 @@ ELASTIC_NET_PARAM = 0.0
 MAX_VALIDATION_MAE = 15.0
 DRIFT_THRESHOLD_PERCENT = 10.0
 MONITORING_COLUMNS = ("temperature", "humidity")
-MODEL_NAME = "temperature-prediction-model"
+MODEL_NAME = "sensor-forecast"
 CHAMPION_ALIAS = "champion"
 
 # --- fixed values: sources -----------------------------------------------
@@ -57,19 +57,12 @@ FAULT_TYPES = (
 )
 SENSOR_IDS = ("MANUFACTURING_01", "MANUFACTURING_02", "MANUFACTURING_03")
 SIMULATOR_DEFAULTS = {
-    "temp_mean": 375.0,
-    "temp_std": 15.0,
     "temp_min": 300.0,
     "temp_max": 450.0,
-    "hum_mean": 55.0,
-    "hum_std": 8.0,
     "hum_min": 30.0,
     "hum_max": 80.0,
     "temp_step": 1.0,
     "hum_step": 0.8,
-    "temp_noise": 0.3,
-    "hum_noise": 0.3,
-    "reversion": 0.05,
     "coupling": -0.5,
     "fault_rate": 0.05,
 }

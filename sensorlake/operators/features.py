@@ -113,7 +113,8 @@ def add_features(valid: DataFrame, *, keys: tuple[str, ...] = ("sensor_id",),
     sensor), which lets the chronological split skip a second numbering."""
     keys = list(keys)
     names = _feature_names(change, rolling, target, humidity_trend)
-    seq_df = sequence_index(valid, keys, ORDER, count_col="key_rows")
+    # the rolling mean needs no numbers: without another feature nothing is sorted
+    seq_df = sequence_index(valid, keys, ORDER, count_col="key_rows") if change or target or humidity_trend or with_seq else valid
     specs = []
     if change:
         specs.append(("_prev_t", "temperature", -1))

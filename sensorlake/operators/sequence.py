@@ -12,9 +12,8 @@ With three sensors, one key holds a third of all rows. Instead:
 3. count rows per (partition, key) run - a table of at most
    partitions + keys rows - and turn the counts into start offsets with a
    running sum per key;
-4. join the offsets back and add the local position. The run table is
-   fetched with a row cap; when it fits under the cap it is broadcast from
-   that bounded copy, otherwise it stays distributed and is shuffle-joined.
+4. join the offsets back and add the local position. Spark picks the join from
+   its own statistics of the run table.
 """
 
 from __future__ import annotations
@@ -24,24 +23,9 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 
-# Largest run table (rows) that is broadcast instead of shuffle-joined.
-BROADCAST_RUN_ROWS = 50_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_RUN_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast only behind a size check: fetch at most ``max_rows + 1``
-    rows; if they are all there is, broadcast that bounded local copy (the
-    source is not computed again), else keep ``df`` distributed."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        local = df.sparkSession.createDataFrame(rows, df.schema) if rows else df.limit(0)
-        return F.broadcast(local), True
-    return df, False
-
-
 def sequence_index(df: DataFrame, keys: list[str], order: list[str], *,
                    seq_col: str = "seq", count_col: str | None = None,
-                   partitions: int | None = None, broadcast_rows: int = BROADCAST_RUN_ROWS) -> DataFrame:
+                   partitions: int | None = None) -> DataFrame:
     """Adds ``seq_col`` = 1-based row number per ``keys`` in ``order``
     (ascending, nulls first), and optionally ``count_col`` = rows per key.
     ``keys`` may be empty for one global numbering. The numbered layout is
@@ -73,7 +57,6 @@ def sequence_index(df: DataFrame, keys: list[str], order: list[str], *,
         F.coalesce(F.sum("_run_rows").over(before), F.lit(0)).alias("_run_base"),
         F.sum("_run_rows").over(by_key).alias("_key_rows"),
     )
-    runs, _ = broadcast_if_small(runs, broadcast_rows)
     cond = laid["_part"] == runs["_r_part"]
     for k in keys:
         cond = cond & laid[k].eqNullSafe(runs[f"_r_{k}"])

@@ -33,21 +33,13 @@ def label_chrono(features: DataFrame, *, keys: tuple[str, ...] = ("sensor_id",),
                  drop_null_change_everywhere: bool = True) -> DataFrame:
     """Rows with a non-null target, labelled ``split`` in {train, validation,
     test}, with ``row_num``, ``total_rows``, ``train_end``, ``validation_end``.
-    Input from ``add_features(valid, with_seq=True)`` reuses its numbering;
-    any other input is numbered here.
+    The rows are always numbered here, so filtered features are split by what
+    is left of them.
     The first row of a sensor has no change and is dropped; by default from
     every split (a one-row sensor would otherwise put a NULL feature into
     test). With n >= 2 the first row is always in train, so both rules agree."""
     rows = features.filter(F.col(C_TARGET).isNotNull())
-    if {"seq", "key_rows"} <= set(features.columns):
-        # Features of validated readings (temperature never NULL): the rows
-        # with a target are exactly the first key_rows - 12 of each sensor,
-        # so their row number is ``seq`` and their count key_rows - 12.
-        s = (rows.withColumnRenamed("seq", "row_num")
-             .withColumn("total_rows", F.greatest(F.col("key_rows") - C.TARGET_LEAD_ROWS, F.lit(0)))
-             .drop("key_rows"))
-    else:
-        s = sequence_index(rows, list(keys), ORDER, seq_col="row_num", count_col="total_rows")
+    s = sequence_index(rows.drop("seq", "key_rows"), list(keys), ORDER, seq_col="row_num", count_col="total_rows")
     s = (s.withColumn("train_end", _bound("total_rows", C.TRAIN_FRACTION))
           .withColumn("validation_end", _bound("total_rows", C.VALIDATION_FRACTION)))
     split = (F.when(F.col("row_num") <= F.col("train_end"), F.lit("train"))

@@ -169,14 +169,16 @@ ORACLE.update({
        CASE WHEN source = 'csv' THEN 'MANUFACTURING_01' ELSE sensor_id END AS sensor_id,
        "timestamp", temperature, humidity, source FROM raw"""),
     "incremental_table": _with(
-        """SELECT event_id, sensor_id, "timestamp", temperature, humidity, 'database' AS source, 1 AS pull FROM raw"""),
+        """SELECT event_id, sensor_id, "timestamp", temperature, humidity, source,
+       humidity IS NULL AS is_faulty, CASE WHEN humidity IS NULL THEN 'missing_humidity' END AS fault_type,
+       CASE WHEN event_id <= (SELECT max(event_id) // 2 FROM raw) THEN 1 ELSE 2 END AS pull FROM raw"""),
     "json_encode": _with(f"""SELECT {_RAW_COLS} FROM raw"""),
     "json_decode": _with(f"""SELECT {_RAW_COLS} FROM raw"""),
     "stream_valid": _with("""SELECT * FROM valid"""),
     "stream_invalid": _with(f"""SELECT {_RAW_COLS}, reasons FROM tagged WHERE reasons <> ''"""),
     "stream_dedup": _with("""SELECT DISTINCT * FROM valid""", raw=READINGS_DUP),
     "stream_csv_ingest": _with("""SELECT event_id, NULLIF(sensor_id, '') AS sensor_id, "timestamp", temperature,
-       humidity, source FROM raw"""),
+       humidity, source, humidity IS NULL AS is_faulty, CASE WHEN humidity IS NULL THEN 'missing_humidity' END AS fault_type FROM raw"""),
 })
 
 CALIBRATE = """,
@@ -250,7 +252,8 @@ FROM (SELECT CAST(sum(n) AS BIGINT) AS total_rows,
 ORACLE.update({
     "stream_late_quarantine": _with("""SELECT DISTINCT *, 'accepted' AS status FROM valid""", raw=READINGS_DUP),
     "stream_table": _with(
-        """SELECT event_id, sensor_id, "timestamp", temperature, humidity, 'database' AS source FROM raw"""),
+        """SELECT event_id, sensor_id, "timestamp", temperature, humidity, source,
+       humidity IS NULL AS is_faulty, CASE WHEN humidity IS NULL THEN 'missing_humidity' END AS fault_type FROM raw"""),
 })
 
 ORACLE["stream_features"] = _with(f"""SELECT {FEATURE_COLS} FROM feat WHERE target_temperature IS NOT NULL""")

@@ -23,13 +23,13 @@ from ..operators.reports import dashboard_histogram, dashboard_summary, etl_qual
 from ..operators.splits import label_chrono, label_reference_current
 from ..operators.validate import dq_summary, reason_counts, validate_reading, with_reasons
 from ..schemas import FEATURE_STORE_COLUMNS, READING_COLUMNS
-from ..session import apply_runtime_conf, durable, scratch_path
+from ..session import apply_runtime_conf, durable, read_if_exists, scratch_path
 from ..sinks.curated import read_curated, write_curated
 from ..sinks.files import ISO_TIME_TEXT, readings_to_json, readings_to_json_value, readings_to_wide_csv, write_csv
 from ..sinks.upsert import upsert
 from ..sources.events import readings_dup, readings_raw
 from ..sources.files import load_all, load_csv, load_json
-from ..sources.sqlite import load_table, pull_increment, stream_table, write_shards
+from ..sources.table import load_table, pull_increment, stream_table, write_table
 from ..streaming.consumer import (
     await_all,
     csv_file_source,
@@ -243,36 +243,52 @@ def q_src_json(spark, sf_dir):
     return export(load_json(spark, path, source="api"))
 
 
+def _table(spark, readings: DataFrame, name: str = "table") -> str:
+    path = scratch_path(spark, name)
+    write_table(readings, path)
+    return path
+
+
 @query("src_table")
 def q_src_table(spark, sf_dir):
-    """S3: readings in SQLite files (one per task), read back by id range."""
-    paths = write_shards(readings_raw(spark, sf_dir), scratch_path(spark, "sqlite"))
-    return export(load_table(spark, paths))
+    """S3: readings in a table on shared storage, read back."""
+    return export(load_table(spark, _table(spark, readings_raw(spark, sf_dir))))
 
 
 @query("union_sources")
 def q_union_sources(spark, sf_dir):
     """Each row goes to the source named in its ``source`` column (csv
-    file, JSON landing, SQLite), and the three loads are unioned by name."""
+    file, JSON landing, table), and the three loads are unioned by name."""
     raw = readings_raw(spark, sf_dir)
     csv_path = scratch_path(spark, "wide-csv")
     readings_to_wide_csv(raw.filter(F.col("source") == "csv"), csv_path)
     json_path = _landing(spark, raw.filter(F.col("source") == "api"), "json-landing")
-    db = write_shards(raw.filter(F.col("source") == "database"), scratch_path(spark, "sqlite"))
+    db = _table(spark, raw.filter(F.col("source") == "database"))
     return export(load_all(load_csv(spark, csv_path, id_col="event_id"),
                            load_json(spark, json_path, source="api"), load_table(spark, db)))
 
 
+def _faulty(readings: DataFrame) -> DataFrame:
+    """The fault columns that a reading table carries."""
+    lost = F.col("humidity").isNull()
+    return readings.withColumns({"is_faulty": lost, "fault_type": F.when(lost, F.lit("missing_humidity"))})
+
+
 @query("incremental_table")
 def q_incremental_table(spark, sf_dir):
-    """Two pulls with a stored high-water mark: the first returns every
-    row, the second (no new ids) none. ``pull`` numbers the pull."""
-    paths = write_shards(readings_raw(spark, sf_dir), scratch_path(spark, "sqlite"))
-    offsets = scratch_path(spark, "offsets")
-    first = pull_increment(spark, paths, offsets, "raw_sensor_readings").withColumn("pull", F.lit(1))
-    first = durable(first)
-    second = pull_increment(spark, paths, offsets, "raw_sensor_readings").withColumn("pull", F.lit(2))
-    return export(first.unionByName(second))
+    """Two tables (even and odd ids) with a mark each; the lower half of
+    the ids is pulled, then the other half arrives and is pulled. ``pull``
+    numbers the pull."""
+    raw = _faulty(readings_raw(spark, sf_dir))
+    cut = (raw.agg(F.max("event_id")).first()[0] or 0) // 2
+    tables = [scratch_path(spark, "table-even"), scratch_path(spark, "table-odd")]
+    marks, out = scratch_path(spark, "marks"), scratch_path(spark, "pulled")
+    for pull, part in ((1, F.col("event_id") <= cut), (2, F.col("event_id") > cut)):
+        for i, table in enumerate(tables):
+            write_table(raw.filter(part & (F.col("event_id") % 2 == i)), table)
+        pull_increment(spark, tables, marks, lambda rows, n=pull: rows.withColumn("pull", F.lit(n))
+                       .write.mode("append").parquet(out))
+    return export(spark.read.parquet(out))
 
 
 @query("json_encode")
@@ -334,8 +350,8 @@ def q_stream_csv_ingest(spark, sf_dir):
     raw = readings_raw(spark, sf_dir)
     folder = scratch_path(spark, "csv-landing")
     write_csv(raw.select("sensor_id", F.date_format("timestamp", ISO_TIME_TEXT).alias("timestamp"),
-                         "temperature", "humidity", F.lit(False).alias("is_faulty"),
-                         F.lit(None).cast("string").alias("fault_type"), "source", "event_id")
+                         "temperature", "humidity", F.col("humidity").isNull().alias("is_faulty"),
+                         F.when(F.col("humidity").isNull(), F.lit("missing_humidity")).alias("fault_type"), "source", "event_id")
               .repartition(4), folder)
     return export(_run_stream(spark, csv_file_source(spark, folder, max_files_per_trigger=1), "stream-csv"))
 
@@ -488,25 +504,17 @@ def q_stream_late_quarantine(spark, sf_dir):
     out = scratch_path(spark, "quarantine")
     await_all([run_quarantine(file_source(spark, landing), out)])
     acc = spark.read.parquet(f"{out}/valid").select(*READING_COLUMNS, F.lit("accepted").alias("status"))
-    try:
-        late = spark.read.parquet(f"{out}/late").select(*READING_COLUMNS, F.lit("late").alias("status"))
-        acc = acc.unionByName(late)
-    except Exception:  # noqa: BLE001 - no late rows written
-        pass
+    late = read_if_exists(spark, f"{out}/late")
+    if late is not None:
+        acc = acc.unionByName(late.select(*READING_COLUMNS, F.lit("late").alias("status")))
     return export(acc)
 
 
 @query("stream_table")
 def q_stream_table(spark, sf_dir):
-    """S10 as a stream: SQLite files read as an id-offset stream until
-    every row has arrived."""
-    paths = write_shards(readings_raw(spark, sf_dir), scratch_path(spark, "sqlite"))
-    base = scratch_path(spark, "sqlite-stream")
-    q = (stream_table(spark, paths).writeStream.format("parquet")
-         .option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/out"))
-    q.processAllAvailable()
-    q.stop()
-    return export(spark.read.parquet(f"{base}/out"))
+    """S10 as a stream: a table's files read until every row has arrived."""
+    path = _table(spark, _faulty(readings_raw(spark, sf_dir)))
+    return export(_run_stream(spark, stream_table(spark, path, max_files_per_trigger=2), "table-stream"))
 
 
 @query("hyper_search")

@@ -7,9 +7,11 @@ resolves the folder that durable intermediate results are written to.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours runs with: UTC event time (naive text is read
@@ -95,6 +97,8 @@ def work_dir(spark: SparkSession) -> str:
         sc = None
     if configured:
         return configured.rstrip("/")
+    if sc is not None and not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     base = _LOCAL_WORK_DIR.get("dir")
     if base is None:
         base = tempfile.mkdtemp(prefix="sensorlake-")
@@ -109,6 +113,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if nothing was written there yet.
+    Every other error is raised."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing a Parquet table in the shared work folder and
     reading it back.

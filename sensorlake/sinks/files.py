@@ -71,8 +71,10 @@ def readings_to_json_value(readings: DataFrame) -> DataFrame:
         (F.col("fault_type") if "fault_type" in readings.columns else F.lit(None).cast("string")).alias("fault_type"),
         F.col("source"),
         F.col("event_id"),
+        F.col("event_id").alias("source_id"),
     )
-    return readings.select(F.to_json(body).alias("value"))
+    # a missing value is published as an explicit null, not left out
+    return readings.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
 
 
 def readings_to_json(readings: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -11,10 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from .. import config as C
-from ..session import durable
+from ..session import durable, read_if_exists
 
 KEY = ("sensor_id", "timestamp")
 
@@ -30,7 +29,9 @@ def first_wins(batch: DataFrame, keys=KEY, priority: list[Column] | None = None)
     (``min_by`` over a struct), so duplicates collapse map-side before the
     shuffle and no key's rows are sorted as a group."""
     if priority is None:
-        priority = [source_rank(), F.col("event_id")] if "event_id" in batch.columns else [source_rank()]
+        if "event_id" not in batch.columns:
+            raise ValueError("rows need event_id, or a priority: without one, ties inside a source have no order")
+        priority = [source_rank(), F.col("event_id")]
     cols = [c for c in batch.columns if c not in keys]
     row = F.struct(*[F.col(c) for c in cols])
     picked = batch.groupBy(*keys).agg(F.min_by(row, F.struct(*priority)).alias("_row"))
@@ -43,11 +44,7 @@ def with_event_date(df: DataFrame) -> DataFrame:
 
 
 def read_store(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.parquet(path)
-    except AnalysisException:
-        return None
+    return read_if_exists(spark, path, schema)
 
 
 def upsert(store_path: str, batch: DataFrame, keys=KEY, *, partition_by: list[str] | None = None,
@@ -55,27 +52,26 @@ def upsert(store_path: str, batch: DataFrame, keys=KEY, *, partition_by: list[st
     """Appends the batch's new keys to the store; returns the rows appended
     (a lazy view over what was written is not kept: re-read the store).
 
-    The existing store is read only inside the batch's [min, max] timestamp,
-    a filter Parquet pushes down (and prunes partitions with, when the store
-    is partitioned by a date column), so the anti-join does not rescan
-    history."""
+    A store with an ``event_date`` partition column is read only at the batch's
+    own dates (a semi-join that prunes partitions at run time), any other one
+    inside the batch's [min, max] timestamp. Before a partitioned write the rows
+    are range-partitioned by the partition columns and the key, so a date's rows
+    are in a few tasks and the number of files follows the number of dates."""
     spark = batch.sparkSession
     fresh = first_wins(batch, keys, priority)
     store = read_store(spark, store_path)
     if store is not None:
         # the batch is read twice (bounds, anti-join): materialise it once
         fresh = durable(fresh, "upsert-batch")
-        lo_hi = fresh.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-        if lo_hi["lo"] is None:
-            existing = store.select(*keys).limit(0)
+        if "event_date" in store.columns:
+            dates = fresh.select(F.to_date("timestamp").alias("event_date")).distinct()
+            existing = store.join(dates, "event_date", "left_semi")
         else:
-            in_range = F.col("timestamp").between(lo_hi["lo"], lo_hi["hi"])
-            if "event_date" in store.columns:
-                # the same bound on the partition column prunes whole folders
-                in_range = in_range & F.col("event_date").between(F.to_date(F.lit(lo_hi["lo"])),
-                                                                  F.to_date(F.lit(lo_hi["hi"])))
-            existing = store.filter(in_range).select(*keys)
-        fresh = fresh.join(existing, list(keys), "left_anti")
+            lo, hi = fresh.agg(F.min("timestamp"), F.max("timestamp")).first()
+            existing = store.filter(F.col("timestamp").between(F.lit(lo), F.lit(hi)))
+        fresh = fresh.join(existing.select(*keys), list(keys), "left_anti")
+    if partition_by:
+        fresh = fresh.repartitionByRange(*partition_by, *[k for k in keys if k not in partition_by])
     writer = fresh.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import config as C
 from ..operators.validate import validate_reading
 from ..schemas import READING_COLUMNS, STREAM_VALUE_STRICT, STREAM_VALUE_TEXT
+from ..session import read_if_exists
 
 ENVELOPE = ["topic", "partition", "offset"]
 
@@ -69,6 +70,8 @@ def csv_file_source(spark: SparkSession, folder: str, *, max_files_per_trigger:
         F.col("timestamp").try_cast("timestamp").alias("timestamp"),
         F.col("temperature").try_cast("double").alias("temperature"),
         F.col("humidity").try_cast("double").alias("humidity"),
+        F.col("is_faulty").try_cast("boolean").alias("is_faulty"),
+        "fault_type",
         "source",
     )
 
@@ -217,9 +220,8 @@ def _watermark_before(spark: SparkSession, marks_path: str, batch_id: int, delay
     """The watermark late rows of batch ``batch_id`` are judged by, as Spark
     does it: the previous batch's watermark, i.e. the max event time of the
     batches up to ``batch_id - 2`` minus the delay (None before that)."""
-    try:
-        marks = spark.read.parquet(marks_path)
-    except Exception:  # noqa: BLE001 - no batch recorded yet
+    marks = read_if_exists(spark, marks_path)
+    if marks is None:
         return None
     row = marks.filter(F.col("batch_id") <= batch_id - 2).agg(F.max("max_event_time").alias("m")).first()
     if row is None or row["m"] is None:
@@ -246,13 +248,13 @@ def quarantine_batch(batch: DataFrame, batch_id: int, out_dir: str, *, delay_sec
     late = rows.filter(is_late)
     fresh = first_wins(rows.filter(~is_late), keys,
                        [F.col("event_id")] if "event_id" in rows.columns else None)
-    try:
-        seen = spark.read.parquet(valid_path).filter(F.col("batch_id") < batch_id)
+    seen = read_if_exists(spark, valid_path)
+    if seen is not None:
+        seen = seen.filter(F.col("batch_id") < batch_id)
         if wm is not None:
             seen = seen.filter(F.col("timestamp") > F.lit(wm))
         fresh = fresh.join(seen.select(*keys), list(keys), "left_anti")
-    except Exception:  # noqa: BLE001 - nothing accepted yet
-        pass
+
     def replace_batch(df: DataFrame, path: str) -> None:
         # dynamic overwrite: only this batch's partition is replaced
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -1,5 +1,6 @@
 import json
-import sqlite3
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -7,7 +8,7 @@ from conftest import SF_SMALL
 from sensorlake.sinks.files import readings_to_wide_csv
 from sensorlake.sources.events import readings_raw
 from sensorlake.sources.files import load_all, load_csv, load_json
-from sensorlake.sources.sqlite import latest_id, load_table, pull_increment, write_shards
+from sensorlake.sources.table import load_mark, load_table, pull_increment, write_table
 
 
 def _rows(df):
@@ -32,28 +33,54 @@ def test_json_object_or_array(spark, tmp_path):
     assert got == [("S", 1.0, None, True), ("S", 370.0, 55.5, False), ("T", None, None, True)]
 
 
-def test_sqlite_shards_and_incremental_pull(spark, tmp_path):
+def test_table_round_trip_and_incremental_pull(spark, tmp_path):
     raw = readings_raw(spark, SF_SMALL)
-    paths = write_shards(raw, str(tmp_path / "db"))
-    assert len(paths) >= 1
-    assert _rows(load_table(spark, paths)) == _rows(raw)
-    offsets = str(tmp_path / "offsets")
-    first = pull_increment(spark, paths, offsets, "t")
-    assert first.count() == raw.count()
-    assert pull_increment(spark, paths, offsets, "t").count() == 0
-    top = latest_id(paths)
-    con = sqlite3.connect(paths[0])
-    con.execute("INSERT INTO raw_sensor_readings VALUES (?, 'X', '2024-02-01 00:00:00', 370.0, 55.0)", (top + 1,))
-    con.commit()
-    con.close()
-    third = pull_increment(spark, paths, offsets, "t").collect()
-    assert [(r["event_id"], r["sensor_id"]) for r in third] == [(top + 1, "X")]
+    one, two, marks = str(tmp_path / "one"), str(tmp_path / "two"), str(tmp_path / "marks")
+    write_table(raw, one)
+    assert _rows(load_table(spark, one)) == _rows(raw)
+
+    def ids(tables):
+        got = []
+        pull_increment(spark, tables, marks, lambda rows: got.extend(r["event_id"] for r in rows.collect()))
+        return sorted(got)
+    lower = raw.filter("event_id between 1 and 50")
+    write_table(lower, two)
+    assert len(ids([one, two])) == raw.count() + 50 and ids([one, two]) == []
+    # the second table's new ids are below the first one's mark
+    write_table(raw.filter("event_id between 51 and 80"), two)
+    assert ids([one, two]) == list(range(51, 81))
+    # negative ids are read, and a failing consumer loses nothing
+    three = str(tmp_path / "three")
+    write_table(lower.withColumn("event_id", F.col("event_id") - 100), three)
+
+    def fail(rows):
+        raise RuntimeError("sink down")
+    with pytest.raises(RuntimeError):
+        pull_increment(spark, [three], marks, fail)
+    assert load_mark(spark, marks, three) is None and ids([three]) == list(range(-99, -49))
+
+
+def test_only_a_missing_table_counts_as_empty(spark, tmp_path):
+    from sensorlake.session import read_if_exists
+    assert read_if_exists(spark, str(tmp_path / "nothing")) is None
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        read_if_exists(spark, str(tmp_path / "bad")).count()
+
+
+def test_published_message_has_explicit_nulls(spark, readings):
+    from sensorlake.sinks.files import readings_to_json_value
+    got = json.loads(readings_to_json_value(readings([(7, None, None, None, 50.0)])).first()["value"])
+    assert got == {"sensor_id": None, "timestamp": None, "temperature": None, "humidity": 50.0, "is_faulty": False,
+                   "fault_type": None, "source": "csv", "event_id": 7, "source_id": 7}
 
 
 def test_union_sources_keeps_every_row(spark, tmp_path):
     raw = readings_raw(spark, SF_SMALL)
     readings_to_wide_csv(raw.filter(F.col("source") == "csv"), str(tmp_path / "csv"))
-    db = write_shards(raw.filter(F.col("source") == "database"), str(tmp_path / "db"))
+    db = str(tmp_path / "db")
+    write_table(raw.filter(F.col("source") == "database"), db)
     from sensorlake.sinks.files import readings_to_json
     readings_to_json(raw.filter(F.col("source") == "api"), str(tmp_path / "api"))
     u = load_all(load_csv(spark, str(tmp_path / "csv"), id_col="event_id"),
@@ -77,4 +104,5 @@ def test_simulator_csv_stream(spark, tmp_path):
     assert rows[1]["timestamp"].isoformat().startswith("2026-10-06T06:30:00")     # offset applied, UTC
     assert rows[1]["reasons"] == "" and rows[1]["temperature"] == 372.63
     assert rows[2]["reasons"] == "Timestamp is missing"
+    assert rows[2]["is_faulty"] is True and rows[2]["fault_type"] == "missing_timestamp" and rows[1]["is_faulty"] is False
     assert rows[3]["reasons"] == "Sensor ID is missing"

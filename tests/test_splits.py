@@ -50,3 +50,15 @@ def test_drift_threshold_is_strict(spark):
     rep = _drift(spark, [0.0, 0.0], [1.0, 1.0])
     assert rep[("temperature", "mean")]["status"] == "UNKNOWN"
     assert rep[("temperature", "stddev")]["status"] == "UNKNOWN"
+
+
+def test_filtered_features_are_split_by_what_is_left(spark):
+    from pyspark.sql import functions as F
+    from sensorlake.operators.faults import reading_grid
+    from sensorlake.operators.features import add_features
+    from sensorlake.operators.splits import label_chrono
+    f = add_features(reading_grid(spark, per_sensor=100), with_seq=True)
+    later = f.filter(F.col("seq") > 50)
+    def sizes(df):
+        return {r["split"]: r["count"] for r in label_chrono(df).groupBy("split").count().collect()}
+    assert sizes(later) == sizes(later.drop("seq", "key_rows"))
