@@ -45,12 +45,10 @@ def dashboard_histogram(valid: DataFrame) -> DataFrame:
     over the valid range, the top bound falling in the last bin."""
     specs = [("temperature", *C.TEMPERATURE_RANGE, TEMPERATURE_BIN_WIDTH),
              ("humidity", *C.HUMIDITY_RANGE, HUMIDITY_BIN_WIDTH)]
-    parts = []
-    for col, lo, hi, w in specs:
-        parts.append(valid.select("sensor_id", F.lit(col).alias("column_name"),
-                                  _bin(col, lo, hi, w).alias("bin"), F.lit(lo).alias("_lo"),
-                                  F.lit(w).alias("_w")))
-    u = parts[0].unionByName(parts[1])
+    # one scan: a row gives one entry per column
+    entries = F.array(*[F.struct(F.lit(col).alias("column_name"), _bin(col, lo, hi, w).alias("bin"),
+                                 F.lit(lo).alias("_lo"), F.lit(w).alias("_w")) for col, lo, hi, w in specs])
+    u = valid.select("sensor_id", F.explode(entries).alias("_e")).select("sensor_id", "_e.*")
     return u.groupBy("sensor_id", "column_name", "bin").agg(
         F.count(F.lit(1)).cast("long").alias("n_rows"),
         F.first(F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_low"))
