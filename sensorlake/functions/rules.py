@@ -35,6 +35,17 @@ def reason_columns(blank: str = "exact_space") -> list[Column]:
     ]
 
 
+# names of the rules' counts, in rule order
+RULE_NAMES = (
+    "missing_sensor_id",
+    "missing_timestamp",
+    "missing_temperature",
+    "temperature_out_of_range",
+    "missing_humidity",
+    "humidity_out_of_range",
+)
+
+
 def reasons(blank: str = "exact_space") -> Column:
     """Non-null reasons joined by ', ' in rule order; '' for a clean row.
     concat_ws skips nulls, so no intermediate array is needed."""

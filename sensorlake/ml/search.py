@@ -3,39 +3,37 @@
 Random k-fold would train on the future and score on the past, so the search
 reuses the per-sensor train/validation labels: each (regParam,
 elasticNetParam) pair is fitted on ``train`` and scored on ``validation``.
-Fits run one after another (each is a distributed job) or a few at a time
-with ``parallelism``; the result is one row per pair.
+A fit is one distributed aggregation; all fitted models are then scored together in
+one pass over the validation rows. The result is one row per pair.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import regression_metrics
-from .model import predict, train_model
+from ..schemas import FEATURE_COLUMNS
+from .model import linear_stage, train_model
 
 REG_PARAMS = (0.0, 0.01, 0.1)
 ELASTIC_NET_PARAMS = (0.0, 0.5)
 
 
-def grid_search(labelled: DataFrame, reg_params=REG_PARAMS, elastic_nets=ELASTIC_NET_PARAMS,
-                parallelism: int = 1) -> DataFrame:
-    spark = labelled.sparkSession
+def grid_search(labelled: DataFrame, reg_params=REG_PARAMS, elastic_nets=ELASTIC_NET_PARAMS) -> DataFrame:
     train = labelled.filter(F.col("split") == "train")
-    validation = labelled.filter(F.col("split") == "validation")
-
-    def fit(pair):
-        rp, en = pair
-        model = train_model(train, reg_param=rp, elastic_net=en)
-        m = regression_metrics(predict(model, validation)).first()
-        return (float(rp), float(en), m["mse"], m["mae"], m["rmse"], m["r2"])
-
-    pairs = list(product(reg_params, elastic_nets))
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(fit, pairs))
-    return spark.createDataFrame(
-        rows, "reg_param double, elastic_net_param double, mse double, mae double, rmse double, r2 double")
+    scored = []
+    for reg_param, elastic_net in product(reg_params, elastic_nets):
+        line = linear_stage(train_model(train, reg_param=reg_param, elastic_net=elastic_net))
+        prediction = F.lit(float(line.intercept))
+        for name, weight in zip(FEATURE_COLUMNS, line.coefficients.toArray()):
+            prediction = prediction + F.col(name) * F.lit(float(weight))
+        scored.append(F.struct(F.lit(float(reg_param)).alias("reg_param"),
+                               F.lit(float(elastic_net)).alias("elastic_net_param"), prediction.alias("prediction")))
+    # one entry per pair and row, aggregated before any exchange
+    rows = (labelled.filter(F.col("split") == "validation")
+            .select("target_temperature", F.explode(F.array(*scored)).alias("_s"))
+            .select("target_temperature", "_s.*"))
+    return regression_metrics(rows, by=("reg_param", "elastic_net_param")).drop("n_rows")

@@ -18,18 +18,18 @@ def sensor_counts(df: DataFrame) -> DataFrame:
 
 
 def regression_metrics(pred: DataFrame, label: str = "target_temperature",
-                       prediction: str = "prediction") -> DataFrame:
-    """MSE, MAE, RMSE (and R², n) in one pass; equals RegressionEvaluator,
-    which would take one pass per metric."""
+                       prediction: str = "prediction", by: tuple[str, ...] = ()) -> DataFrame:
+    """MSE, MAE, RMSE (and R², n) in one pass, one row per ``by`` group; equals
+    RegressionEvaluator, which would take one pass per metric."""
     e = F.col(prediction) - F.col(label)
-    row = pred.agg(
+    row = pred.groupBy(*by).agg(
         F.avg(e * e).alias("mse"),
         F.avg(F.abs(e)).alias("mae"),
         F.var_pop(F.col(label)).alias("_var_y"),
         F.count(F.lit(1)).cast("long").alias("n_rows"),
     )
     return row.select(
-        "mse", "mae", F.sqrt("mse").alias("rmse"),
+        *by, "mse", "mae", F.sqrt("mse").alias("rmse"),
         (F.lit(1.0) - F.try_divide(F.col("mse"), F.col("_var_y"))).alias("r2"),
         "n_rows",
     )

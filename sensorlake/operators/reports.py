@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.rules import is_valid
+from ..functions.rules import RULE_NAMES, is_valid, reason_columns
 
 # --- fixed values: histogram bins (width, over the valid range) ----------
 TEMPERATURE_BIN_WIDTH = 10.0
 HUMIDITY_BIN_WIDTH = 5.0
+CHANGE_RANGE = (-150.0, 150.0)   # the largest change inside the valid range
+CHANGE_BIN_WIDTH = 20.0
 
 
 def dashboard_summary(valid: DataFrame) -> DataFrame:
@@ -37,39 +39,54 @@ def dashboard_summary(valid: DataFrame) -> DataFrame:
 def _bin(col: str, lo: float, hi: float, width: float):
     n = int(round((hi - lo) / width))
     b = F.floor((F.col(col) - F.lit(lo)) / F.lit(width)).cast("long")
-    return F.least(F.greatest(b, F.lit(0)), F.lit(n - 1))
+    return F.when(F.col(col).isNotNull(), F.least(F.greatest(b, F.lit(0)), F.lit(n - 1)))
 
 
-def dashboard_histogram(valid: DataFrame) -> DataFrame:
-    """(sensor_id, column_name, bin, bin_low, n_rows); bins of fixed width
-    over the valid range, the top bound falling in the last bin."""
+def dashboard_histogram(features: DataFrame) -> DataFrame:
+    """(sensor_id, column_name, bin, bin_low, n_rows) for the four features;
+    bins of fixed width over the valid range, the top bound falling in the last
+    bin. A missing value (a sensor's first change) is in no bin."""
     specs = [("temperature", *C.TEMPERATURE_RANGE, TEMPERATURE_BIN_WIDTH),
-             ("humidity", *C.HUMIDITY_RANGE, HUMIDITY_BIN_WIDTH)]
+             ("humidity", *C.HUMIDITY_RANGE, HUMIDITY_BIN_WIDTH),
+             ("temperature_change", *CHANGE_RANGE, CHANGE_BIN_WIDTH),
+             ("rolling_avg_temperature", *C.TEMPERATURE_RANGE, TEMPERATURE_BIN_WIDTH)]
     # one scan: a row gives one entry per column
     entries = F.array(*[F.struct(F.lit(col).alias("column_name"), _bin(col, lo, hi, w).alias("bin"),
                                  F.lit(lo).alias("_lo"), F.lit(w).alias("_w")) for col, lo, hi, w in specs])
-    u = valid.select("sensor_id", F.explode(entries).alias("_e")).select("sensor_id", "_e.*")
+    u = (features.select("sensor_id", F.explode(entries).alias("_e")).select("sensor_id", "_e.*")
+         .filter(F.col("bin").isNotNull()))
     return u.groupBy("sensor_id", "column_name", "bin").agg(
         F.count(F.lit(1)).cast("long").alias("n_rows"),
         F.first(F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_low"))
 
 
+def actual_vs_predicted(pred: DataFrame) -> DataFrame:
+    """One row per scored reading: what came 12 readings later, what the model
+    said, and the difference."""
+    actual, predicted = F.col("target_temperature"), F.col("prediction")
+    return pred.select("event_id", "sensor_id", "timestamp", actual.alias("actual"),
+                       predicted.alias("predicted"), (predicted - actual).alias("residual"))
+
+
 def etl_quality(batch: DataFrame, keys=("sensor_id", "timestamp", "source")) -> DataFrame:
-    """Rows in, valid, invalid, duplicate valid rows (repeats of a dedup key)
-    and their rates. Two aggregation stages: per key, then global."""
+    """Rows in, valid, invalid, duplicate valid rows (repeats of a dedup key),
+    rows that break each rule, and the rates. Two aggregation stages: per key, then global."""
     ok = is_valid()
-    per_key = batch.groupBy(*keys, ok.alias("_valid")).agg(F.count(F.lit(1)).alias("_n"))
+    broken = [F.count_if(r.isNotNull()).alias(n) for r, n in zip(reason_columns(), RULE_NAMES)]
+    per_key = batch.groupBy(*keys, ok.alias("_valid")).agg(F.count(F.lit(1)).alias("_n"), *broken)
     g = per_key.agg(
         F.sum("_n").cast("long").alias("total_rows"),
         F.sum(F.when(F.col("_valid"), F.col("_n")).otherwise(0)).cast("long").alias("valid_rows"),
         F.sum(F.when(~F.col("_valid"), F.col("_n")).otherwise(0)).cast("long").alias("invalid_rows"),
         F.sum(F.when(F.col("_valid"), F.col("_n") - 1).otherwise(0)).cast("long").alias("duplicate_rows"),
+        *[F.sum(n).cast("long").alias(n) for n in RULE_NAMES],
     )
     return g.select(
         "*",
         F.try_divide(F.col("valid_rows"), F.col("total_rows")).alias("valid_rate"),
         F.try_divide(F.col("invalid_rows"), F.col("total_rows")).alias("invalid_rate"),
         F.try_divide(F.col("duplicate_rows"), F.col("valid_rows")).alias("duplicate_rate"),
+        *[F.try_divide(F.col(n), F.col("total_rows")).alias(f"{n}_rate") for n in RULE_NAMES],
     )
 
 

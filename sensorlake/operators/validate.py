@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import is_valid, reason_columns, reasons
+from ..functions.rules import RULE_NAMES, is_valid, reason_columns, reasons
 
 
 def with_reasons(df: DataFrame, blank: str = "exact_space") -> DataFrame:
@@ -30,16 +30,6 @@ def reason_counts(df: DataFrame, blank: str = "exact_space") -> DataFrame:
     return invalid.groupBy("reasons").agg(F.count(F.lit(1)).cast("long").alias("n_rows"))
 
 
-_RULE_NAMES = (
-    "missing_sensor_id",
-    "missing_timestamp",
-    "missing_temperature",
-    "temperature_out_of_range",
-    "missing_humidity",
-    "humidity_out_of_range",
-)
-
-
 def dq_summary(df: DataFrame, blank: str = "exact_space") -> DataFrame:
     """One row of data-quality counts in a single pass: total, valid, invalid
     and one count per rule (a row can break several rules)."""
@@ -49,6 +39,6 @@ def dq_summary(df: DataFrame, blank: str = "exact_space") -> DataFrame:
         F.count_if(is_valid(blank)).cast("long").alias("valid_rows"),
         F.count_if(~is_valid(blank)).cast("long").alias("invalid_rows"),
     ]
-    aggs += [F.count_if(r.isNotNull()).cast("long").alias(n) for r, n in zip(rules, _RULE_NAMES)]
+    aggs += [F.count_if(r.isNotNull()).cast("long").alias(n) for r, n in zip(rules, RULE_NAMES)]
     return df.agg(*aggs)
 

@@ -19,9 +19,12 @@ def score(readings: DataFrame, model: PipelineModel, **feature_kw) -> tuple[Data
     """(predictions, invalid). Rows without a previous reading (no change)
     cannot be scored and are left out."""
     valid, invalid = validate_reading(readings)
-    feats = add_features(valid, target=False, **feature_kw)
-    feats = feats.filter(F.col("temperature_change").isNotNull())
-    return predict(model, feats), invalid
+    return score_features(add_features(valid, target=False, **feature_kw), model), invalid
+
+
+def score_features(features: DataFrame, model: PipelineModel) -> DataFrame:
+    """Predictions for the rows of a feature frame that have a change."""
+    return predict(model, features.filter(F.col("temperature_change").isNotNull()))
 
 
 def run_inference(readings: DataFrame, model: PipelineModel, out_path: str | None = None, *,

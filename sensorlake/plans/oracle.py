@@ -232,18 +232,40 @@ SELECT sensor_id, column_name, bin, CAST(count(*) AS BIGINT) AS n_rows, min(lo +
          300.0e0 AS lo, 10.0e0 AS w FROM valid
   UNION ALL
   SELECT sensor_id, 'humidity', least(greatest(CAST(floor((humidity - 30.0) / 5.0) AS BIGINT), 0), 9),
-         30.0e0, 5.0e0 FROM valid)
+         30.0e0, 5.0e0 FROM valid
+  UNION ALL
+  SELECT sensor_id, 'temperature_change',
+         least(greatest(CAST(floor((temperature_change + 150.0) / 20.0) AS BIGINT), 0), 14),
+         -150.0e0, 20.0e0 FROM feat WHERE temperature_change IS NOT NULL
+  UNION ALL
+  SELECT sensor_id, 'rolling_avg_temperature',
+         least(greatest(CAST(floor((rolling_avg_temperature - 300.0) / 10.0) AS BIGINT), 0), 14),
+         300.0e0, 10.0e0 FROM feat)
 GROUP BY sensor_id, column_name, bin"""),
     "etl_quality": _with("""
 SELECT total_rows, valid_rows, invalid_rows, duplicate_rows,
        round(valid_rows / total_rows, 6) AS valid_rate, round(invalid_rows / total_rows, 6) AS invalid_rate,
-       round(duplicate_rows / valid_rows, 6) AS duplicate_rate
+       round(duplicate_rows / valid_rows, 6) AS duplicate_rate, r.*,
+       round(missing_sensor_id / total_rows, 6) AS missing_sensor_id_rate,
+       round(missing_timestamp / total_rows, 6) AS missing_timestamp_rate,
+       round(missing_temperature / total_rows, 6) AS missing_temperature_rate,
+       round(temperature_out_of_range / total_rows, 6) AS temperature_out_of_range_rate,
+       round(missing_humidity / total_rows, 6) AS missing_humidity_rate,
+       round(humidity_out_of_range / total_rows, 6) AS humidity_out_of_range_rate
 FROM (SELECT CAST(sum(n) AS BIGINT) AS total_rows,
              CAST(sum(CASE WHEN v THEN n ELSE 0 END) AS BIGINT) AS valid_rows,
              CAST(sum(CASE WHEN v THEN 0 ELSE n END) AS BIGINT) AS invalid_rows,
              CAST(sum(CASE WHEN v THEN n - 1 ELSE 0 END) AS BIGINT) AS duplicate_rows
       FROM (SELECT sensor_id, "timestamp", source, reasons = '' AS v, count(*) AS n
-            FROM tagged GROUP BY sensor_id, "timestamp", source, reasons = ''))""", raw=READINGS_DUP),
+            FROM tagged GROUP BY sensor_id, "timestamp", source, reasons = '')) q,
+     (SELECT CAST(count(*) FILTER (WHERE sensor_id IS NULL OR sensor_id = ' ') AS BIGINT) AS missing_sensor_id,
+             CAST(count(*) FILTER (WHERE "timestamp" IS NULL) AS BIGINT) AS missing_timestamp,
+             CAST(count(*) FILTER (WHERE temperature IS NULL) AS BIGINT) AS missing_temperature,
+             CAST(count(*) FILTER (WHERE temperature < 300 OR temperature > 450) AS BIGINT)
+               AS temperature_out_of_range,
+             CAST(count(*) FILTER (WHERE humidity IS NULL) AS BIGINT) AS missing_humidity,
+             CAST(count(*) FILTER (WHERE humidity < 30 OR humidity > 80) AS BIGINT) AS humidity_out_of_range
+      FROM tagged) r""", raw=READINGS_DUP),
     "curated_layout": _with("""SELECT *, CAST("timestamp" AS DATE) AS event_date FROM valid"""),
     "consumer_run": _with("""SELECT DISTINCT * FROM valid""", raw=READINGS_DUP),
     "replay_raw": _with("""SELECT * FROM valid"""),
@@ -293,3 +315,82 @@ FROM (SELECT *, {draw('rate')} < {rate} AS is_faulty,
 
 
 ORACLE["inject_faults"] = _with(_fault_sql())
+
+
+# ------------------------------------------------------------------ model queries
+# Least squares with an intercept: centre every column, make the features
+# orthogonal one after the other (u1..u4), and read the weights off backwards.
+_FIT = """,
+tr AS MATERIALIZED (SELECT temperature AS a1, humidity AS a2, temperature_change AS a3,
+                           rolling_avg_temperature AS a4, target_temperature AS y
+                    FROM chrono_l WHERE split = 'train'),
+mu AS MATERIALIZED (SELECT avg(a1) AS m1, avg(a2) AS m2, avg(a3) AS m3, avg(a4) AS m4, avg(y) AS my FROM tr),
+s1 AS MATERIALIZED (SELECT a1 - m1 AS u1, a2 - m2 AS c2, a3 - m3 AS c3, a4 - m4 AS c4, y - my AS y FROM tr, mu),
+s2 AS MATERIALIZED (SELECT *, c2 - u1 * (SELECT sum(c2 * u1) / sum(u1 * u1) FROM s1) AS u2 FROM s1),
+s3 AS MATERIALIZED (SELECT *, c3 - u1 * (SELECT sum(c3 * u1) / sum(u1 * u1) FROM s2)
+                              - u2 * (SELECT sum(c3 * u2) / sum(u2 * u2) FROM s2) AS u3 FROM s2),
+s4 AS MATERIALIZED (SELECT *, c4 - u1 * (SELECT sum(c4 * u1) / sum(u1 * u1) FROM s3)
+                              - u2 * (SELECT sum(c4 * u2) / sum(u2 * u2) FROM s3)
+                              - u3 * (SELECT sum(c4 * u3) / sum(u3 * u3) FROM s3) AS u4 FROM s3),
+w4 AS MATERIALIZED (SELECT sum(y * u4) / sum(u4 * u4) AS b4 FROM s4),
+w3 AS MATERIALIZED (SELECT sum((y - b4 * c4) * u3) / sum(u3 * u3) AS b3 FROM s4, w4),
+w2 AS MATERIALIZED (SELECT sum((y - b4 * c4 - b3 * c3) * u2) / sum(u2 * u2) AS b2 FROM s4, w4, w3),
+w1 AS MATERIALIZED (SELECT sum((y - b4 * c4 - b3 * c3 - b2 * c2) * u1) / sum(u1 * u1) AS b1 FROM s4, w4, w3, w2),
+model AS MATERIALIZED (SELECT b1, b2, b3, b4, my - b1 * m1 - b2 * m2 - b3 * m3 - b4 * m4 AS b0 FROM mu, w1, w2, w3, w4)
+"""
+
+_PREDICTED = "b0 + b1 * temperature + b2 * humidity + b3 * temperature_change + b4 * rolling_avg_temperature"
+_SCORED = f"SELECT *, {_PREDICTED} AS prediction FROM feat, model WHERE temperature_change IS NOT NULL"
+_ERRORS = f"SELECT *, {_PREDICTED} - target_temperature AS e FROM chrono_l, model"
+_MEASURES = """round(avg(e * e), 6) AS {0}mse, round(avg(abs(e)), 6) AS {0}mae, round(sqrt(avg(e * e)), 6) AS {0}rmse,
+       round(1 - avg(e * e) / var_pop(target_temperature), 6) AS {0}r2"""
+# the reference slice with its own features
+_ON_REFERENCE = f""",
+on_ref AS (SELECT *, {_PREDICTED} - target_temperature AS e FROM (
+  SELECT *, temperature - lag(temperature) OVER w AS temperature_change,
+         avg(temperature) OVER (PARTITION BY sensor_id
+                                ORDER BY CAST(floor(epoch("timestamp")) AS BIGINT)
+                                RANGE BETWEEN 1800 PRECEDING AND CURRENT ROW) AS rolling_avg_temperature,
+         lead(temperature, 12) OVER w AS target_temperature
+  FROM refcur WHERE slice = 'reference'
+  WINDOW w AS (PARTITION BY sensor_id ORDER BY "timestamp", event_id)), model
+  WHERE temperature_change IS NOT NULL AND target_temperature IS NOT NULL)
+"""
+
+ORACLE.update({
+    "train_linear": _with_tail(_FIT + """
+SELECT unnest(['temperature', 'humidity', 'temperature_change', 'rolling_avg_temperature', 'intercept']) AS term,
+       unnest([round(b1, 6), round(b2, 6), round(b3, 6), round(b4, 6), round(b0, 6)]) AS coefficient
+FROM model"""),
+    "predict_readings": _with_tail(_FIT + f"""
+SELECT sensor_id, "timestamp", temperature, round(prediction, 4) AS prediction FROM ({_SCORED})"""),
+    "predict_csv": _with_tail(_FIT + f"""
+SELECT "timestamp", temperature, round(prediction, 4) AS prediction FROM ({_SCORED})"""),
+    "prediction_store": _with_tail(_FIT + f"""
+SELECT CAST(1 AS BIGINT) AS model_version, sensor_id, "timestamp", temperature, round(prediction, 4) AS prediction,
+       event_id, source
+FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id, "timestamp"
+        ORDER BY CASE source WHEN 'csv' THEN 1 WHEN 'api' THEN 2 WHEN 'database' THEN 3 ELSE 4 END, event_id) AS rk
+      FROM ({_SCORED})) WHERE rk = 1"""),
+    "model_registry": _with_tail(_FIT + f"""
+SELECT 'training' AS run_name, 'sensor-forecast' AS model_name, 0.0e0 AS reg_param, 0.0e0 AS elastic_net_param,
+       'temperature,humidity,temperature_change,rolling_avg_temperature' AS features, g.max_mae, v.*, t.*,
+       validation_mae <= max_mae AS passed, validation_mae <= max_mae AS has_signature,
+       CASE WHEN validation_mae <= max_mae THEN 1 + (max_mae > 15 AND validation_mae <= 15)::BIGINT END AS version,
+       validation_mae <= max_mae AND max_mae > 15 AS is_champion
+FROM (SELECT {_MEASURES.format('validation_')} FROM ({_ERRORS}) WHERE split = 'validation') v,
+     (SELECT {_MEASURES.format('test_')} FROM ({_ERRORS}) WHERE split = 'test') t,
+     (VALUES (15.0e0), (100.0e0)) g(max_mae)"""),
+    "champion_eval": _with_tail(_FIT + _ON_REFERENCE + f"""
+SELECT {_MEASURES.format('')}, CAST(count(*) AS BIGINT) AS n_rows FROM on_ref"""),
+    "monitoring_run": _with_tail(_FIT + _ON_REFERENCE + f"""
+SELECT 'model-monitoring' AS run_name, 'monitoring_mae' AS metric, round(avg(abs(e)), 6) AS value FROM on_ref
+UNION ALL
+SELECT 'model-monitoring', 'monitoring_rmse', round(sqrt(avg(e * e)), 6) FROM on_ref
+UNION ALL
+SELECT 'model-monitoring', concat(column_name, '_', statistic, '_change_percent'), change_percent
+FROM ({DRIFT_LONG})"""),
+    "dashboard_actual_predicted": _with_tail(_FIT + f"""
+SELECT event_id, sensor_id, "timestamp", target_temperature AS actual, round(target_temperature + e, 4) AS predicted,
+       round(e, 4) AS residual FROM ({_ERRORS}) WHERE split = 'test'"""),
+})

@@ -2,7 +2,7 @@
 -> evaluate -> gate -> register/promote (section 3.1 of the blueprint).
 
 Every write is distributed; the only values brought to the driver are one
-metrics row and one row of split counts.
+metrics row per split and the quality counts.
 """
 
 from __future__ import annotations
@@ -26,6 +26,9 @@ from ..sinks.files import write_invalid
 from ..sinks.upsert import first_wins, upsert, with_event_date
 
 
+METRICS = ("mse", "mae", "rmse", "r2")
+
+
 @dataclass
 class TrainResult:
     model: PipelineModel
@@ -38,6 +41,7 @@ class TrainResult:
     test_metrics: dict = field(default_factory=dict)
     sensors_without_target: int = 0     # sensors with <= 12 valid rows: no training row
     quality: dict = field(default_factory=dict)   # A3 counts of the input
+    labelled: DataFrame | None = None   # the materialised split
 
 
 def run_training(readings: DataFrame, *, registry_root: str, store_root: str | None = None,
@@ -68,25 +72,36 @@ def run_training(readings: DataFrame, *, registry_root: str, store_root: str | N
                partition_by=["event_date"])                                       # K3
     short = feats.groupBy("sensor_id").agg(F.max("key_rows").alias("n")) \
         .filter(F.col("n") <= C.TARGET_LEAD_ROWS).count()                       # D11
-    labelled = label_chrono(feats)                                                # P1 (materialised)
-    counts = {r["split"]: r["n"] for r in
-              labelled.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
-    train = labelled.filter(F.col("split") == "train")
-    validation = labelled.filter(F.col("split") == "validation")
-    model = train_model(train, reg_param=reg_param, elastic_net=elastic_net)     # M1, M2
-    pred = predict(model, validation)                                            # M3
-    m = regression_metrics(pred).first().asDict()                                # A4, M4
-    metrics = {"validation_mse": m["mse"], "validation_mae": m["mae"], "validation_rmse": m["rmse"],
-               "validation_r2": m["r2"]}
-    t = regression_metrics(predict(model, labelled.filter(F.col("split") == "test"))).first().asDict()
-    test_metrics = {f"test_{k}": t[k] for k in ("mse", "mae", "rmse", "r2")}      # B7
+    result = fit_and_register(label_chrono(feats), registry_root=registry_root, max_mae=max_mae,
+                              reg_param=reg_param, elastic_net=elastic_net, model_name=model_name, quality=quality)
+    result.sensors_without_target = short
+    return result
+
+
+def fit_and_register(labelled: DataFrame, *, registry_root: str, max_mae: float = C.MAX_VALIDATION_MAE,
+                     reg_param: float = C.REG_PARAM, elastic_net: float = C.ELASTIC_NET_PARAM,
+                     model_name: str = C.MODEL_NAME, quality: dict | None = None) -> TrainResult:
+    """The plan from a chronologically labelled frame (P1, materialised) on: fit
+    on ``train``, score all splits in one grouped pass, log the run, and register
+    and promote the model if its validation MAE passes the gate."""
+    spark, quality = labelled.sparkSession, quality or {}
+    model = train_model(labelled.filter(F.col("split") == "train"), reg_param=reg_param,
+                        elastic_net=elastic_net)                                  # M1, M2
+    by_split = {r["split"]: r.asDict() for r in
+                regression_metrics(predict(model, labelled), by=("split",)).collect()}   # M3, A4: 3 rows
+    counts = {name: r["n_rows"] for name, r in by_split.items()}
+    nothing = dict.fromkeys(METRICS)
+    m, t = by_split.get("validation", nothing), by_split.get("test", nothing)
+    metrics = {f"validation_{k}": m[k] for k in METRICS}                          # M4
+    test_metrics = {f"test_{k}": t[k] for k in METRICS}                           # B7
     passed = m["mae"] is not None and m["mae"] <= max_mae                         # M5
     reg = Registry(spark, registry_root)
     run_id = reg.log_run("training", params_of(model, max_mae=max_mae),
                          {**metrics, **test_metrics, **quality}, model_name)      # M8
+    pred = predict(model, labelled.filter(F.col("split") == "validation"))
     version = None
     if passed:                                                                    # M6, M9
         version = reg.register(model, run_id, metrics,
                                signature(pred.select("features"), pred.select("prediction")), model_name)
         reg.set_alias(version, C.CHAMPION_ALIAS, model_name)
-    return TrainResult(model, metrics, passed, run_id, version, counts, pred, test_metrics, short, quality)
+    return TrainResult(model, metrics, passed, run_id, version, counts, pred, test_metrics, 0, quality, labelled)

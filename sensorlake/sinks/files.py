@@ -18,8 +18,10 @@ ISO_TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header + values; blanks are kept as written (a single space stays a
-    space). NULL and '' both leave an empty field, which reads back as NULL."""
-    (df.write.mode(mode).option("header", True).option("ignoreLeadingWhiteSpace", False)
+    space), event times keep their microseconds. NULL and '' both leave an empty
+    field, which reads back as NULL."""
+    (df.write.mode(mode).option("header", True).option("timestampFormat", ISO_TIME_TEXT)
+     .option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import config as C
+from ..functions.rules import RULE_NAMES, is_valid, reason_columns
 from ..operators.validate import validate_reading
 from ..schemas import READING_COLUMNS, STREAM_VALUE_STRICT, STREAM_VALUE_TEXT
 from ..session import read_if_exists
@@ -150,12 +151,9 @@ def observe_quality(parsed: DataFrame, name: str = "etl_quality") -> DataFrame:
     """B11 on a stream: per micro-batch row, valid and invalid counts and one
     count per rule, reported in ``StreamingQueryProgress.observedMetrics``
     (computed while the batch flows through, no extra pass)."""
-    from ..functions.rules import is_valid, reason_columns
-    names = ("missing_sensor_id", "missing_timestamp", "missing_temperature", "temperature_out_of_range",
-             "missing_humidity", "humidity_out_of_range")
     metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(is_valid()).alias("valid_rows"),
                F.count_if(~is_valid()).alias("invalid_rows")]
-    metrics += [F.count_if(r.isNotNull()).alias(n) for r, n in zip(reason_columns(), names)]
+    metrics += [F.count_if(r.isNotNull()).alias(n) for r, n in zip(reason_columns(), RULE_NAMES)]
     return parsed.observe(name, *metrics)
 
 
