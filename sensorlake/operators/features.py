@@ -105,16 +105,17 @@ def _feature_names(change: bool, rolling: bool, target: bool, humidity_trend: bo
 def add_features(valid: DataFrame, *, keys: tuple[str, ...] = ("sensor_id",),
                  chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
                  change: bool = True, rolling: bool = True, target: bool = True,
-                 humidity_trend: bool = False, with_seq: bool = False) -> DataFrame:
+                 humidity_trend: bool = False, with_seq: bool = False, target_time: bool = False) -> DataFrame:
     """F1 change, F2 rolling mean, F3 target (optionally the humidity trend),
     appended to the input columns. Ties on timestamp are broken by
     ``event_id``. Only the requested features are computed. ``with_seq``
     also keeps ``seq`` (row number per sensor) and ``key_rows`` (rows of the
-    sensor), which lets the chronological split skip a second numbering."""
+    sensor); ``target_time`` adds the event time of the target's reading."""
     keys = list(keys)
     names = _feature_names(change, rolling, target, humidity_trend)
     # the rolling mean needs no numbers: without another feature nothing is sorted
-    seq_df = sequence_index(valid, keys, ORDER, count_col="key_rows") if change or target or humidity_trend or with_seq else valid
+    seq_df = sequence_index(valid, keys, ORDER, count_col="key_rows") \
+        if change or target or humidity_trend or with_seq or target_time else valid
     specs = []
     if change:
         specs.append(("_prev_t", "temperature", -1))
@@ -122,6 +123,8 @@ def add_features(valid: DataFrame, *, keys: tuple[str, ...] = ("sensor_id",),
         specs.append(("_prev_h", "humidity", -1))
     if target:
         specs.append(("target_temperature", "temperature", C.TARGET_LEAD_ROWS))
+    if target_time:
+        specs.append(("target_time", "timestamp", C.TARGET_LEAD_ROWS))
     out = offset_values(seq_df, keys, specs, chunk_rows=chunk_rows) if specs else seq_df
     if rolling:
         rmean = rolling_mean_by_second(seq_df, keys, "temperature", chunk_seconds=chunk_seconds,
@@ -137,7 +140,8 @@ def add_features(valid: DataFrame, *, keys: tuple[str, ...] = ("sensor_id",),
         out = out.withColumn("temperature_change", F.col("temperature") - F.col("_prev_t"))
     if humidity_trend:
         out = out.withColumn("humidity_trend", F.col("humidity") - F.col("_prev_h"))
-    return out.select(*valid.columns, *(["seq", "key_rows"] if with_seq else []), *names)
+    return out.select(*valid.columns, *(["seq", "key_rows"] if with_seq else []), *names,
+                      *(["target_time"] if target_time else []))
 
 
 __all__ = ["add_features", "offset_values", "rolling_mean_by_second", "epoch_seconds"]

@@ -271,8 +271,31 @@ FROM (SELECT CAST(sum(n) AS BIGINT) AS total_rows,
     "replay_raw": _with("""SELECT * FROM valid"""),
 })
 
+# Three steps of arrival; copies come a step later, held events in the last one.
+# In the last step the watermark is 10 minutes before the newest event of the first.
+_ARRIVED = """,
+span AS (SELECT min(a) AS lo, (max(a) - min(a)) // 3 + 1 AS width FROM (
+  SELECT epoch_us("timestamp") + CASE WHEN event_id % 7 = 0 THEN 300000000 ELSE 0 END AS a FROM raw)),
+sent AS (SELECT *, 0 AS copy FROM valid UNION ALL SELECT *, 1 FROM valid WHERE event_id % 20 = 0),
+stepped AS (
+  SELECT sent.*, CASE WHEN event_id % 89 = 0 THEN 2 ELSE least(2, copy + CAST(floor(
+           (epoch_us("timestamp") + CASE WHEN event_id % 7 = 0 THEN 300000000 ELSE 0 END - lo) / width) AS BIGINT))
+         END AS step FROM sent, span),
+arrived AS (
+  SELECT *, step = 2 AND "timestamp" <= (SELECT max("timestamp") - INTERVAL 10 MINUTE FROM stepped WHERE step = 0)
+            AS late FROM stepped)
+"""
+
 ORACLE.update({
-    "stream_late_quarantine": _with("""SELECT DISTINCT *, 'accepted' AS status FROM valid""", raw=READINGS_DUP),
+    "stream_late_quarantine": _with_tail(_ARRIVED + """
+SELECT DISTINCT event_id, sensor_id, "timestamp", temperature, humidity, source, 'accepted' AS status
+FROM arrived WHERE NOT late
+UNION ALL
+SELECT event_id, sensor_id, "timestamp", temperature, humidity, source, 'late' FROM arrived WHERE late"""),
+    "late_rate": _with_tail(_ARRIVED + """
+SELECT accepted_rows, late_rows, round(late_rows / (accepted_rows + late_rows), 6) AS late_rate
+FROM (SELECT CAST(count(DISTINCT event_id) FILTER (WHERE NOT late) AS BIGINT) AS accepted_rows,
+             CAST(count(*) FILTER (WHERE late) AS BIGINT) AS late_rows FROM arrived)"""),
     "stream_table": _with(
         """SELECT event_id, sensor_id, "timestamp", temperature, humidity, source,
        humidity IS NULL AS is_faulty, CASE WHEN humidity IS NULL THEN 'missing_humidity' END AS fault_type FROM raw"""),

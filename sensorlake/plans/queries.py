@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ml.model import coefficients, predict, train_model
@@ -34,7 +34,7 @@ from ..sinks.files import (
     write_predictions,
 )
 from ..sinks.upsert import upsert
-from ..sources.events import readings_dup, readings_raw
+from ..sources.events import readings_dup, readings_raw, repeated
 from ..sources.files import load_all, load_csv, load_json
 from ..sources.table import load_table, pull_increment, stream_table, write_table
 from ..streaming.consumer import (
@@ -43,12 +43,13 @@ from ..streaming.consumer import (
     deduplicate,
     file_source,
     parse_messages,
+    quarantine_quality,
     run_consumer,
     run_quarantine,
     split_stream,
     start_parquet,
 )
-from ..streaming.features import stream_features
+from ..streaming.features import read_features, run_stream_features
 from .export import export
 from .infer import run_inference, score_features, store_predictions
 from .monitor import evaluate_on, run_monitoring
@@ -327,6 +328,39 @@ def _stream_parsed(spark, readings: DataFrame, name: str) -> DataFrame:
     return parse_messages(file_source(spark, landing))
 
 
+ARRIVALS = 3
+DELAY_SECONDS = 300      # below the allowed lateness of 10 minutes
+HELD_EVERY = 89
+
+
+def _arrival_steps(readings: DataFrame, later: Column | None = None) -> DataFrame:
+    """``_step`` of each reading: ``ARRIVALS`` steps of equal time. Every 7th
+    event comes 5 minutes after its event time, so times go back and forth
+    inside a step and across steps. ``later`` delays rows by whole steps.
+    Readings without a time come first."""
+    arrival = F.unix_micros("timestamp") + F.when(F.col("event_id") % 7 == 0, DELAY_SECONDS * 1_000_000).otherwise(0)
+    lo, hi = (t or 0 for t in readings.agg(F.min(arrival), F.max(arrival)).first())
+    step = F.coalesce(F.floor((arrival - F.lit(lo)) / F.lit((hi - lo) // ARRIVALS + 1)), F.lit(0))
+    return readings.withColumn("_step", F.least(step + (later if later is not None else F.lit(0)), F.lit(ARRIVALS - 1)))
+
+
+def _arrivals(spark, steps: DataFrame, name: str):
+    """Lands one step after the other; yields the folder after each."""
+    landing = scratch_path(spark, name)
+    steps = durable(steps, "arrivals")
+    for i in range(ARRIVALS):
+        readings_to_json(steps.filter(F.col("_step") == i), landing, mode="append")
+        yield landing
+
+
+def _resent(spark, sf_dir) -> DataFrame:
+    """All readings, and copies of every 20th that arrive a step after it."""
+    raw = readings_raw(spark, sf_dir)
+    both = raw.withColumn("_copy", F.lit(0)).unionByName(
+        repeated(raw).withColumn("_copy", F.lit(1)))
+    return _arrival_steps(both, F.col("_copy"))
+
+
 @query("stream_valid")
 def q_stream_valid(spark, sf_dir):
     """Valid branch of the stream (one availableNow run)."""
@@ -343,10 +377,15 @@ def q_stream_invalid(spark, sf_dir):
 
 @query("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    """Watermark + dedup on (sensor_id, timestamp, source) over a
-    stream carrying repeated events."""
-    valid, _ = split_stream(_stream_parsed(spark, readings_dup(spark, sf_dir), "stream-landing"))
-    return export(_run_stream(spark, deduplicate(valid).select(*READING_COLUMNS), "stream-dedup"))
+    """Watermark + dedup on (sensor_id, timestamp, source) over several
+    micro-batches and restarts; repeats come a batch later, where the state or
+    the watermark keeps them out."""
+    base = scratch_path(spark, "stream-dedup")
+    for landing in _arrivals(spark, _resent(spark, sf_dir), "stream-landing"):
+        valid, _ = split_stream(parse_messages(file_source(spark, landing)))
+        await_all([start_parquet(deduplicate(valid).select(*READING_COLUMNS), f"{base}/out", f"{base}/checkpoint",
+                                 available_now=True)])
+    return export(spark.read.parquet(f"{base}/out"))
 
 
 @query("stream_csv_ingest")
@@ -545,13 +584,20 @@ def q_replay_raw(spark, sf_dir):
     return export(valid.select(*READING_COLUMNS))
 
 
+def _quarantined(spark, sf_dir) -> str:
+    out = scratch_path(spark, "quarantine")
+    held = F.when(F.col("event_id") % HELD_EVERY == 0, ARRIVALS - 1).otherwise(F.col("_step"))
+    for landing in _arrivals(spark, _resent(spark, sf_dir).withColumn("_step", held), "quarantine-landing"):
+        await_all([run_quarantine(file_source(spark, landing), out)])
+    return out
+
+
 @query("stream_late_quarantine")
 def q_stream_late_quarantine(spark, sf_dir):
-    """Repeated events through the quarantine policy in one micro-batch:
-    no row is late yet, repeats are dropped, ``status`` marks each row."""
-    landing = _landing(spark, readings_dup(spark, sf_dir), "quarantine-landing")
-    out = scratch_path(spark, "quarantine")
-    await_all([run_quarantine(file_source(spark, landing), out)])
+    """Repeated, delayed and late events through the quarantine policy over
+    several micro-batches; ``status`` marks each row. Every 89th event is held
+    back to the last step, where it is late if the watermark has passed it."""
+    out = _quarantined(spark, sf_dir)
     acc = spark.read.parquet(f"{out}/valid").select(*READING_COLUMNS, F.lit("accepted").alias("status"))
     late = read_if_exists(spark, f"{out}/late")
     if late is not None:
@@ -559,6 +605,13 @@ def q_stream_late_quarantine(spark, sf_dir):
     return export(acc)
 
 
+@query("late_rate")
+def q_late_rate(spark, sf_dir):
+    """Late rate of the same stream."""
+    out = _quarantined(spark, sf_dir)
+    return export(quarantine_quality(spark, out), ("late_rate",))
+
+
 @query("stream_table")
 def q_stream_table(spark, sf_dir):
     """S10 as a stream: a table's files read until every row has arrived."""
@@ -574,10 +627,13 @@ def q_hyper_search(spark, sf_dir):
 
 @query("stream_features")
 def q_stream_features(spark, sf_dir):
-    """Per-sensor features on the stream, emitted when the target arrives."""
-    valid, _ = split_stream(_stream_parsed(spark, readings_raw(spark, sf_dir), "stream-landing"))
-    out = _run_stream(spark, stream_features(valid.select(*READING_COLUMNS)), "stream-features")
-    return export(out, ("rolling_avg_temperature",))
+    """Features on the stream, over several micro-batches of readings that
+    arrive out of order; the stream restarts between them."""
+    out = scratch_path(spark, "stream-features")
+    for landing in _arrivals(spark, _arrival_steps(readings_raw(spark, sf_dir)), "feature-landing"):
+        valid, _ = split_stream(parse_messages(file_source(spark, landing)))
+        await_all([run_stream_features(valid.select(*READING_COLUMNS), out)])
+    return export(read_features(spark, out, closed=True), ("rolling_avg_temperature",))
 
 
 @query("prediction_store")

@@ -10,6 +10,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +27,10 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Streaming state (dedup keys, per-sensor feature buffers) in RocksDB:
+    # Streaming state (dedup keys) in RocksDB:
     # off-heap, spills to local disk, checkpointed incrementally.
     "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",  # = ROCKSDB_PROVIDER
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -60,21 +62,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     ship_code()
 
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Stream state in RocksDB (required by transformWithStateInPandas).
-    Only new queries take it: a restarted query keeps the provider recorded
-    in its checkpoint."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
-        spark.conf.set(key, ROCKSDB_PROVIDER)
-
-
 def ship_code() -> None:
-    """Python workers (Pandas UDF state functions, the SQLite data source)
-    need this package. Pickle its functions and classes by value, so an
+    """Python workers (Pandas UDFs, foreachBatch functions) need this package. Pickle its functions and classes by value, so an
     executor runs them without the package installed or on its path (the
     alternative is shipping a zip with --py-files / addPyFile)."""
     from pyspark import cloudpickle
@@ -136,5 +125,30 @@ def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    for stages in _OPEN_STAGES.get():
+        stages.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_OPEN_STAGES: ContextVar[tuple[list[str], ...]] = ContextVar("open_stages", default=())
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession):
+    """Deletes the ``durable`` stages written inside the block when it ends: for
+    work whose results are all written by then, such as a micro-batch."""
+    stages: list[str] = []
+    token = _OPEN_STAGES.set((*_OPEN_STAGES.get(), stages))
+    try:
+        yield
+    finally:
+        _OPEN_STAGES.reset(token)
+        for path in stages:
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -70,9 +70,14 @@ def readings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_from_events(read_table(spark, sf_dir, "events"))
 
 
+def repeated(raw: DataFrame) -> DataFrame:
+    """The readings that are sent twice."""
+    return raw.filter(_every(DUPLICATE_EVERY))
+
+
 def readings_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """readings_raw plus exact copies of every 20th event, so that duplicate
     keys exist and any first-wins rule has one right answer. Every event is
     kept; the rule only chooses which events are sent twice."""
     raw = readings_raw(spark, sf_dir)
-    return raw.unionByName(raw.filter(_every(DUPLICATE_EVERY)))
+    return raw.unionByName(repeated(raw))

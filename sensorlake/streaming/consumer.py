@@ -15,6 +15,8 @@ keeps its deduplication state.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +26,9 @@ from .. import config as C
 from ..functions.rules import RULE_NAMES, is_valid, reason_columns
 from ..operators.validate import validate_reading
 from ..schemas import READING_COLUMNS, STREAM_VALUE_STRICT, STREAM_VALUE_TEXT
-from ..session import read_if_exists
+from ..session import durable, read_if_exists, temporary_stages
+from ..sinks.upsert import first_wins
+from .state import read_state, replace_batch, write_state
 
 ENVELOPE = ["topic", "partition", "offset"]
 
@@ -214,53 +218,47 @@ def await_all(queries: list[StreamingQuery]) -> None:
 
 # ------------------------------------------------------------------ late rows
 
-def _watermark_before(spark: SparkSession, marks_path: str, batch_id: int, delay_seconds: int):
-    """The watermark late rows of batch ``batch_id`` are judged by, as Spark
-    does it: the previous batch's watermark, i.e. the max event time of the
-    batches up to ``batch_id - 2`` minus the delay (None before that)."""
-    marks = read_if_exists(spark, marks_path)
-    if marks is None:
-        return None
-    row = marks.filter(F.col("batch_id") <= batch_id - 2).agg(F.max("max_event_time").alias("m")).first()
-    if row is None or row["m"] is None:
-        return None
-    return row["m"] - _dt.timedelta(seconds=delay_seconds)
-
-
 def quarantine_batch(batch: DataFrame, batch_id: int, out_dir: str, *, delay_seconds: int = 600,
                      keys=C.STREAM_DEDUP_KEYS) -> None:
     """One micro-batch of the quarantine policy, with the native operator's
-    thresholds: rows at or before the watermark go to ``late/`` instead of
-    being dropped; the others are deduplicated against themselves and
-    against accepted rows after the watermark (the keys the native state
-    store would still hold), and go to ``valid/``. Output is partitioned by
-    ``batch_id`` and overwritten dynamically, so a retried batch replaces
-    its own output."""
-    from ..session import durable
-    from ..sinks.upsert import first_wins
+    thresholds: rows at or before the watermark (the newest event time of the
+    batches up to two before, minus the delay) go to ``late/`` instead of being
+    dropped; the others are deduplicated against themselves and against the
+    accepted keys after the watermark, and go to ``valid/``. Only those keys and
+    the newest event times are carried on, so a batch reads no history. A
+    retried batch replaces its own output."""
     spark = batch.sparkSession
-    marks_path, valid_path, late_path = f"{out_dir}/_marks", f"{out_dir}/valid", f"{out_dir}/late"
-    wm = _watermark_before(spark, marks_path, batch_id, delay_seconds)
-    rows = durable(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), "quarantine-batch")
-    is_late = F.lit(False) if wm is None else (F.col("timestamp") <= F.lit(wm))
-    late = rows.filter(is_late)
-    fresh = first_wins(rows.filter(~is_late), keys,
-                       [F.col("event_id")] if "event_id" in rows.columns else None)
-    seen = read_if_exists(spark, valid_path)
-    if seen is not None:
-        seen = seen.filter(F.col("batch_id") < batch_id)
-        if wm is not None:
-            seen = seen.filter(F.col("timestamp") > F.lit(wm))
-        fresh = fresh.join(seen.select(*keys), list(keys), "left_anti")
-
-    def replace_batch(df: DataFrame, path: str) -> None:
-        # dynamic overwrite: only this batch's partition is replaced
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(path))
-
-    replace_batch(fresh, valid_path)
-    replace_batch(late, late_path)
-    replace_batch(rows.groupBy("batch_id").agg(F.max("timestamp").alias("max_event_time")), marks_path)
+    with temporary_stages(spark):
+        rows = durable(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), "quarantine-batch")
+        marks = read_state(spark, f"{out_dir}/_marks", batch_id)
+        seen = read_state(spark, f"{out_dir}/_keys", batch_id)
+        mark = marks.first() if marks is not None else {"newest": None, "before": None}
+        wm = mark["before"] - _dt.timedelta(seconds=delay_seconds) if mark["before"] is not None else None
+        is_late = F.lit(False) if wm is None else (F.col("timestamp") <= F.lit(wm))
+        fresh = first_wins(rows.filter(~is_late), keys, [F.col("event_id")] if "event_id" in rows.columns else None)
+        if seen is not None:
+            if wm is not None:
+                seen = seen.filter(F.col("timestamp") > F.lit(wm))
+            old = seen.select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
+            same = [fresh[k].eqNullSafe(old[f"_seen_{k}"]) for k in keys]      # nulls are equal, as in dropDuplicates
+            fresh = fresh.join(old, reduce(and_, same), "left_anti")
+        fresh = durable(fresh, "quarantine-fresh")
+        replace_batch(fresh, f"{out_dir}/valid")
+        replace_batch(rows.filter(is_late), f"{out_dir}/late")
+        accepted = fresh.select(*keys)
+        write_state(accepted if seen is None else seen.unionByName(accepted), f"{out_dir}/_keys", batch_id)
+        newest = [t for t in (mark["newest"], rows.agg(F.max("timestamp")).first()[0]) if t is not None]
+        write_state(spark.createDataFrame([(max(newest, default=None), mark["newest"])],
+                                          "newest timestamp, before timestamp"), f"{out_dir}/_marks", batch_id)
+
+
+def quarantine_quality(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Accepted and late rows of a quarantine run, and the late rate."""
+    parts = [(read_if_exists(spark, f"{out_dir}/{name}"), name == "late") for name in ("valid", "late")]
+    counted = [t.select(F.lit(is_late).alias("late")) for t, is_late in parts if t is not None]
+    counted = reduce(DataFrame.unionByName, counted, spark.createDataFrame([], "late boolean"))
+    return counted.agg(F.count_if(~F.col("late")).alias("accepted_rows"), F.count_if("late").alias("late_rows")) \
+        .withColumn("late_rate", F.try_divide(F.col("late_rows"), F.col("accepted_rows") + F.col("late_rows")))
 
 
 def run_quarantine(messages: DataFrame, out_dir: str, *, delay_seconds: int = 600,

@@ -1,142 +1,101 @@
-"""Per-sensor features on a stream.
-
-The batch features need a sensor's neighbours in time: the previous reading
-(change), the readings of the last 30 minutes (rolling mean) and the 12th
-next reading (target). On a stream each sensor keeps exactly that in state:
-
-* readings not yet emitted (waiting for their 12th successor),
-* the history a pending reading's 30-minute frame can reach, and the last
-  emitted reading (the predecessor of the first pending one).
-
-A reading is emitted once its target has arrived, with the same three values
-the batch operator gives it, as long as a sensor's readings arrive in time
-order (across micro-batches; order inside a batch does not matter). A reading
-older than one already emitted for its sensor cannot be placed without
-changing emitted rows: it is dropped from the feature stream (it still
-reaches the reading store). The last 12 readings of a sensor stay pending.
-
-State is keyed by sensor (a sensor's order is one sequence, so its rows of a
-micro-batch are handled by one task); its size is bounded by 30 minutes of
-readings plus 12, whatever the total volume. It lives in the state store as
-typed rows (``transformWithStateInPandas`` list and value state; the session
-uses the RocksDB provider).
+"""Features on a stream (B9), with the batch operator and no per-sensor task.
+
+A reading's features are final once its 12th successor is at or before the
+watermark (newest event time minus the allowed lateness): nothing that still
+may arrive can come between. So each micro-batch takes the readings that are
+not final yet together with what their frames reach back to, adds the new
+readings, runs ``add_features`` (skew-safe: no sensor is one task), emits the
+readings that became final, and keeps the rest for the next batch:
+
+* readings not emitted yet,
+* readings of the 30 minutes before a sensor's first such reading, and
+* the sensor's last emitted reading (the predecessor for its change).
+
+Readings may arrive out of order within the lateness, in any batch. One that
+arrives at or before the watermark can no longer be placed without changing
+emitted rows; it goes to ``late/``, not away. Output and state are written per
+batch, so a retried batch replaces its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import datetime as _dt
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from .. import config as C
-from ..session import use_rocksdb_state
-
-OUT_SCHEMA = ("event_id long, sensor_id string, timestamp timestamp, temperature double, humidity double, "
-              "source string, temperature_change double, rolling_avg_temperature double, "
-              "target_temperature double")
-BUFFER_SCHEMA = "event_id long, ts_us long, temperature double, humidity double, source string"
-_COLS = ["event_id", "ts_us", "temperature", "humidity", "source"]
-
-
-def _arrivals(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    new = []
-    for pdf in batches:
-        ts = pd.to_datetime(pdf["timestamp"])
-        ts = ts.dt.tz_localize(None) if getattr(ts.dt, "tz", None) is not None else ts
-        new.append(pd.DataFrame({
-            "event_id": pdf["event_id"].astype("int64"),
-            "ts_us": ts.astype("datetime64[us]").astype("int64"),
-            "temperature": pdf["temperature"].astype(float),
-            "humidity": pdf["humidity"].astype(float),
-            "source": pdf["source"].astype(object),
-        }))
-    return pd.concat(new, ignore_index=True) if new else pd.DataFrame({c: [] for c in _COLS})
-
-
-def _emit(sensor: str, buf: pd.DataFrame, emitted: int, lead: int, window_s: int):
-    """Rows ``emitted .. n-lead-1`` of the sorted buffer get their features."""
-    n = len(buf)
-    ready = range(emitted, max(emitted, n - lead))
-    if not len(ready):
-        return None
-    t = buf["temperature"].to_numpy(dtype=float)
-    sec = np.floor_divide(buf["ts_us"].to_numpy(dtype=np.int64), 1_000_000)
-    idx = np.fromiter(ready, dtype=np.int64)
-    lo = np.searchsorted(sec, sec[idx] - window_s, side="left")
-    hi = np.searchsorted(sec, sec[idx], side="right")     # peers of the same second count
-    rolling = np.array([t[a:b].mean() for a, b in zip(lo, hi)])
-    prev = np.where(idx > 0, t[np.maximum(idx - 1, 0)], np.nan)
-    return pd.DataFrame({
-        "event_id": buf["event_id"].to_numpy()[idx].astype("int64"),
-        "sensor_id": sensor,
-        "timestamp": pd.to_datetime(buf["ts_us"].to_numpy()[idx].astype("int64"), unit="us"),
-        "temperature": t[idx],
-        "humidity": buf["humidity"].to_numpy(dtype=float)[idx],
-        "source": buf["source"].to_numpy()[idx],
-        "temperature_change": t[idx] - prev,
-        "rolling_avg_temperature": rolling,
-        "target_temperature": t[idx + lead],
-    })
-
-
-def _advance(sensor: str, buf: pd.DataFrame, emitted: int, arrived: pd.DataFrame,
-             lead: int = C.TARGET_LEAD_ROWS, window_s: int = C.ROLLING_WINDOW_SECONDS):
-    """One micro-batch for one sensor: merge the arrivals into the sorted
-    buffer (dropping any older than an emitted reading), emit the readings
-    whose target is known, and keep only what pending readings still need.
-    Returns (buffer, emitted count, output rows or None)."""
-    if len(arrived):
-        if emitted > 0 and len(buf):
-            last_ts, last_id = buf["ts_us"].iloc[emitted - 1], buf["event_id"].iloc[emitted - 1]
-            arrived = arrived[(arrived["ts_us"] > last_ts) |
-                              ((arrived["ts_us"] == last_ts) & (arrived["event_id"] > last_id))]
-        buf = pd.concat([buf, arrived], ignore_index=True) if len(buf) else arrived
-        buf = buf.sort_values(["ts_us", "event_id"], kind="mergesort").reset_index(drop=True)
-    out = _emit(sensor, buf, emitted, lead, window_s)
-    if out is not None:
-        emitted += len(out)
-    if emitted > 0:
-        cut = emitted - 1                                   # keep the last emitted reading
-        if emitted < len(buf):
-            secs = buf["ts_us"].to_numpy() // 1_000_000
-            first_pending = secs[emitted]
-            cut = min(cut, int(np.searchsorted(secs, first_pending - window_s, side="left")))
-        buf = buf.iloc[cut:].reset_index(drop=True)
-        emitted -= cut
-    return buf, emitted, out
-
-
-class SensorFeatures(StatefulProcessor):
-    """Per-sensor state: ``buffer`` (the sorted readings still needed) and
-    ``emitted`` (how many of them were already emitted)."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buffer = handle.getListState("buffer", BUFFER_SCHEMA)
-        self.emitted = handle.getValueState("emitted", "n long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = list(self.buffer.get()) if self.buffer.exists() else []
-        buf = pd.DataFrame(stored, columns=_COLS) if stored else pd.DataFrame({c: [] for c in _COLS})
-        buf = buf.astype({"event_id": "int64", "ts_us": "int64", "temperature": float, "humidity": float})
-        emitted = int(self.emitted.get()[0]) if self.emitted.exists() else 0
-        buf, emitted, out = _advance(key[0], buf, emitted, _arrivals(rows))
-        cols = buf.to_dict("list")
-        self.buffer.put(list(zip(*[cols[c] for c in _COLS])))
-        self.emitted.update((emitted,))
-        if out is not None:
-            yield out
-
-    def close(self) -> None:
-        pass
-
-
-def stream_features(valid: DataFrame) -> DataFrame:
-    """Streaming (or batch) valid readings -> feature rows, emitted once the
-    12-row-ahead target is known. Append mode."""
-    use_rocksdb_state(valid.sparkSession)
-    return (valid.select("event_id", "sensor_id", "timestamp", "temperature", "humidity", "source")
-            .groupBy("sensor_id")
-            .transformWithStateInPandas(SensorFeatures(), OUT_SCHEMA, "Append", "None"))
+from ..operators.features import add_features, epoch_seconds
+from ..schemas import READING_COLUMNS
+from ..session import durable, read_if_exists, temporary_stages
+from .state import read_state, replace_batch, write_state
+
+FEATURES = ["temperature_change", "rolling_avg_temperature", "target_temperature"]
+LATENESS_SECONDS = 600
+
+
+def _context(rows: DataFrame) -> DataFrame:
+    """The rows (with ``emitted``) that readings not emitted yet still need."""
+    at = F.struct("timestamp", "event_id")
+    need = rows.groupBy(F.col("sensor_id").alias("_sensor")).agg(
+        F.min(F.when(~F.col("emitted"), epoch_seconds(F.col("timestamp")))).alias("_pending"),
+        F.max(F.when(F.col("emitted"), at)).alias("_last"))
+    kept = (~F.col("emitted") | (epoch_seconds(F.col("timestamp")) >= F.col("_pending") - C.ROLLING_WINDOW_SECONDS)
+            | (at == F.col("_last")))
+    return rows.join(need, rows["sensor_id"] == need["_sensor"]).filter(kept).select(*READING_COLUMNS, "emitted")
+
+
+def features_batch(batch: DataFrame, batch_id: int, out_dir: str, *, lateness_seconds: int = LATENESS_SECONDS) -> None:
+    """One micro-batch of valid readings."""
+    spark = batch.sparkSession
+    with temporary_stages(spark):
+        arrived = durable(batch.select(*READING_COLUMNS), "feature-batch")
+        newest = arrived.agg(F.max("timestamp")).first()[0]
+        known, mark = (read_state(spark, f"{out_dir}/_state", batch_id),
+                       read_state(spark, f"{out_dir}/_newest", batch_id))
+        fresh = arrived.withColumn("emitted", F.lit(False))
+        before = mark.first()["newest"] if mark is not None else None
+        allowed = _dt.timedelta(seconds=lateness_seconds)
+        if before is not None:
+            late = F.col("timestamp") <= F.lit(before - allowed)
+            replace_batch(arrived.filter(late).withColumn("batch_id", F.lit(batch_id).cast("long")), f"{out_dir}/late")
+            fresh = fresh.filter(~late)
+            newest = before if newest is None else max(before, newest)
+        rows = fresh if known is None else known.unionByName(fresh)
+        final = F.lit(False) if newest is None else \
+            F.coalesce(F.col("target_time") <= F.lit(newest - allowed), F.lit(False))
+        featured = durable(add_features(rows, target_time=True).withColumn("_final", final), "features")
+        replace_batch(featured.filter(F.col("_final") & ~F.col("emitted"))
+                      .select(*READING_COLUMNS, *FEATURES, F.lit(batch_id).cast("long").alias("batch_id")),
+                      f"{out_dir}/features")
+        write_state(_context(featured.withColumn("emitted", F.col("emitted") | F.col("_final"))),
+                    f"{out_dir}/_state", batch_id)
+        write_state(spark.createDataFrame([(batch_id, newest)], "batch_id long, newest timestamp"),
+                    f"{out_dir}/_newest", batch_id)
+
+
+def run_stream_features(valid: DataFrame, out_dir: str, *, lateness_seconds: int = LATENESS_SECONDS,
+                        available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Streaming valid readings -> ``features/`` and ``late/`` under ``out_dir``."""
+    w = valid.writeStream.option("checkpointLocation", f"{out_dir}/_checkpoint").foreachBatch(
+        lambda df, batch_id: features_batch(df, batch_id, out_dir, lateness_seconds=lateness_seconds))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def read_features(spark: SparkSession, out_dir: str, *, closed: bool = False) -> DataFrame | None:
+    """Emitted feature rows. ``closed``: no more readings will come (the end of a
+    replay), so readings whose target is known count too, watermark or not."""
+    out = read_if_exists(spark, f"{out_dir}/features")
+    out = None if out is None else out.drop("batch_id")
+    last = read_if_exists(spark, f"{out_dir}/_newest/*")
+    if not closed or last is None:
+        return out
+    state = spark.read.parquet(f"{out_dir}/_state/{last.agg(F.max('batch_id')).first()[0]}")
+    rest = (add_features(state).filter(~F.col("emitted") & F.col("target_temperature").isNotNull())
+            .select(*READING_COLUMNS, *FEATURES))
+    return rest if out is None else out.unionByName(rest)

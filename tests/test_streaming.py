@@ -115,7 +115,7 @@ def test_stream_features_across_batches_equal_batch(spark, tmp_path):
     from sensorlake.sinks.files import readings_to_json_value
     from sensorlake.sources.events import readings_raw
     from sensorlake.operators.validate import validate_reading
-    from sensorlake.streaming.features import stream_features
+    from sensorlake.streaming.features import read_features, run_stream_features
     raw = readings_raw(spark, SF_SMALL)
     lines = [r["value"] for r in readings_to_json_value(raw.orderBy("timestamp", "event_id")).collect()]
     landing = tmp_path / "in"
@@ -126,11 +126,13 @@ def test_stream_features_across_batches_equal_batch(spark, tmp_path):
         p.write_text("\n".join(lines[i * step:(i + 1) * step]) + "\n")
         os.utime(p, (1_700_000_000 + 10 * i,) * 2)
     valid, _ = split_stream(parse_messages(file_source(spark, str(landing), max_files_per_trigger=1)))
-    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    q = start_parquet(stream_features(valid.select(*READING_COLUMNS)), out, ck, available_now=True)
+    out = str(tmp_path / "out")
+    q = run_stream_features(valid.select(*READING_COLUMNS), out)
     await_all([q])
     assert len(q.recentProgress) >= 4
-    got = {r["event_id"]: r for r in spark.read.parquet(out).collect()}
+    assert spark.read.parquet(f"{out}/features").count() > 0      # most rows do not wait for the end
+    assert spark.read.parquet(f"{out}/_state/3").count() < 200    # and few are carried on
+    got = {r["event_id"]: r for r in read_features(spark, out, closed=True).collect()}
     batch = add_features(validate_reading(raw)[0]).filter(F.col("target_temperature").isNotNull())
     want = {r["event_id"]: r for r in batch.collect()}
     assert set(got) == set(want)
@@ -175,3 +177,33 @@ def test_aggregate_dedup_matches_state_dedup(spark, tmp_path):
     got = _times(spark, out)
     # every key the watermark has passed is emitted once; late rows are dropped as with the native operator
     assert [t for t in got if t < "02:50"] == ["00:00", "00:20", "00:56", "01:00", "01:05"]
+
+
+def test_stream_features_accept_disorder_and_keep_late_rows(spark, readings, tmp_path):
+    """Rows inside the lateness are placed, one past it goes to ``late/``, a
+    retried batch changes nothing."""
+    from sensorlake.operators.features import add_features
+    from sensorlake.streaming.features import features_batch, read_features
+    out = str(tmp_path / "out")
+
+    def row(i):
+        return (i, "A" if i % 3 else "B", f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00", 300.0 + i % 17, 50.0)
+    batches = [[i for i in range(0, 60) if i % 10 != 5 or i < 50], [55, *range(60, 120)], [15, 112, *range(120, 150)]]
+    # 112 is a repeat of a row, 15 is far behind the watermark (01:49), 55 is inside (00:49)
+    rows = [[row(i) for i in b] for b in batches]
+    for n, batch in enumerate(rows):
+        features_batch(readings(batch), n, out)
+    before = sorted(tuple(r) for r in read_features(spark, out, closed=True).collect())
+    features_batch(readings(rows[2]), 2, out)
+    assert sorted(tuple(r) for r in read_features(spark, out, closed=True).collect()) == before
+    assert [r["event_id"] for r in spark.read.parquet(f"{out}/late").collect()] == [15]
+    placed = readings([r for n, batch in enumerate(rows) for r in batch if (n, r[0]) != (2, 15)])
+    want = add_features(placed).filter(F.col("target_temperature").isNotNull())
+    key = lambda r: (r["event_id"], r["temperature_change"] or 0.0)
+    got = sorted(read_features(spark, out, closed=True).collect(), key=key)
+    want = sorted(want.collect(), key=key)
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert (g["event_id"], g["target_temperature"], g["temperature_change"]) == \
+            (w["event_id"], w["target_temperature"], w["temperature_change"])
+        assert abs(g["rolling_avg_temperature"] - w["rolling_avg_temperature"]) < 1e-9
