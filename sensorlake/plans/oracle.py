@@ -267,7 +267,10 @@ FROM (SELECT CAST(sum(n) AS BIGINT) AS total_rows,
              CAST(count(*) FILTER (WHERE humidity < 30 OR humidity > 80) AS BIGINT) AS humidity_out_of_range
       FROM tagged) r""", raw=READINGS_DUP),
     "curated_layout": _with("""SELECT *, CAST("timestamp" AS DATE) AS event_date FROM valid"""),
-    "consumer_run": _with("""SELECT DISTINCT * FROM valid""", raw=READINGS_DUP),
+    "consumer_run": _with(f"""SELECT DISTINCT *, NULL AS reasons, 'valid' AS sink FROM valid
+UNION ALL SELECT {_RAW_COLS}, reasons, 'invalid' FROM tagged WHERE reasons <> ''
+UNION ALL SELECT {_RAW_COLS}, NULL, 'raw' FROM raw""", raw=READINGS_DUP),
+    "preview": _with("""SELECT * FROM valid ORDER BY sensor_id, "timestamp", event_id LIMIT 20"""),
     "replay_raw": _with("""SELECT * FROM valid"""),
 })
 

@@ -8,6 +8,7 @@ can be compared with ``plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ..operators.calibrate import calibrate
 from ..operators.faults import inject_faults
 from ..operators.features import add_features
 from ..operators.metrics import drift_report, drift_stats, quality_gate, regression_metrics, sensor_counts
-from ..operators.reports import actual_vs_predicted, dashboard_histogram, dashboard_summary, etl_quality
+from ..operators.reports import actual_vs_predicted, dashboard_histogram, dashboard_summary, etl_quality, preview
 from ..operators.splits import label_chrono, label_reference_current
 from ..operators.validate import dq_summary, reason_counts, validate_reading, with_reasons
 from ..schemas import FEATURE_STORE_COLUMNS, READING_COLUMNS
@@ -112,6 +113,12 @@ def q_sensor_counts(spark, sf_dir):
     return sensor_counts(_valid(spark, sf_dir))
 
 
+@query("preview")
+def q_preview(spark, sf_dir):
+    """L2: the first 20 valid rows in a stated order."""
+    return export(preview(_valid(spark, sf_dir), order=("sensor_id", "timestamp", "event_id")))
+
+
 # ------------------------------------------------------------ features
 
 @query("features_all")
@@ -565,11 +572,15 @@ def q_curated_layout(spark, sf_dir):
 @query("consumer_run")
 def q_consumer_run(spark, sf_dir):
     """The three-query consumer over a landing folder of repeated
-    events; returns its deduplicated valid table."""
+    events; the rows of its three tables (``sink``), raw messages parsed."""
     landing = _landing(spark, readings_dup(spark, sf_dir), "consumer-landing")
     out = scratch_path(spark, "consumer")
     await_all(run_consumer(file_source(spark, landing), out, available_now=True))
-    return export(spark.read.parquet(f"{out}/valid").select(*READING_COLUMNS))
+    tables = {"valid": spark.read.parquet(f"{out}/valid"), "invalid": spark.read.parquet(f"{out}/invalid"),
+              "raw": parse_messages(spark.read.parquet(f"{out}/raw"))}
+    rows = [t.select(*READING_COLUMNS, F.col("reasons") if "reasons" in t.columns else F.lit(None).cast("string")
+                     .alias("reasons"), F.lit(name).alias("sink")) for name, t in tables.items()]
+    return export(reduce(DataFrame.unionByName, rows))
 
 
 @query("replay_raw")
