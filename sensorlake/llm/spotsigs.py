@@ -122,20 +122,15 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
     marked = rows.withColumn("_range", range_of("_id"))
     # the first id of each range and the range before it, the last one's being
-    # the first: at most MAX_RANGES + 2 rows
+    # the first: at most MAX_RANGES + 2 rows, compared in the JVM, where a long
+    # beside a null stays a long
     heads = sorted(map(tuple, ids.withColumn("_range", range_of("_id")).groupBy("_range").agg(F.max("_id")).collect()))
-    table = {r: (head, heads[i - 1][0]) for i, (r, head) in enumerate(heads)}
-
-    @F.pandas_udf("array<long>")
-    def goes_to(values: pd.Series, ranges_: pd.Series) -> pd.Series:
-        out = []
-        for v, r in zip(values.tolist(), ranges_.tolist()):
-            head, before = table[r]
-            is_head = head is None if pd.isna(v) else head is not None and int(v) == head
-            out.append([r, ~before] if is_head else [r])       # ~range: only seen as the next document
-        return pd.Series(out)
-
-    dealt = (marked.withColumn("_to", F.explode(goes_to(F.col("_id"), F.col("_range"))))
+    table = docs.sparkSession.createDataFrame([(r, head, heads[i - 1][0]) for i, (r, head) in enumerate(heads)],
+                                              "_range long, _head long, _before long")
+    also = F.when(F.col("_id").eqNullSafe(F.col("_head")), F.bitwise_not("_before"))     # ~range: only seen as the next document
+
+    dealt = (marked.join(F.broadcast(table), "_range")
+             .withColumn("_to", F.explode(F.array_compact(F.array("_range", also))))
              .select("_id", "_text", (F.col("_to") < 0).alias("_seen"),
                      F.when(F.col("_to") < 0, F.bitwise_not("_to")).otherwise(F.col("_to")).alias("_walk"))
              .repartition(F.col("_walk"))

@@ -290,6 +290,13 @@ def test_spotsigs_walk(docs, rows, empty, range_rows):
     assert spotsigs.with_next(empty).count() == 0 and spotsigs.fingerprints(empty).count() == 0
 
 
+def test_spotsigs_walk_keeps_rows_of_large_ids_beside_null_ids(spark):
+    ids = [(1 << 62) + 7 * i * (1 << 40) + 1 for i in range(24)]
+    made = [x for i, n in enumerate(ids) for x in ((n, f"the text number {i}"), (None, f"the other number {i}"))]
+    got = spotsigs.with_next(spark.createDataFrame(made, "doc_id long, text string").coalesce(1), range_rows=3).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in made)
+
+
 def test_likeness_pruning():
     a, b = np.arange(0, 100, dtype="uint32"), np.arange(10, 110, dtype="uint32")
     assert spotsigs.likeness(a, b) == spotsigs.likeness(a, b, 0.8) == 90 / 110
