@@ -6,9 +6,9 @@ document's score is the mean log ratio of its n-grams, so length does not count;
 every document is kept or not by the same fixed threshold. Plain base rules come
 first: too few words, too many repeated ones.
 
-The raw counts cover every whole text: each task adds up one vector of
-``BUCKETS`` numbers, and only these are shuffled. The trusted ones come from at
-most ``FIT_DOCS`` labelled documents (lowest id hash).
+Both counts cover every whole text of their documents, in one pass: each task
+adds up two vectors of ``BUCKETS`` numbers. The documents are joined with the
+distinct trusted ids: one exchange of the texts, the same plan at every size.
 
 Defined cases: null text has no words and fails the base rules; repeated rows
 count as often as they occur and get equal verdicts; null ids are never trusted;
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from . import common
 
 BUCKETS = 10_000
-FIT_DOCS = 20_000
 SMOOTHING = 1.0
 LEAST_RATIO = -0.07       # mean log ratio that a document must reach
 MIN_WORDS = 50
@@ -76,11 +75,14 @@ def duplicate_lines(text: str) -> int:
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame, *, id_col: str, text_col: str,
                   buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the raw corpus and of the trusted documents (ids of a bounded
-    frame, which is broadcast)."""
-    flagged = docs.select(id_col, F.col(text_col).alias("_text")).join(
-        F.broadcast(trusted.select(F.col(id_col).alias("_id")).withColumn("_trusted", F.lit(True))),
-        F.col(id_col) == F.col("_id"), "left")
+    """Counts of the raw corpus and of the trusted documents (a frame of ids)."""
+    ids = (trusted.select(F.col(id_col).alias("_id")).filter(F.col("_id").isNotNull()).distinct()
+           .withColumns({"_spread": F.lit(0).cast("long"), "_trusted": F.lit(True)}))
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
+    # rows with a null id match nothing and are spread by their text
+    texts = texts.withColumn("_at", F.when(F.col("_doc").isNull(), F.xxhash64("_text")).otherwise(F.lit(0).cast("long")))
+    flagged = texts.join(
+        ids.hint("merge"), (F.col("_doc") == F.col("_id")) & (F.col("_at") == F.col("_spread")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good = np.zeros(buckets, "int64"), np.zeros(buckets, "int64")
@@ -136,8 +138,8 @@ def judge(docs: DataFrame, ratios: np.ndarray, *, id_col: str = "doc_id", text_c
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id",
-        text_col: str = "text", fit_docs: int = FIT_DOCS) -> np.ndarray:
-    trusted = common.bounded_sample(labels.filter(F.col(label_col) > 0).select(id_col), id_col, fit_docs)
+        text_col: str = "text") -> np.ndarray:
+    trusted = labels.filter(F.col(label_col) > 0).select(id_col)
     return log_ratios(*bucket_counts(docs, trusted, id_col=id_col, text_col=text_col))
 
 

@@ -377,6 +377,16 @@ def test_quality_rules_ratio_is_the_multinomial_one(spark):
     assert (raw == one + two).all() and (good == one).all()
 
 
+def test_quality_rules_trust_every_good_label(spark):
+    d = spark.range(22_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 40).alias("text"))
+    d = d.unionByName(spark.createDataFrame([(None, "none"), (7, "again"), (30_000, "raw")], "doc_id long, text string"))
+    good = d.select("doc_id", F.lit(1).alias("quality")).filter("doc_id is null or doc_id < 22000")      # 7 is there twice
+    words = np.bincount([rules.hashed([f"w{i % 40}".encode()])[0] for i in range(40)], minlength=rules.BUCKETS) * 550
+    trusted = words + np.bincount(rules.hashed([b"again"]), minlength=rules.BUCKETS)
+    raw = trusted + sum(np.bincount(rules.hashed([w]), minlength=rules.BUCKETS) for w in (b"none", b"raw"))
+    assert np.allclose(rules.fit(d, good), rules.log_ratios(raw.astype(float), trusted.astype(float)), atol=1e-12)
+
+
 # ------------------------------------------------------------ 9 sharding
 
 @pytest.mark.parametrize("shards", [8, 3])
