@@ -3,8 +3,9 @@
 * Tokens (and their beginnings of 4 to 6 bytes, as classes of rare words) get
   the log-odds of toxic against other labelled documents by document
   frequency, with an informative Dirichlet prior from both together. Tokens
-  that stand out (z-score) score their log-odds, all others a small negative
-  drift.
+  that stand out (likelihood ratio statistic) score their log-odds, all others
+  a small negative drift. A z-score would not do: the fewer other documents
+  have a token, the larger is its variance.
 * A linear-time scan over a document's scores finds all its maximal-scoring
   segments (Ruzzo and Tompa); only tokens that score above zero are visited,
   the drift between them is a multiplication.
@@ -39,7 +40,6 @@ from . import common
 FIT_DOCS = 20_000
 FIT_TOKENS = 50_000
 MIN_DOCS = 4            # documents with a token, at least
-MIN_Z = 2.0
 MIN_G2 = 24.0           # likelihood ratio statistic: a token that toxic documents have by chance stays below
 PRIOR = 10.0            # pseudo-documents of the prior
 DRIFT = -0.5
@@ -144,13 +144,12 @@ def token_odds(sample: DataFrame, total: int, toxic: int, *, limit: int = FIT_TO
     prior = F.lit(PRIOR) * (F.col("y1") + F.col("y0")) / F.lit(n1 + n0)
     a, b = F.col("y1") + prior, F.col("y0") + prior
     odds = F.log(a / (F.lit(n1 + PRIOR) - a + 0.5)) - F.log(b / (F.lit(n0 + PRIOR) - b + 0.5))
-    z = odds / F.sqrt(1 / a + 1 / b)
     seen, share = F.col("y1") + F.col("y0"), n1 / (n1 + n0)
     g2 = 2 * (F.col("y1") * F.log(F.greatest(F.col("y1"), F.lit(0.5)) / (seen * share))
               + F.col("y0") * F.log(F.greatest(F.col("y0"), F.lit(0.5)) / (seen * (1 - share))))
-    rows = (counts.select("t", odds.alias("odds"), z.alias("z"), g2.alias("g2"))
-            .filter((F.col("z") >= MIN_Z) & (F.col("g2") >= MIN_G2))
-            .orderBy(F.desc("z"), "t").limit(limit).collect())        # at most FIT_TOKENS rows
+    rows = (counts.select("t", odds.alias("odds"), g2.alias("g2"))
+            .filter((F.col("odds") > 0) & (F.col("g2") >= MIN_G2))
+            .orderBy(F.desc("g2"), "t").limit(limit).collect())        # at most FIT_TOKENS rows
     return {bytes(r["t"]): float(r["odds"]) for r in rows}
 
 

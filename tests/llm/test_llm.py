@@ -272,6 +272,17 @@ def test_maximal_segments_by_definition():
         assert {sum(seq[a:b + 1]) for a, b in got} and max(sum(seq[a:b + 1]) for a, b in got) == max(sum(seq[a:b + 1]) for a, b in want) if at else not got
 
 
+@pytest.mark.parametrize("total", [400, 20_000])
+def test_purely_toxic_tokens_stand_out(spark, total):
+    i, toxic = F.col("id"), total // 10          # the first documents are toxic
+    word = (F.when(i < 10, "purely").when(i < 20, "mixed").when(i < 23, "seldom").when(i == toxic, "mixed")
+            .when(i >= total - 30, "clean").otherwise("other"))
+    sample = spark.range(total).select(word.alias("_text"), (i < toxic).cast("int").alias("_label"))
+    odds = toxicity.token_odds(sample, total, toxic)
+    assert {b"purely", b"mixed"} == {t for t in odds if not t.endswith(b"*")} and odds[b"purely"] > odds[b"mixed"] > 0
+    assert next(iter(odds)).startswith(b"pure")            # strongest first
+
+
 # ------------------------------------------------------------ 5 SpotSigs
 
 @pytest.mark.parametrize("range_rows", [4096, 3])
