@@ -6,6 +6,15 @@ is the set of its signatures, as 32-bit hashes in order, 8 hex digits each.
 Likeness is the Jaccard share of two sets, pruned: sets of lengths a <= b cannot
 exceed a / b, and a comparison stops where what is left cannot reach the threshold.
 
+Near copies over the whole corpus (``near_copies``): equal sets become one
+representative; representatives are dealt into partitions of set lengths, each
+``1 / least`` times as long as the one before, so that partners lie in the same
+or the next one. Inside a partition an inverted index of each set's rarest
+signatures, as many as any partner must share one of, gives the candidates,
+which are compared exactly, with pruning. Rarity is only an order of the
+signatures (the ``FREQUENT`` most frequent come last), so every pair is found
+whatever it is. ``with_next`` compares by the same ``likeness``.
+
 The ordered walk (each document and the next) is one exchange of the texts:
 ids are cut into ranges by sampled quantiles, every range also gets the first
 document of the following one, and a task walks its sorted range as a stream.
@@ -30,12 +39,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.sequence import sequence_index
+from ..session import durable
 from . import common
 
 CHAIN = 3
 DISTANCE = 1
 RANGE_ROWS = 4096       # documents of one task's walk, about
 MAX_RANGES = 20_000     # beyond, walks get longer instead: they are sorted streams
+LEAST = 0.8             # likeness of near copies
+FREQUENT = 1 << 17      # signatures whose order is by their count
+_SLACK = 1e-9           # pruning never drops a pair at the threshold by rounding
 # Common words of English, French, German and Spanish.
 ANCHORS = frozenset("""
 the of and to in a is that it for was on are as with he be at by this or from had not but what all were when we there can an
@@ -79,14 +93,14 @@ def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
         a, b = b, a
     if not len(a):
         return float(len(b) == 0)
-    if len(a) < least * len(b):
+    if len(a) < least * len(b) - _SLACK:
         return 0.0
     half = len(a) // 2
     shared = 0
     for part, left in ((a[:half], len(a) - half), (a[half:], 0)):
         at = np.searchsorted(b, part)
         shared += int((b[np.minimum(at, len(b) - 1)] == part).sum())
-        if shared + left < least * (len(a) + len(b)) / (1 + least):
+        if shared + left < least * (len(a) + len(b)) / (1 + least) - _SLACK:
             return 0.0
     return shared / (len(a) + len(b) - shared)
 
@@ -164,6 +178,88 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     return dealt.select("_id", "_text", "_seen", "_walk").mapInArrow(run, schema)
 
 
+def length_starts(longest: int, least: float) -> np.ndarray:
+    """First set length of each partition, up to ``longest``: partners of a
+    set are in its own partition or a neighbouring one."""
+    starts = [1]
+    while starts[-1] <= longest:
+        starts.append(int(starts[-1] / least + _SLACK) + 1)
+    return np.array(starts)
+
+
+def candidates(sets: DataFrame, *, least: float = LEAST, frequent: int = FREQUENT) -> DataFrame:
+    """Pairs (``set_a``, ``set_b``) of a stored (``set_id``, ``fingerprint``)
+    frame of distinct, not empty sets, with all pairs of likeness ``least`` or more."""
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for f in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(from_string(f).astype("int64"))], names=["sig"])
+
+    # at most ``frequent`` rows, the most frequent last
+    common_ones = (sets.select("fingerprint").mapInArrow(explode, "sig long").groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+                   .filter(F.col("n") > 1).orderBy(F.desc("n"), "sig").limit(frequent).collect())
+    known = np.array([r["sig"] for r in common_ones], "int64")
+    at_known = np.argsort(known)
+    known, place = known[at_known], len(known) - at_known        # 1: the least frequent of them
+    longest = sets.agg(F.max(F.length("fingerprint"))).first()[0] or 0
+    starts = length_starts(longest // 8, least)
+    names = ["band", "sig", "home", "set_id", "n", "pos"]
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ident, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sigs = from_string(f).astype("int64")
+                rank = np.zeros(len(sigs), "int64")
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, sigs), len(known) - 1)
+                    rank = np.where(known[at] == sigs, place[at], 0)
+                # two sets with likeness ``least`` share ceil(least * n) signatures at least
+                rare = sigs[np.lexsort((sigs, rank))][:len(sigs) - int(np.ceil(least * len(sigs) - _SLACK)) + 1]
+                band = int(np.searchsorted(starts, len(sigs), side="right"))
+                k = len(rare)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat([band, band + 1], k)), pa.array(np.tile(rare, 2)), pa.array(np.repeat([True, False], k)),
+                     pa.array(np.full(2 * k, ident, "int64")), pa.array(np.full(2 * k, len(sigs), "int64")),
+                     pa.array(np.tile(np.arange(k), 2))], names=names)
+
+    rows = durable(sets.select("set_id", "fingerprint").mapInArrow(
+        index, "band long, sig long, home boolean, set_id long, n long, pos long"), "rare-signatures")
+    a = rows.filter("home").select("band", "sig", *[F.col(c).alias(f"a_{c}") for c in ("set_id", "n", "pos")])
+    b = rows.select("band", "sig", *[F.col(c).alias(f"b_{c}") for c in ("set_id", "n", "pos")])
+    # a is the longer one; after the first shared signature only what follows can be shared
+    shorter = (F.col("b_n") < F.col("a_n")) | ((F.col("b_n") == F.col("a_n")) & (F.col("b_set_id") < F.col("a_set_id")))
+    bound = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
+    return (a.join(b, ["band", "sig"])
+            .filter(shorter & (F.col("b_n") >= least * F.col("a_n") - _SLACK)
+                    & (bound >= least / (1 + least) * (F.col("a_n") + F.col("b_n")) - _SLACK))
+            .select(F.least("a_set_id", "b_set_id").alias("set_a"), F.greatest("a_set_id", "b_set_id").alias("set_b")).distinct())
+
+
+def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST,
+                frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
+    """All near copies of a corpus, adjacent or not, for ``least`` above 0:
+    pairs of representatives (``set_a`` < ``set_b``, ``near`` >= ``least``), and the
+    members (id, ``set_id``), one row per document. Documents of one set are
+    alike (1.0) and have no pair."""
+    prints = durable(fingerprints(docs, id_col=id_col, text_col=text_col), "spot-signatures")
+    sets = durable(sequence_index(prints.select("fingerprint").distinct(), [], ["fingerprint"], seq_col="set_id")
+                   .select("set_id", "fingerprint"), "sets")
+    found = candidates(sets.filter(F.col("fingerprint") != ""), least=least, frequent=frequent)
+    one = sets.select(F.col("set_id").alias("set_a"), F.col("fingerprint").alias("_a"))
+    two = sets.select(F.col("set_id").alias("set_b"), F.col("fingerprint").alias("_b"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [likeness(from_string(x), from_string(y), least)
+                    for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.float64())],
+                                             names=["set_a", "set_b", "near"])
+
+    pairs = (found.join(one, "set_a").join(two, "set_b").select("set_a", "set_b", "_a", "_b")
+             .mapInArrow(compare, "set_a long, set_b long, near double").filter(F.col("near") >= least))
+    return pairs, prints.join(sets, "fingerprint").select(id_col, "set_id")
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, their edited texts and their likeness."""
     common.prepare(spark)

@@ -314,6 +314,50 @@ def test_likeness_pruning():
     assert spotsigs.likeness(a, b, 0.9) == 0 and spotsigs.likeness(a, b[:20], 0.5) == 0
 
 
+def test_pruning_keeps_pairs_at_the_threshold():
+    for least in (0.5, 0.6, 0.7, 0.8, 0.9):
+        starts = spotsigs.length_starts(200, least)
+        band = {n: int(np.searchsorted(starts, n, side="right")) for n in range(1, 201)}
+        for n in range(1, 61):
+            for m in range(n, 61):
+                for shared in range(n + 1):
+                    near = shared / (n + m - shared)
+                    if near >= least:
+                        a, b = np.arange(n, dtype="uint32"), np.arange(n - shared, n - shared + m, dtype="uint32")
+                        assert spotsigs.likeness(a, b, least) == near and band[m] - band[n] in (0, 1)
+
+
+@pytest.mark.parametrize("frequent", [1 << 17, 3, 0])
+def test_near_copies_against_all_pairs(spark, docs, rows, empty, frequent):
+    rng = np.random.default_rng(8)
+    lines = []
+    for k in range(12):         # families of copies with up to a few words changed, far apart by id
+        base = rng.choice(BASE + [f"w{i}" for i in range(60)], int(rng.integers(6, 120))).tolist()
+        for _ in range(9):
+            w = list(base)
+            for i in rng.integers(0, len(w), int(rng.integers(0, 4))):
+                w[i] = f"c{int(rng.integers(50))}"
+            lines.append(" ".join(w[:len(w) - int(rng.integers(0, 3))]))
+    made = [(100 + int(i), t, *[None] * 6) for i, t in zip(rng.permutation(len(lines)), lines)] + rows
+    for least in (0.8, 0.5):
+        pairs, members = spotsigs.near_copies(spark.createDataFrame(made, docs.schema), least=least, frequent=frequent)
+        members = members.collect()
+        assert Counter(r.doc_id for r in members) == Counter(r[0] for r in made)
+        text = dict((r[0], r[1]) for r in made if r[0] is not None)
+        sets = {r.set_id: frozenset(spotsigs.signatures(text[r.doc_id]).tolist()) for r in members if r.doc_id is not None}
+        assert all(sets[r.set_id] == set(spotsigs.signatures(text[r.doc_id]).tolist()) for r in members if r.doc_id is not None)
+        assert len(set(sets.values())) == len(sets)
+        want = {}
+        for a in sets:
+            for b in sets:
+                if a < b and sets[a] and sets[b] and (near := len(sets[a] & sets[b]) / len(sets[a] | sets[b])) >= least:
+                    want[a, b] = near
+        got = [tuple(r) for r in pairs.collect() if r.set_a in sets and r.set_b in sets]
+        assert len(got) == len(want) > 20 and {(a, b): n for a, b, n in got} == want
+    pairs, members = spotsigs.near_copies(empty)
+    assert pairs.count() == members.count() == 0
+
+
 # ------------------------------------------------------------ 7 packing
 
 def test_packing_round_trip(docs, rows, empty, monkeypatch):
