@@ -6,6 +6,7 @@ from . import (
     language,
     licenses,
     mixing,
+    negatives,
     packing,
     quality,
     rules,
@@ -13,6 +14,8 @@ from . import (
     simhash,
     spotsigs,
     toxicity,
+    variants,
+    warc,
 )
 
 REGISTRY = {f.__name__: f for f in (
@@ -26,6 +29,9 @@ REGISTRY = {f.__name__: f for f in (
     rules.op8_quality_rules,
     sharding.op9_sharding,
     mixing.op10_mixing,
+    warc.op11_warc,
+    variants.op12_spelling_variants,
+    negatives.op13_hard_negatives,
 )}
 
-ORACLE = {"op10_mixing": mixing.ORACLE}
+ORACLE = {"op10_mixing": mixing.ORACLE, "op11_warc": warc.ORACLE, "op13_hard_negatives": negatives.ORACLE}
