@@ -2,7 +2,8 @@
 
 1. Every document becomes token ids (``tokenizers``; null text: none) plus one
    end id, and is cut into pieces of at most ``capacity`` ids. Only the
-   pieces' numbers are kept (id, start, length, CRC of the ids).
+   pieces' numbers are kept (id, start, length, CRC of the ids). Arrow splits a
+   block of texts and finds its distinct strings; only those reach Python.
 2. The pieces are written once to the shared work folder. A salted hash of the
    stored row gives each a group; the number of groups follows the number of
    pieces, so that a group has about ``group_pieces`` of them at any size, and
@@ -19,14 +20,17 @@ is carried along; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,13 +41,21 @@ from . import common
 CAPACITY = 4096
 END_ID = 2
 GROUP_PIECES = 8192
-BLOCK_CHARS = 1 << 21        # texts are encoded so many characters at a time; longer ones are cut at blanks
-CACHE_WORDS = 250_000        # memoised words per worker; emptied when full
+BLOCK_CHARS = 1 << 23        # texts are encoded so many characters at a time; longer ones are cut at blanks
+CACHE_STRINGS = 1_000_000    # strings between blanks that a worker remembers; emptied when full
 JOINED_WORDS = 200           # new words given to the library in one text
 
-# The vocabulary's own splitting rule, for lower-cased text of U+0000-U+00FF
-# (letters, single digits, runs of anything else); other texts go to the
-# library whole.
+# The splitting rules that the short way below holds for (fixed values). A
+# vocabulary with any other is left to the library, whole texts at a time.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+# That rule for lower-cased text of U+0000-U+00FF (letters, single digits, runs
+# of anything else); other texts go to the library whole.
 _LATIN_WORD = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+"
     "|[0-9²³¹¼-¾]"
@@ -84,72 +96,120 @@ def _blocks(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The concatenated slices flat[start:start + size]."""
+    ends = np.cumsum(sizes)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
+
+
+class _Known:
+    """Ids of strings: a slot for each, and the slots' ids one after the other."""
+
+    def __init__(self):
+        self.slots: dict[str, int] = {"": 0}
+        self.starts, self.sizes, self.flat = np.zeros(1, "int64"), np.zeros(1, "int64"), np.zeros(0, "<u4")
+
+    def add(self, strings: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.slots.update(zip(strings, range(len(self.sizes), len(self.sizes) + len(strings))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, ids])
+
+
 class Encoder:
-    """Texts to ids as little-endian unsigned 32-bit bytes. Words recur, so
-    each distinct word is encoded by the library once per worker and
-    remembered."""
+    """Texts to ids. Strings between blanks recur, so a worker has each encoded
+    once, remembers it, and puts a block's ids together by array operations."""
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # a task has one core
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
         self.whole = Tokenizer.from_file(vocabulary)
+        rules = json.loads(self.whole.to_str())
+        suffix = getattr(self.whole.model, "end_of_word_suffix", None)
+        self.short = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER and bool(suffix)
+        if not self.short:
+            return
         self.words = Tokenizer(self.whole.model)     # the model alone: input is split words
         self.words.pre_tokenizer = WhitespaceSplit()
         self.letters = _byte_letters()
-        suffix = self.whole.model.end_of_word_suffix
         vocab = self.whole.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
-        self.known = common.worker_cache(f"ids of words, {vocabulary}")
+        self.cache = common.worker_cache(f"ids of strings, {vocabulary}")
+        self.cache.setdefault("known", _Known())
 
     def _learn_words(self, words: list[str]) -> None:
         """Many words go to the library as one text; the ids that end a word
         cut the answer into the words' ids again."""
-        spelled = [w.encode().decode("latin-1").translate(self.letters) for w in words]
+        spelled = [w if w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in words]
         joined = [" ".join(spelled[i:i + JOINED_WORDS]) for i in range(0, len(spelled), JOINED_WORDS)]
         ids = np.array([i for code in self.words.encode_batch_fast(joined, add_special_tokens=False) for i in code.ids], "<u4")
-        stops = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+        stops = np.flatnonzero(self.ends_word[ids]) + 1
         if len(stops) != len(words):
             raise ValueError("the vocabulary has no id that ends each word")
-        raw = ids.tobytes()
-        self.known.update(zip(words, [raw[a:b] for a, b in zip([0, *stops], stops)]))
+        self.cache["known"].add(words, ids, np.diff(stops, prepend=0))
 
-    def _lookup(self, strings: set[str]) -> dict[str, bytes]:
-        """The ids of lower-cased strings between blanks. A string of letters
+    def _slots(self, strings: list[str]) -> np.ndarray:
+        """The slots of lower-cased strings between blanks. A string of letters
         is one word; the others are split by the vocabulary's rule."""
-        known = self.known
-        mixed = [x for x in strings if not x.isalpha()]
-        parts = [_LATIN_WORD.findall(x) for x in mixed]
-        plain = list(strings.difference(mixed))
-        words = {w for p in parts for w in p}
-        missing = {x for x, ids in zip(plain, map(known.get, plain)) if ids is None}
-        missing.update(w for w in words if w not in known)
-        if len(known) + len(missing) > CACHE_WORDS:
-            known.clear()
-            missing = words.union(plain)
-        if missing:
-            self._learn_words(list(missing))
-        found = dict(zip(plain, map(known.get, plain)))
-        found.update(zip(mixed, [b"".join([known[w] for w in p]) for p in parts]))
+        if len(self.cache["known"].slots) > CACHE_STRINGS:
+            self.cache["known"] = _Known()
+        known = self.cache["known"]
+        found = np.fromiter(map(known.slots.get, strings, repeat(-1)), "int64", len(strings))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = [strings[i] for i in missing.tolist()]
+            mixed = [s for s in new if not s.isalpha()]
+            parts = [_LATIN_WORD.findall(s) for s in mixed]
+            words = {w for p in parts for w in p}.difference(known.slots)
+            words.update(s for s in new if s.isalpha())
+            if words:
+                self._learn_words(list(words))
+            # a mixed string of one part is that part, known by now
+            mixed, parts = [x for x, p in zip(mixed, parts) if len(p) > 1], [p for p in parts if len(p) > 1]
+            if mixed:
+                at = np.array([known.slots[w] for p in parts for w in p])
+                firsts = np.cumsum([0, *map(len, parts)])[:-1]
+                known.add(mixed, _gather(known.flat, known.starts[at], known.sizes[at]), np.add.reduceat(known.sizes[at], firsts))
+            found[missing] = np.fromiter(map(known.slots.__getitem__, new), "int64", len(new))
         return found
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text, in order."""
-        parts = [(i, block) for i, text in enumerate(texts) if text for block in _blocks(text)]
-        out: list[list[bytes]] = [[] for _ in texts]
-        while parts:
-            chars, n = 0, 0
-            while n < len(parts) and (n == 0 or chars < BLOCK_CHARS):
-                chars += len(parts[n][1])
-                n += 1
-            now, parts = parts[:n], parts[n:]
-            split = [block.lower().split() if _is_simple(block) else None for _, block in now]
-            ids = self._lookup(set().union(*filter(None, split)))
-            for (i, block), words in zip(now, split):
-                out[i].append(np.array(self.whole.encode(block, add_special_tokens=False).ids, "<u4").tobytes()
-                              if words is None else b"".join(map(ids.__getitem__, words)))
-        return (b"".join(x) for x in out)
+    def _simple_ids(self, blocks: list[str]) -> list[np.ndarray]:
+        """The ids of simple texts, all at once."""
+        split = pc.ascii_split_whitespace(pc.utf8_lower(pa.array(blocks, pa.string())))
+        coded = split.flatten().dictionary_encode()
+        slots = self._slots(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[np.asarray(coded.indices)]
+        known = self.cache["known"]
+        sizes = known.sizes[slots]
+        ids = _gather(known.flat, known.starts[slots], sizes)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.asarray(split.offsets)]
+        return [ids[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+
+    def _encode_blocks(self, blocks: list[str]) -> list[np.ndarray]:
+        simple = [self.short and _is_simple(x) for x in blocks]
+        quick = iter(self._simple_ids([x for x, s in zip(blocks, simple) if s]) if any(simple) else ())
+        return [next(quick) if s else np.array(self.whole.encode(x, add_special_tokens=False).ids, "<u4")
+                for x, s in zip(blocks, simple)]
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order, as little-endian unsigned 32-bit numbers."""
+        cut = [list(_blocks(text) if self.short else [text]) if text else [] for text in texts]
+        at = 0
+        while at < len(cut):
+            chars, to = 0, at
+            while to < len(cut) and (to == at or chars < BLOCK_CHARS):
+                chars += sum(map(len, cut[to]))
+                to += 1
+            here: list[str] = [block for blocks in cut[at:to] for block in blocks]
+            if chars > 2 * BLOCK_CHARS:          # a long text: block by block
+                done = iter([ids for block in here for ids in self._encode_blocks([block])])
+            else:
+                done = iter(self._encode_blocks(here))
+            for blocks in cut[at:to]:
+                ids = [next(done) for _ in blocks]
+                yield ids[0] if len(ids) == 1 else np.concatenate([np.zeros(0, "<u4"), *ids])
+            at = to
 
 
 def cut_pieces(docs: DataFrame, *, id_col: str, text_col: str, vocabulary: str,
@@ -162,22 +222,35 @@ def cut_pieces(docs: DataFrame, *, id_col: str, text_col: str, vocabulary: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for ids_of, texts in held(batches):
             row, start, length, crc, total = [], [], [], [], []
-            for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
-                ids += end
-                n = len(ids) // 4
+            for i, ids in enumerate(encoder.encode(texts)):
+                n = len(ids) + 1
                 for at in range(0, n, capacity):
-                    piece = ids[4 * at:4 * (at + capacity)]
+                    piece = np.ascontiguousarray(ids[at:at + capacity])
+                    last = at + capacity >= n            # with the end id
                     row.append(i)
                     start.append(at)
-                    length.append(len(piece) // 4)
-                    crc.append(zlib.crc32(piece))
+                    length.append(len(piece) + last)
+                    crc.append(zlib.crc32(end, zlib.crc32(piece)) if last else zlib.crc32(piece))
                     total.append(n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())), *[pa.array(c, pa.int64()) for c in (start, length, crc, total)]],
+                [ids_of.take(pa.array(row, pa.int64())), *[pa.array(c, pa.int64()) for c in (start, length, crc, total)]],
                 names=[id_col, "start", "length", "ids_crc32", "doc_tokens"])
 
+    def held(batches):
+        """Batches joined up to about a block: words of larger blocks recur more."""
+        ids_of, texts, size = [], [], 0
+        for batch in batches:
+            ids_of.append(batch.column(0))
+            texts += batch.column(1).to_pylist()
+            size += batch.column(1).nbytes
+            if size >= BLOCK_CHARS:
+                yield pa.concat_arrays(ids_of), texts
+                ids_of, texts, size = [], [], 0
+        if ids_of:
+            yield pa.concat_arrays(ids_of), texts
+
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
