@@ -5,18 +5,22 @@
   water level L with target = min(max_copies * size, L * weight), found in a
   few rounds of one aggregate over the table of sources.
 * A source takes floor(target / size) copies of every document, and one more of
-  those whose id hash is below a threshold. The threshold comes from histograms:
-  words by (source, leading hash bits); the bucket in which the budget runs out
-  is the boundary, and only its documents are summed again by the next bits,
-  until the boundary is one hash value. It is taken if that is nearer to the
-  budget. Nothing is sorted, and a source's threshold for a smaller budget is
-  below that for a larger one, so mixes are nested.
+  those whose hash (of id and text) is below a threshold. The threshold comes
+  from histograms: words by (source, leading hash bits); the bucket in which the
+  budget runs out is the boundary, and only its documents are summed again by
+  the next bits, until the boundary is one hash value, one document as a rule. It
+  is taken if that is nearer to the budget. Nothing is sorted, and a source's
+  threshold for a smaller budget is below that for a larger one, so mixes are
+  nested.
+* Rows of equal id and text share the boundary's hash: as many of them are taken
+  as come nearest to the budget, by a row number among them alone.
 
 A hot source only adds to partial sums: at most 4096 of them per source, task
 and level reach the shuffle. Defined cases: null text has size 0; null source
-is a source of its own, last in order; null ids share one hash; rows with equal
-ids share a hash and are taken or left together; a source without words has
-target 0; an empty table gives no rows; other columns are ignored.
+is a source of its own, last in order; null ids are told apart by their texts;
+of rows that repeat, which ones are taken is decided by their other columns; a
+source without words has target 0; an empty table gives no rows; other columns
+are ignored (or kept, in ``mixed_documents``).
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from . import common
 WORD = r"[^\x20\x09-\x0D]+"
 CYCLE = 3            # weights 1, 2, 3, repeating over the sources in order
 MAX_COPIES = 3
-HASH_BITS = 60       # leading bits of the id's MD5
+HASH_BITS = 60       # leading bits of the MD5 of id and text
 LEVEL_BITS = 12
 
 
@@ -54,44 +58,64 @@ def source_targets(sizes: DataFrame, *, cycle: int = CYCLE, max_copies: int = MA
 
 
 def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
-    """(``_source``, ``_edge``, ``_with_edge``) for (``_source``, ``_budget``):
-    documents with hash < edge are taken, those at the edge if ``_with_edge``."""
+    """(``_source``, ``_edge``, ``_edge_rows``, ``_edge_taken``) for (``_source``,
+    ``_budget``): documents with hash < edge are taken, and ``_edge_taken`` of the
+    ``_edge_rows`` at the edge, which have one size."""
     state = budgets.select("_source", "_budget", F.lit(0).cast("long").alias("_prefix"),
                            F.lit(0).cast("long").alias("_below"))
     for shift in range(HASH_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
         lead = F.col("hash").bitwiseAND(F.lit((1 << HASH_BITS) - 1))
         inside = rows.join(state, "_source").filter(F.shiftright(lead, shift + LEVEL_BITS) == F.col("_prefix"))
         sums = (inside.groupBy("_source", "_budget", "_below", F.shiftright(lead, shift).alias("_bucket"))
-                .agg(F.sum("size").alias("_words")))
+                .agg(F.sum("size").alias("_words"), F.count(F.lit(1)).alias("_rows")))
         # at most 4096 rows of a source
         upto = F.sum("_words").over(Window.partitionBy("_source").orderBy("_bucket"))
         sums = sums.withColumn("_upto", F.col("_below") + upto)
         state = durable(sums.filter(F.col("_upto") > F.col("_budget")).groupBy("_source", "_budget").agg(
-            F.min_by(F.struct("_bucket", (F.col("_upto") - F.col("_words")).alias("_below"), "_upto"), "_bucket").alias("_b"))
+            F.min_by(F.struct("_bucket", (F.col("_upto") - F.col("_words")).alias("_below"), "_words", "_rows"), "_bucket").alias("_b"))
             .select("_source", "_budget", F.col("_b._bucket").alias("_prefix"), F.col("_b._below").alias("_below"),
-                    F.col("_b._upto").alias("_upto")), "thresholds")
-    return state.select("_source", F.col("_prefix").alias("_edge"),
-                        (F.col("_upto") - F.col("_budget") < F.col("_budget") - F.col("_below")).alias("_with_edge"))
+                    F.col("_b._words").alias("_words"), F.col("_b._rows").alias("_rows")), "thresholds")
+    left, each = F.col("_budget") - F.col("_below"), F.col("_words") / F.col("_rows")
+    whole = F.floor(left / each)
+    nearer = each - (left - whole * each) < left - whole * each
+    return state.select("_source", F.col("_prefix").alias("_edge"), F.col("_rows").alias("_edge_rows"),
+                        (whole + F.when(nearer, 1).otherwise(0)).cast("long").alias("_edge_taken"))
 
 
 def _source_key(source_col: str) -> Column:
-    return F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("~"))   # null after any value
+    return F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`").cast("string")), F.lit("~"))   # null after any value
 
 
-def _hash(id_col: str) -> Column:
-    digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+def _hash(id_col: str, text_col: str) -> Column:
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (id_col, text_col)]
+    digest = F.md5(F.concat(parts[0], F.lit(":"), parts[1]).cast("binary"))
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-def _copies() -> Column:
-    more = (F.col("hash") < F.col("_edge")) | ((F.col("hash") == F.col("_edge")) & F.col("_with_edge"))
-    return (F.col("_whole") + F.when(more, 1).otherwise(0)).cast("long")
+def _with_copies(rows: DataFrame, plan: DataFrame, order: list[Column]) -> DataFrame:
+    """``rows`` (``_source``, ``hash``, ...) with ``copies``. Only where several rows
+    are at a source's edge are those numbered, in ``order``."""
+    planned = rows.join(plan, "_source")
+    at_edge = F.col("hash").eqNullSafe(F.col("_edge"))
+    several = at_edge & (F.col("_edge_rows") > 1)
+
+    def copies(more: Column) -> Column:
+        return (F.col("_whole") + F.when(more, 1).otherwise(0)).cast("long")
+
+    single = (F.col("hash") < F.col("_edge")) | (at_edge & (F.col("_edge_taken") > 0))
+    if plan.filter((F.col("_edge_rows") > 1) & F.col("_edge_taken").between(1, F.col("_edge_rows") - 1)).isEmpty():
+        return planned.withColumn("copies", copies(single))          # all at an edge, or none
+    repeats = planned.filter(several).withColumns({f"_order{i}": c for i, c in enumerate(order)})
+    numbered = sequence_index(repeats, ["_source"], [f"_order{i}" for i in range(len(order))], seq_col="_copy")
+    return (planned.filter(~F.coalesce(several, F.lit(False))).withColumn("copies", copies(single))
+            .unionByName(numbered.withColumn("copies", copies(F.col("_copy") <= F.col("_edge_taken")))
+                         .drop("_copy", *[f"_order{i}" for i in range(len(order))])))
 
 
 def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    return durable(docs.select(F.col(id_col), _source_key(source_col).alias("_source"), size.alias("size"),
-                               _hash(id_col).alias("hash")), "sizes")
+    size = F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long")
+    return durable(docs.select(F.col(f"`{id_col}`"), _source_key(source_col).alias("_source"), size.alias("size"),
+                               _hash(id_col, text_col).alias("hash")), "sizes")
 
 
 def plan_mix(rows: DataFrame, *, cycle: int = CYCLE, max_copies: int = MAX_COPIES) -> DataFrame:
@@ -109,8 +133,9 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     """One row per document: id, ``size``, ``source_size``, ``target`` (both of
     its source), ``copies`` and ``taken`` = size * copies."""
     rows = _sizes(docs, id_col, text_col, source_col)
-    return rows.join(plan_mix(rows, cycle=cycle, max_copies=max_copies), "_source").select(
-        id_col, "size", "source_size", "target", _copies().alias("copies"), (F.col("size") * _copies()).alias("taken"))
+    plan = plan_mix(rows, cycle=cycle, max_copies=max_copies)
+    return _with_copies(rows, plan, [F.col("hash")]).select(
+        id_col, "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -119,11 +144,12 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     times); same columns. The plan has one row per source, so Spark joins it
     without moving the texts as long as it is under the broadcast threshold."""
     plan = plan_mix(_sizes(docs, id_col, text_col, source_col), cycle=cycle, max_copies=max_copies)
-    taken = (docs.withColumns({"_source": _source_key(source_col), "hash": _hash(id_col), "_row": F.struct(*docs.columns)})
-             .select("_source", "hash", "_row").join(plan, "_source"))
-    return (taken.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(_copies(), F.lit(1).cast("long"))))
-                         .alias("_copy"), _copies().alias("_copies"))
-            .filter(F.col("_copy") <= F.col("_copies")).select("_row.*"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(_source_key(source_col).alias("_source"), _hash(id_col, text_col).alias("hash"),
+                       F.xxhash64(*columns).alias("_mark"), F.struct(*columns).alias("_row"))
+    taken = _with_copies(rows, plan, [F.col("_mark")]).filter(F.col("copies") > 0)
+    return (taken.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy"))
+            .select(*[F.col("_row").getField(c).alias(c) for c in docs.columns]))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +161,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS h
+         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS h
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS ss, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
