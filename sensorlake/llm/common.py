@@ -69,19 +69,23 @@ def word_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace")
 
 
-def bounded_sample(rows: DataFrame, id_col: str, limit: int) -> DataFrame:
-    """``limit`` rows at most, one for each id: those whose id hashes lowest,
-    the same in every run. Only bounds what a classifier is fitted on."""
-    return (rows.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
+def bounded_sample(rows: DataFrame, id_col: str, value_col: str, limit: int) -> DataFrame:
+    """(id, value) of ``limit`` ids at most: those whose id hashes lowest, with the
+    least of an id's values; the same in every run. Only bounds what a
+    classifier is fitted on."""
+    return (rows.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(value_col).alias(value_col))
             .orderBy(F.xxhash64(id_col), id_col).limit(limit))
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label_col: str, *, id_col: str, text_col: str,
                    limit: int) -> DataFrame:
     """(id, ``_text``, ``_label``) of at most ``limit`` labelled documents. The
-    sample of labels has that bound, so it is broadcast; a document that
-    repeats is taken once, a null label is not learned from."""
+    sample of labels has that bound, so it is broadcast; an id that repeats is
+    taken once, with the text that hashes lowest and the least label; a null
+    label is not learned from."""
     sample = bounded_sample(labels.filter(F.col(label_col).isNotNull())
-                            .select(id_col, F.col(label_col).cast("int").alias("_label")), id_col, limit)
+                            .select(id_col, F.col(label_col).cast("int").alias("_label")), id_col, "_label", limit)
     texts = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return texts.join(F.broadcast(sample), id_col).dropDuplicates([id_col])
+    picked = texts.join(F.broadcast(sample), id_col).groupBy(id_col).agg(
+        F.min_by(F.struct("_text", "_label"), F.struct(F.xxhash64("_text"), "_text")).alias("_row"))
+    return picked.select(id_col, "_row._text", "_row._label")

@@ -6,10 +6,12 @@ word counts, through a learned tanh layer. A learned gated attention weighs the
 passages (softmax over w . (tanh(V e) * sigmoid(U e))), and a logistic unit
 scores the weighted sum. All weights are learned together from document labels.
 
-Fitting uses at most ``FIT_DOCS`` labelled documents (lowest id hash) and at
-most ``FIT_PASSAGES`` evenly spaced passages of each; this bounds the fit, which
-runs on the driver in numpy. Scoring reads every passage of every whole text,
-in Pandas UDFs over Arrow batches, with no shuffle.
+Fitting uses at most ``FIT_DOCS`` labelled documents (lowest id hash), and of
+these, in that order, those whose passages together are at most
+``FIT_PASSAGES``; every passage of them is learned from. This bounds the fit,
+which runs on the driver in numpy. Scoring reads every passage of every whole
+text, in Pandas UDFs over Arrow batches, with no shuffle; a long text is encoded
+in blocks of whole passages, as if at once.
 
 Defined cases: a null text, or one without words, is one passage without words
 and is scored like any other; repeated rows get equal scores; a null id is
@@ -27,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import durable
 from . import common
 
 PASSAGE_WORDS = 100
@@ -34,7 +37,7 @@ HASHED = 256
 HIDDEN = 24
 ATTENTION = 12
 FIT_DOCS = 3000
-FIT_PASSAGES = 16
+FIT_PASSAGES = 150_000      # about 1 KB each
 EPOCHS = 40
 THRESHOLD = 0.3
 _BLOCK_BYTES = 1 << 21      # texts are encoded so many bytes at a time
@@ -83,6 +86,7 @@ def passages(data: bytes) -> np.ndarray:
     values = np.where(word, buf.astype("uint64") + np.uint64(1), np.uint64(0)) * _POWERS[inside & 63]
     hashes = _mixed(np.add.reduceat(values, starts))
     same = np.append(False, hashes[1:] == hashes[:-1])
+    same[first] = False             # a passage begins anew
     order = np.lexsort((hashes, which))
     fresh = np.append(True, (np.diff(hashes[order].view("int64")) != 0) | (np.diff(which[order]) != 0))
     distinct = np.bincount(which[order][fresh], minlength=len(first))
@@ -101,13 +105,18 @@ _POWERS = np.cumprod(np.full(64, 0x100000001B3, "uint64"))
 
 
 def blocks(data: bytes) -> Iterator[bytes]:
-    """Parts of a text of at most about _BLOCK_BYTES, cut at a blank."""
-    at = 0
-    while len(data) - at > _BLOCK_BYTES:
-        cut = data.rfind(b" ", at, at + _BLOCK_BYTES)
-        cut = cut if cut > at else at + _BLOCK_BYTES
+    """Parts of a text of about _BLOCK_BYTES, cut where a passage begins."""
+    at, size = 0, _BLOCK_BYTES
+    while len(data) - at > size:
+        word = ~_SPACE[np.frombuffer(data, "uint8", size, at)]
+        starts = np.flatnonzero(word & ~np.append(False, word[:-1]))
+        whole = (len(starts) - 1) // PASSAGE_WORDS * PASSAGE_WORDS
+        if whole <= 0:
+            size *= 2               # no whole passage yet
+            continue
+        cut = at + int(starts[whole])
         yield data[at:cut]
-        at = cut
+        at, size = cut, _BLOCK_BYTES
     yield data[at:]
 
 
@@ -142,16 +151,39 @@ class Model:
         return out
 
 
+def gradient(p: dict[str, np.ndarray], x: np.ndarray, size: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean log loss of bags of ``size`` rows each, one after the other in ``x``."""
+    first = np.append(0, np.cumsum(size))[:-1]
+    bag = np.repeat(np.arange(len(size)), size)
+    e = np.tanh(x @ p["E"] + p["e"])
+    t, g = np.tanh(e @ p["V"]), 1 / (1 + np.exp(-(e @ p["U"])))
+    a = (t * g) @ p["a"]
+    a = np.exp(a - np.maximum.reduceat(a, first)[bag])
+    a /= np.add.reduceat(a, first)[bag]
+    z = np.add.reduceat(a[:, None] * e, first)
+    y = 1 / (1 + np.exp(-np.clip(z @ p["c"] + p["d"], -30, 30)))
+    dy = (y - labels) / len(size)
+    dz = dy[:, None] * p["c"]
+    da = (dz[bag] * e).sum(axis=1)
+    da = a * (da - np.add.reduceat(a * da, first)[bag])
+    dt, dg = np.outer(da, p["a"]) * g, np.outer(da, p["a"]) * t
+    dv, du = dt * (1 - t * t), dg * g * (1 - g)
+    de = a[:, None] * dz[bag] + dv @ p["V"].T + du @ p["U"].T
+    dx = de * (1 - e * e)
+    return {"E": x.T @ dx, "e": dx.sum(axis=0), "V": e.T @ dv, "U": e.T @ du,
+            "a": (t * g).T @ da, "c": z.T @ dy, "d": dy.sum(keepdims=True)}
+
+
 def train(bags: list[np.ndarray], labels: np.ndarray, *, epochs: int = EPOCHS, seed: int = 7) -> Model:
-    """Adam on the mean log loss of the documents."""
+    """Adam on the mean log loss of mini-batches of documents, whole bags each."""
     if len(bags) == 0 or len(set(labels.tolist())) < 2:
         return Model({}, float(labels.mean()) if len(bags) else 0.5)
     rng = np.random.default_rng(seed)
-    every = np.concatenate(bags)
-    w = {"mean": every.mean(axis=0), "spread": every.std(axis=0) + 1e-2}
-    flat, size = (every - w["mean"]) / w["spread"], np.array([len(b) for b in bags])
+    flat = np.concatenate(bags)
+    w = {"mean": flat.mean(axis=0, dtype="float64"), "spread": flat.std(axis=0, dtype="float64") + 1e-2}
+    size = np.array([len(b) for b in bags])
     at = np.append(0, np.cumsum(size))
-    p = {"E": rng.normal(0, 0.06, (every.shape[1], HIDDEN)), "e": np.zeros(HIDDEN),
+    p = {"E": rng.normal(0, 0.06, (flat.shape[1], HIDDEN)), "e": np.zeros(HIDDEN),
          "V": rng.normal(0, 0.3, (HIDDEN, ATTENTION)), "U": rng.normal(0, 0.3, (HIDDEN, ATTENTION)),
          "a": rng.normal(0, 0.3, ATTENTION), "c": rng.normal(0, 0.3, HIDDEN), "d": np.zeros(1)}
     m, v, step = {k: 0 * x for k, x in p.items()}, {k: 0 * x for k, x in p.items()}, 0
@@ -159,26 +191,9 @@ def train(bags: list[np.ndarray], labels: np.ndarray, *, epochs: int = EPOCHS, s
         order = rng.permutation(len(bags))
         for s in range(0, len(order), 64):
             pick = order[s:s + 64]
-            x = np.concatenate([flat[at[i]:at[i + 1]] for i in pick])
-            first = np.append(0, np.cumsum(size[pick]))[:-1]
-            bag = np.repeat(np.arange(len(pick)), size[pick])
-            e = np.tanh(x @ p["E"] + p["e"])
-            t, g = np.tanh(e @ p["V"]), 1 / (1 + np.exp(-(e @ p["U"])))
-            a = (t * g) @ p["a"]
-            a = np.exp(a - np.maximum.reduceat(a, first)[bag])
-            a /= np.add.reduceat(a, first)[bag]
-            z = np.add.reduceat(a[:, None] * e, first)
-            y = 1 / (1 + np.exp(-np.clip(z @ p["c"] + p["d"], -30, 30)))
-            dy = (y - labels[pick]) / len(pick)
-            dz = dy[:, None] * p["c"]
-            da = (dz[bag] * e).sum(axis=1)
-            da = a * (da - np.add.reduceat(a * da, first)[bag])
-            dt, dg = np.outer(da, p["a"]) * g, np.outer(da, p["a"]) * t
-            dv, du = dt * (1 - t * t), dg * g * (1 - g)
-            de = a[:, None] * dz[bag] + dv @ p["V"].T + du @ p["U"].T
-            dx = de * (1 - e * e)
-            grad = {"E": x.T @ dx + 1e-3 * p["E"], "e": dx.sum(axis=0), "V": e.T @ dv, "U": e.T @ du,
-                    "a": (t * g).T @ da, "c": z.T @ dy, "d": dy.sum(keepdims=True)}
+            x = (np.concatenate([flat[at[i]:at[i + 1]] for i in pick]) - w["mean"]) / w["spread"]
+            grad = gradient(p, x, size[pick], labels[pick])
+            grad["E"] += 1e-3 * p["E"]
             step += 1
             for k in p:
                 m[k] = 0.9 * m[k] + 0.1 * grad[k]
@@ -194,17 +209,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                x = encode(text)
-                rows.append(x[np.unique(np.linspace(0, len(x) - 1, fit_passages).astype(int))].astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(rows, pa.binary()),
-                                              batch.column(2).cast(pa.int32())], names=["id", "bag", "label"])
-
-    rows = sorted(sample.select(F.col(id_col).cast("string"), "_text", "_label")
-                  .mapInArrow(run, "id string, bag binary, label int").collect())     # at most fit_docs rows
-    bags = [np.frombuffer(bytes(r["bag"]), "<f4").reshape(-1, STATS + HASHED) for r in rows]
-    return train(bags, np.array([float(r["label"] > 0) for r in rows]))
+            rows = [encode(text).astype("<f4") for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(x) for x in rows], pa.int64()),
+                 pa.array([x.tobytes() for x in rows], pa.binary()), batch.column(2).cast(pa.int32())],
+                names=["at", "size", "bag", "label"])
+
+    bags = durable(sample.select(F.xxhash64(id_col).alias("at"), "_text", "_label")
+                   .mapInArrow(run, "at long, size long, bag binary, label int"), "bags")
+    taken, room = [], fit_passages
+    for at, size in sorted(map(tuple, bags.select("at", "size").collect())):       # at most fit_docs rows
+        if size <= room:
+            taken.append(at)
+            room -= size
+    rows = sorted(bags.filter(F.col("at").isin(taken)).collect())                  # at most fit_passages passages
+    return train([np.frombuffer(bytes(r["bag"]), "<f4").reshape(-1, STATS + HASHED) for r in rows],
+                 np.array([float(r["label"] > 0) for r in rows]))
 
 
 def score_column(model: Model):
