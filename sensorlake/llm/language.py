@@ -7,12 +7,15 @@ the least sum of out-of-place distances wins (an n-gram that the profile lacks
 counts ``PROFILE`` places; equal sums: the language first by code point).
 
 An n-gram of three code points fits one 64-bit number, so counting is a sort
-of a numpy array, without a hash and without collisions. Texts are counted in
-blocks cut at a blank, whatever their length.
+of a numpy array, without a hash and without collisions. Long texts are counted
+in blocks that hand their last two characters on, so where a block ends does
+not matter.
 
-Profiles are learned from at most about ``FIT_DOCS`` documents of each language,
-chosen by a hash threshold, and for the ``LANGUAGES`` most frequent languages;
-prediction reads every whole text, without a shuffle.
+Every language gets a profile, learned from at most about ``FIT_DOCS`` of its
+documents, chosen by a hash threshold. All profiles are one sorted table of
+(n-gram, language, place), about 7 KB a language, that every task holds; a
+document's distances to all languages are one pass over the entries of its own
+n-grams. Prediction reads every whole text, without a shuffle.
 
 Defined cases: null text, or one without a letter: ``und``, score 0; without a
 learned language likewise; null lang is never learned from, null ids neither and
@@ -29,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import durable
 from . import common
 
 PROFILE = 400
 FIT_DOCS = 2000
-LANGUAGES = 500
 UNKNOWN = "und"
 _BLOCK = 1 << 20
 _BITS = 21
@@ -49,35 +52,35 @@ def _letters() -> np.ndarray:
     return table["t"]
 
 
-def _block_grams(text: str) -> np.ndarray:
-    """The n-grams of one block as numbers, sorted, repeats included."""
-    cp = _letters()[np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4")]
-    cp = np.concatenate([[0], cp, [0]])
+def _block_grams(tail: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams that end in ``block`` (code points, 0 for a blank) after
+    ``tail``, as numbers, sorted, repeats included; and the next block's tail."""
+    cp = np.concatenate([tail, block])
     cp = cp[np.append(True, (cp[1:] != 0) | (cp[:-1] != 0))]      # one blank between words
-    one = cp[cp != 0]
-    if not len(one):
-        return one
+    new = len(tail)
+    one = cp[new:][cp[new:] != 0]
     # a blank counts as the code point 1, so a leading one still takes its place
-    cp = np.maximum(cp, 1)
-    two = cp[:-1] << _BITS | cp[1:]
-    three = (two[:-1] << _BITS | cp[2:])[cp[1:-1] != 1]
-    return np.sort(np.concatenate([one, two, three]))
+    at = np.maximum(cp, 1)
+    two = at[:-1] << _BITS | at[1:]
+    three = (two[:-1] << _BITS | at[2:])[max(new - 2, 0):][cp[1:-1][max(new - 2, 0):] != 0]
+    return np.sort(np.concatenate([one, two[max(new - 1, 0):], three])), cp[-2:]
 
 
 def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a whole text and their counts."""
-    text, at, parts = text or "", 0, []
-    while at < len(text):
-        cut = len(text) if len(text) - at <= _BLOCK else text.rfind(" ", at, at + _BLOCK)
-        cut = cut if cut > at else min(at + _BLOCK, len(text))
-        parts.append(_block_grams(text[at:cut]))
-        at = cut
-    grams = [_tally(p, np.ones(len(p), "int64")) for p in parts]
-    if len(grams) == 1:
-        return grams[0]
-    if not grams:
+    text, tail, parts = (text or "").lower(), np.zeros(1, "int64"), []
+    for at in range(0, len(text), _BLOCK):
+        block = _letters()[np.frombuffer(text[at:at + _BLOCK].encode("utf-32-le", "replace"), "<u4")]
+        if at + _BLOCK >= len(text):
+            block = np.append(block, 0)
+        grams, tail = _block_grams(tail, block)
+        parts.append(_tally(grams, np.ones(len(grams), "int64")))
+    parts = [x for x in parts if len(x[0])]
+    if not parts:
         return np.zeros(0, "int64"), np.zeros(0, "int64")
-    g, c = np.concatenate([x[0] for x in grams]), np.concatenate([x[1] for x in grams])
+    if len(parts) == 1:
+        return parts[0]
+    g, c = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
     order = np.argsort(g, kind="stable")
     return _tally(g[order], c[order])
 
@@ -96,33 +99,44 @@ def ranked(grams: np.ndarray, counts: np.ndarray, size: int = PROFILE) -> np.nda
 
 
 class Profiles:
+    """All languages' profiles: (n-gram, language, place) by n-gram."""
+
     def __init__(self, ranks: dict[str, list[int]], size: int = PROFILE):
         self.names, self.size = sorted(ranks), size
-        self.grams = [np.sort(np.array(ranks[n], "int64")) for n in self.names]
-        self.places = [np.argsort(np.array(ranks[n], "int64"), kind="stable") for n in self.names]
+        grams = np.concatenate([np.zeros(0, "int64"), *[np.array(ranks[n], "int64") for n in self.names]])
+        language = np.repeat(np.arange(len(self.names)), [len(ranks[n]) for n in self.names])
+        place = np.concatenate([np.zeros(0, "int64"), *[np.arange(len(ranks[n])) for n in self.names]])
+        order = np.argsort(grams, kind="stable")
+        self.grams, self.language, self.place = grams[order], language[order].astype("int32"), place[order].astype("int32")
+
+    def distances(self, own: np.ndarray) -> np.ndarray:
+        """Out-of-place distance of ranked n-grams to each language."""
+        first, last = np.searchsorted(self.grams, own, "left"), np.searchsorted(self.grams, own, "right")
+        times = last - first
+        ends = np.cumsum(times)
+        entry = np.arange(ends[-1]) + np.repeat(first - ends + times, times)
+        apart = np.abs(self.place[entry] - np.repeat(np.arange(len(own)), times))
+        saved = np.bincount(self.language[entry], weights=self.size - apart, minlength=len(self.names))
+        return self.size * len(own) - saved.astype("int64")
 
     def predict(self, text: str | None) -> tuple[str, float]:
         own = ranked(*gram_counts(text), self.size)
         if not len(own) or not self.names:
             return UNKNOWN, 0.0
-        place, best, name = np.arange(len(own)), None, UNKNOWN
-        for language, grams, places in zip(self.names, self.grams, self.places):
-            at = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
-            distance = int(np.where(grams[at] == own, np.abs(places[at] - place), self.size).sum())
-            if best is None or distance < best:
-                best, name = distance, language
-        return name, 1 - best / (self.size * len(own))
+        distance = self.distances(own)
+        best = int(np.argmin(distance))          # of equal ones the first by name
+        return self.names[best], 1 - int(distance[best]) / (self.size * len(own))
 
 
 def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          size: int = PROFILE, fit_docs: int = FIT_DOCS, languages: int = LANGUAGES) -> Profiles:
+          size: int = PROFILE, fit_docs: int = FIT_DOCS) -> Profiles:
     """Profiles of the languages of the given documents."""
-    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(languages).collect()
-    space, chosen = 1 << 30, F.lit(False)
-    spread = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(space))
-    for lang, n in sizes:
-        chosen = chosen | ((F.col(lang_col) == lang) & (spread < int(space * min(1.0, fit_docs / n))))
+    rows = (docs.select(F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text"),
+                        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30)).alias("_spread"))
+            .filter(F.col("_lang").isNotNull() & F.col("_text").isNotNull()))
+    # one row per language
+    shares = durable(rows.groupBy("_lang").agg(F.least(F.lit(1.0), F.lit(float(fit_docs)) / F.count(F.lit(1))).alias("_share")),
+                     "languages")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,10 +150,11 @@ def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g)), pa.array(g), pa.array(c, pa.int64())],
                                                  names=["lang", "gram", "n"])
 
-    counts = (rows.filter(chosen).select(F.col(lang_col).cast("string"), text_col)
-              .mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    chosen = rows.join(shares, "_lang").filter(F.col("_spread") < F.col("_share") * (1 << 30))
+    counts = (chosen.select("_lang", "_text").mapInArrow(run, "lang string, gram long, n long")
+              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    # each task keeps its ``size`` first of a language before the shuffle
+    # each task keeps its ``size`` first of a language before the shuffle; at most ``size`` rows of each come here
     top = counts.withColumn("place", place).filter(F.col("place") <= size).collect()
     ranks: dict[str, list[int]] = {}
     for r in sorted(top, key=lambda r: (r["lang"], r["place"])):

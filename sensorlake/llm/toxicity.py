@@ -14,8 +14,9 @@
   documents' scores, K makes their mean E one. A document's best and
   significant segments' E-values go into a logistic curve fitted to the labels.
 
-Fitting uses at most ``FIT_DOCS`` labelled documents (lowest id hash) and keeps at
-most ``FIT_TOKENS`` tokens; scoring reads every whole text, without a shuffle.
+Fitting uses at most ``FIT_DOCS`` labelled documents (lowest id hash) and keeps
+every token of theirs that stands out; scoring reads every whole text, without a
+shuffle.
 
 Defined cases: null text, or one without tokens, has no segment and scores
 least; repeated rows get equal scores; a null id is never learned from and not
@@ -38,7 +39,6 @@ from ..session import durable
 from . import common
 
 FIT_DOCS = 20_000
-FIT_TOKENS = 50_000
 MIN_DOCS = 4            # documents with a token, at least
 MIN_G2 = 24.0           # likelihood ratio statistic: a token that toxic documents have by chance stays below
 PRIOR = 10.0            # pseudo-documents of the prior
@@ -126,7 +126,7 @@ class Model:
         return (1 / (1 + np.exp(-np.clip(y, -30, 30)))).tolist()
 
 
-def token_odds(sample: DataFrame, total: int, toxic: int, *, limit: int = FIT_TOKENS) -> dict[bytes, float]:
+def token_odds(sample: DataFrame, total: int, toxic: int) -> dict[bytes, float]:
     """Log-odds of the tokens and beginnings that stand out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,7 +149,7 @@ def token_odds(sample: DataFrame, total: int, toxic: int, *, limit: int = FIT_TO
               + F.col("y0") * F.log(F.greatest(F.col("y0"), F.lit(0.5)) / (seen * (1 - share))))
     rows = (counts.select("t", odds.alias("odds"), g2.alias("g2"))
             .filter((F.col("odds") > 0) & (F.col("g2") >= MIN_G2))
-            .orderBy(F.desc("g2"), "t").limit(limit).collect())        # at most FIT_TOKENS rows
+            .orderBy(F.desc("g2"), "t").collect())        # tokens of the bounded sample
     return {bytes(r["t"]): float(r["odds"]) for r in rows}
 
 

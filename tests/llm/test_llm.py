@@ -70,6 +70,56 @@ def test_language_profiles(spark, small, docs, empty):
     assert np.mean([r.lang == r.lang_pred for r in held]) > 0.95
 
 
+def test_language_distance_by_definition():
+    """Ranking, distance and ties against plain dictionaries."""
+    rng = np.random.default_rng(6)
+    letters = list("abcdeé日")
+    texts = {f"l{k:02}": " ".join("".join(rng.choice(letters[:3 + k % 5], int(rng.integers(1, 6)))) for _ in range(80)) for k in range(12)}
+    texts["l99"] = texts["l03"]                        # a tie: the first by name
+
+    def places(text, size):
+        c = Counter()
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            w = f" {w} "
+            c.update(g for n in (1, 2, 3) for i in range(len(w) - n + 1) if (g := w[i:i + n]).strip())
+        number = lambda g: sum((1 if x == " " else ord(x)) << 21 * (len(g) - 1 - i) for i, x in enumerate(g))
+        return {number(g): i for i, (g, _) in enumerate(sorted(c.items(), key=lambda x: (-x[1], number(x[0])))[:size])}
+    size = 40
+    profiles = language.Profiles({n: list(places(t, size)) for n, t in texts.items()}, size)
+    for text in [*texts.values(), "ab", "日日 日", "zzz", "a b c d e"]:
+        own = places(text, size)
+        want = {n: sum(abs(p[g] - i) if g in p else size for g, i in own.items())
+                for n, p in ((n, places(t, size)) for n, t in texts.items())}
+        best = min(want, key=lambda n: (want[n], n))
+        assert profiles.distances(language.ranked(*language.gram_counts(text), size)).tolist() == [want[n] for n in sorted(want)]
+        assert profiles.predict(text) == (best, 1 - want[best] / (size * len(own)))
+
+
+def test_many_languages_all_have_a_profile(spark):
+    """600 languages of two documents each, all found again."""
+    rng = np.random.default_rng(9)
+    cps = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    made = []
+    for k in range(600):
+        own = rng.choice(cps, 6, replace=False)
+        made += [(2 * k + j, " ".join("".join(rng.choice(own, 3)) for _ in range(30)), f"x{k}") for j in range(2)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    profiles = language.learn(docs)
+    assert len(profiles.names) == 600
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, profiles).collect()}
+    assert np.mean([got[i] == lang for i, _, lang in made]) > 0.99
+
+
+def test_language_blocks_do_not_matter(monkeypatch):
+    texts = ["日本語" * 500, "a  b1c " * 300, "Straße " * 99 + "ΣΑΣ" * 50, " ", "x", "xy", "x" * 64, " x" * 40 + "  "]
+    whole = [language.gram_counts(t) for t in texts]
+    for size in (1, 2, 3, 7, 64):
+        monkeypatch.setattr(language, "_BLOCK", size)
+        for t, (g, c) in zip(texts, whole):
+            got = language.gram_counts(t)
+            assert np.array_equal(got[0], g) and np.array_equal(got[1], c), (t[:10], size)
+
+
 def test_language_grams(monkeypatch):
     text = "Ab a, éa 日 bc " * 50
     want = Counter()
@@ -244,32 +294,82 @@ def test_attention_gradient_learns_one_bad_passage():
 
 
 def test_long_texts_are_read_in_blocks(monkeypatch):
-    text = " ".join(BASE * 30)
-    whole = quality.encode(text)
+    texts = [" ".join(BASE * 30), "  a\n" + "\n".join(BASE * 20) + " \n ", "日本 é" * 500 + " x" * 300, "y" * 3000 + " z z" * 4000]
+    whole = [quality.encode(t) for t in texts]
     monkeypatch.setattr(quality, "_BLOCK_BYTES", 700)
-    parts = quality.encode(text)
-    n = quality._CLASSES + 5
-    assert abs(whole[:, n].sum() - parts[:, n].sum()) < 1e-3        # no word is lost
+    for t, w in zip(texts, whole):
+        assert len(list(quality.blocks(t.encode()))) > 1 and np.array_equal(quality.encode(t), w)
+
+
+def test_attention_gradient_against_differences():
+    """One step of plain descent follows the loss's numeric gradient."""
+    rng = np.random.default_rng(11)
+    bags = [rng.normal(size=(k, 5)) for k in (1, 3, 4)]
+    y = np.array([1.0, 0.0, 1.0])
+    p = {"E": rng.normal(size=(5, 4)), "e": rng.normal(size=4), "V": rng.normal(size=(4, 3)), "U": rng.normal(size=(4, 3)),
+         "a": rng.normal(size=3), "c": rng.normal(size=4), "d": rng.normal(size=1)}
+    size = np.array([len(b) for b in bags])
+
+    def loss(q):
+        total = 0.0
+        for b, t in zip(bags, y):
+            m = quality.Model({**q, "mean": np.zeros(5), "spread": np.ones(5)})
+            e, a = m.passage_values(b)
+            s = np.exp(a - a.max())
+            z = s @ e / s.sum() @ q["c"] + q["d"][0]
+            total += np.log1p(np.exp(-z if t else z))
+        return total / len(bags)
+
+    got = quality.gradient(p, np.concatenate(bags), size, y)
+    for k in p:
+        for i in np.ndindex(p[k].shape):
+            up, down = ({n: x.copy() for n, x in p.items()} for _ in range(2))
+            up[k][i] += 1e-6
+            down[k][i] -= 1e-6
+            assert abs((loss(up) - loss(down)) / 2e-6 - got[k][i]) < 1e-6, (k, i)
+
+
+def test_every_passage_is_learned_from(spark, labels, small):
+    """One bad passage among 60 good ones is seen, and the total bounds the rows."""
+    good = " ".join(BASE[i % len(BASE)] for i in range(5900))
+    bad = good[:len(good) // 2] + " " + "#*$ %&| " * 100 + good[len(good) // 2:]
+    made = [(i, bad if i % 2 else good) for i in range(60)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 0 if i % 2 else 1) for i in range(60)], "doc_id long, quality int")
+    model = quality.fit(docs, marks)
+    assert model.score([good])[0] > 0.5 > model.score([bad])[0]
+    assert quality.fit(docs, marks, fit_passages=50).base == 0.5            # none fits: nothing to learn from
+
+
+def test_labels_of_repeated_ids_are_settled(spark):
+    rows = [(1, "b"), (1, "a"), (2, None)]
+    marks = [(1, 1), (1, 0), (2, 1), (None, 1), (3, None)]
+    seen = set()
+    for n in (1, 3):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        lab = spark.createDataFrame(marks, "doc_id long, toxic int").repartition(n)
+        got = common.labelled_texts(docs, lab, "toxic", id_col="doc_id", text_col="text", limit=10).collect()
+        seen.add(tuple(sorted(map(tuple, got))))
+    assert len(seen) == 1 and [(r[0], r[2]) for r in seen.pop()] == [(1, 0), (2, 1)]
 
 
 def test_maximal_segments_by_definition():
     rng = np.random.default_rng(2)
-    for _ in range(300):
-        seq = [float(rng.integers(1, 5)) if rng.random() < 0.3 else -0.5 * int(rng.integers(1, 5)) for _ in range(12)]
-        seq = [s if s > 0 else -0.5 for s in seq]
-        at = [i for i, s in enumerate(seq) if s > 0]
-        got = {(a, b) for _, a, b in toxicity.segments(at, [seq[i] for i in at])}
-
-        def split(lo, hi, out):     # the definition: best segment, then left and right of it
-            best = max(((sum(seq[i:j]), i - j, -i, i, j) for i in range(lo, hi) for j in range(i + 1, hi + 1)), default=None)
+    for _ in range(500):
+        # sums that never tie: eighths of different size
+        seq = [float(rng.integers(1, 5)) + rng.random() if rng.random() < 0.3 else -0.5 for _ in range(14)]
+        at = [i for i, x in enumerate(seq) if x > 0]
+        got = {(a, b): s for s, a, b in toxicity.segments(at, [seq[i] for i in at])}
+
+        def split(lo, hi, out):     # the definition: the best segment, then left and right of it
+            best = max(((sum(seq[i:j]), i, j) for i in range(lo, hi) for j in range(i + 1, hi + 1)), default=None)
             if best and best[0] > 0:
-                best = max((x for x in ((sum(seq[i:j]), i - j, -i, i, j) for i in range(lo, hi) for j in range(i + 1, hi + 1)) if x[0] == best[0]))
-                out.add((best[3], best[4] - 1))
-                split(lo, best[3], out)
-                split(best[4], hi, out)
+                out[best[1], best[2] - 1] = best[0]
+                split(lo, best[1], out)
+                split(best[2], hi, out)
             return out
-        want = split(0, len(seq), set())
-        assert {sum(seq[a:b + 1]) for a, b in got} and max(sum(seq[a:b + 1]) for a, b in got) == max(sum(seq[a:b + 1]) for a, b in want) if at else not got
+        want = split(0, len(seq), {})
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
 @pytest.mark.parametrize("total", [400, 20_000])
@@ -383,10 +483,27 @@ def test_packing_round_trip(docs, rows, empty, monkeypatch):
         assert at <= 4096
     assert packing.pack(empty, vocabulary=path).count() == 0
     monkeypatch.setattr(packing, "BLOCK_CHARS", 50)
-    monkeypatch.setattr(packing, "CACHE_WORDS", 20)
-    texts = [r[1] for r in rows]
-    for t, raw in zip(texts, packing.Encoder(path).encode(texts)):
-        assert np.frombuffer(raw, "<u4").tolist() == tok.encode(t or "", add_special_tokens=False).ids
+    monkeypatch.setattr(packing, "CACHE_STRINGS", 20)
+    odd = ["".join(map(chr, range(1, 256))), " ".join(map(chr, range(33, 256))) * 2, "don't WON'T x's 12½³ª µ º ß ÿ×÷ ...!! foo--bar's,",
+           "a" * 300 + " b", "", "<|STARTOFTEXT|> İ ǅ ﬁ"]
+    texts = [r[1] for r in rows] + odd
+    for t, got in zip(texts, packing.Encoder(path).encode(texts)):
+        assert got.tolist() == tok.encode(t or "", add_special_tokens=False).ids
+
+
+def test_packing_with_another_vocabulary(docs, rows):
+    """Other splitting rules go to the library whole."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    tok = Tokenizer.from_file(path)
+    encoder = packing.Encoder(path)
+    assert not encoder.short
+    texts = [r[1] for r in rows] + ["two  blanks\n\nand lines", "12345 it's"]
+    for t, got in zip(texts, encoder.encode(texts)):
+        assert got.tolist() == tok.encode(t or "", add_special_tokens=False).ids
+    pieces = packing.pack(docs, vocabulary=path, end_id=50256).collect()
+    assert sum(p.length for p in pieces) == sum(len(tok.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in rows)
 
 
 def test_first_fit_decreasing_is_first_fit():
@@ -501,7 +618,6 @@ def test_mixing_against_sorting(spark, docs, rows, empty):
         if not over or len(over) == len(free):
             break
         full |= set(over)
-    taken, largest = Counter(), Counter()
     for r in got:
         assert r.taken <= 3 * r["size"] and r.taken == r.copies * r["size"]
     by = {r[0]: r[3] for r in rows if r[0] is not None}
@@ -509,6 +625,11 @@ def test_mixing_against_sorting(spark, docs, rows, empty):
         if r.doc_id is not None:
             s = by[r.doc_id]
             assert r.source_size == size[s] and abs(r.target - target[s]) < 1e-6 * max(1, target[s])
+    largest = {s: max(len(words_of(r[1])) for r in rows if r[3] == s) for s in names}
+    taken = Counter()
+    for r in mixing.mixed_documents(docs).collect():
+        taken[r.source] += len(words_of(r.text))
+    assert all(abs(taken[s] - target[s]) <= largest[s] / 2 + 1e-6 for s in names)
     again = Counter(map(tuple, mixing.mix(docs.repartition(5)).collect()))
     assert again == Counter(map(tuple, got)) and mixing.mix(empty).count() == 0
     repeated = mixing.mixed_documents(docs)
@@ -516,6 +637,22 @@ def test_mixing_against_sorting(spark, docs, rows, empty):
     assert repeated.count() == sum(r.copies for r in got) and mixing.mixed_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("one_id,same_text", [(7, True), (7, False), (None, True)])
+def test_mixing_meets_targets_beside_hot_ids(spark, one_id, same_text):
+    """Rows that share an id, or have none, are taken one by one."""
+    made = [(one_id, "x y z " * 10 + ("" if same_text else f" w{i}"), "a", float(i), i) for i in range(900)]
+    made += [(10_000 + i, "u v " * 20, "b", 0.5, i) for i in range(300)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string, score double, `a.b` int").repartition(7)
+    got = mixing.mix(docs).collect()
+    for s, words in (("a", 30 if same_text else 31), ("b", 40)):
+        mine = [r for r in got if r.source_size == words * (900 if s == "a" else 300)]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= words / 2 and len(mine) == (900 if s == "a" else 300)
+    kept = mixing.mixed_documents(docs)
+    assert kept.columns == docs.columns
+    rows = Counter(map(tuple, kept.collect()))
+    assert sum(rows.values()) == sum(r.copies for r in got) and set(rows) <= set(made)
+
+
 def test_mixing_matches_sql(spark):
     import duckdb
     con = duckdb.connect()
