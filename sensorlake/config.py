@@ -44,6 +44,7 @@ SOURCE_PRIORITY = ("csv", "api", "database")
 # --- fixed values: stream ------------------------------------------------
 STREAM_TOPIC = "raw-sensor-readings"
 WATERMARK_DELAY = "10 minutes"
+WATERMARK_SECONDS = 600
 STREAM_DEDUP_KEYS = ("sensor_id", "timestamp", "source")
 
 # --- fixed values: simulator (fault injection and calibration) -----------

@@ -304,6 +304,48 @@ FROM (SELECT CAST(count(DISTINCT event_id) FILTER (WHERE NOT late) AS BIGINT) AS
        humidity IS NULL AS is_faulty, CASE WHEN humidity IS NULL THEN 'missing_humidity' END AS fault_type FROM raw"""),
 })
 
+ORACLE["stream_id_offsets"] = ORACLE["stream_table"]
+ORACLE["stream_csv_tail"] = ORACLE["stream_csv_ingest"]
+# the same arrivals with the invalid rows and their reasons
+_ARRIVED_ALL = """,
+span AS (SELECT min(a) AS lo, (max(a) - min(a)) // 3 + 1 AS width FROM (
+  SELECT epoch_us("timestamp") + CASE WHEN event_id % 7 = 0 THEN 300000000 ELSE 0 END AS a FROM raw)),
+sent AS (SELECT *, 0 AS copy FROM tagged UNION ALL SELECT *, 1 FROM tagged WHERE event_id % 20 = 0),
+stepped AS (
+  SELECT sent.*, reasons = '' AS ok, CASE WHEN {held} THEN 2 ELSE least(2, copy + coalesce(CAST(floor(
+           (epoch_us("timestamp") + CASE WHEN event_id % 7 = 0 THEN 300000000 ELSE 0 END - lo) / width) AS BIGINT), 0))
+         END AS step FROM sent, span)"""
+_RULES = """CAST(count(*) FILTER (WHERE sensor_id IS NULL OR sensor_id = ' ') AS BIGINT) AS missing_sensor_id,
+       CAST(count(*) FILTER (WHERE temperature < 300 OR temperature > 450) AS BIGINT) AS temperature_out_of_range"""
+ORACLE["consumer_batches"] = _with_tail(_ARRIVED_ALL.format(held="event_id % 89 = 0") + f""",
+arrived AS (SELECT *, ok AND step = 2 AND "timestamp" <=
+              (SELECT max("timestamp") - INTERVAL 10 MINUTE FROM stepped WHERE step = 0 AND ok) AS late FROM stepped),
+first AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY step, copy) AS nth FROM arrived WHERE ok AND NOT late)
+SELECT CAST(step AS BIGINT) AS batch_id, count(*) AS rows, CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS valid_rows,
+       CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS invalid_rows,
+       CAST((SELECT count(*) FROM first f WHERE f.step = a.step AND nth = 1) AS BIGINT) AS accepted_rows,
+       CAST(count(*) FILTER (WHERE late) AS BIGINT) AS late_rows,
+       CAST(count(*) FILTER (WHERE ok AND NOT late) - (SELECT count(*) FROM first f WHERE f.step = a.step AND nth = 1)
+            AS BIGINT) AS duplicate_rows, {_RULES}
+FROM arrived a GROUP BY step""")
+# a restarted native query drops what is behind the watermark of all earlier steps
+ORACLE["stream_metrics"] = _with_tail(_ARRIVED_ALL.format(held="false") + """,
+marks AS (SELECT s.step, (SELECT max("timestamp") - INTERVAL 10 MINUTE FROM stepped b WHERE b.ok AND b.step < s.step) AS mark
+          FROM (SELECT DISTINCT step FROM stepped) s),
+arrived AS (SELECT s.*, coalesce(ok AND "timestamp" <= mark, false) AS late FROM stepped s JOIN marks USING (step))
+SELECT count(*) AS rows, CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS valid_rows,
+       CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS invalid_rows,
+       CAST(count(*) FILTER (WHERE sensor_id IS NULL OR sensor_id = ' ') AS BIGINT) AS missing_sensor_id,
+       CAST(count(*) FILTER (WHERE "timestamp" IS NULL) AS BIGINT) AS missing_timestamp,
+       CAST(count(*) FILTER (WHERE temperature IS NULL) AS BIGINT) AS missing_temperature,
+       CAST(count(*) FILTER (WHERE temperature < 300 OR temperature > 450) AS BIGINT) AS temperature_out_of_range,
+       CAST(count(*) FILTER (WHERE humidity IS NULL) AS BIGINT) AS missing_humidity,
+       CAST(count(*) FILTER (WHERE humidity < 30 OR humidity > 80) AS BIGINT) AS humidity_out_of_range,
+       CAST(count(*) FILTER (WHERE late) AS BIGINT) AS late_rows,
+       CAST(count(DISTINCT event_id) FILTER (WHERE ok AND NOT late) AS BIGINT) AS accepted_rows,
+       CAST(count(*) FILTER (WHERE ok AND NOT late) - count(DISTINCT event_id) FILTER (WHERE ok AND NOT late) AS BIGINT)
+         AS duplicate_rows
+FROM arrived""")
 ORACLE["stream_features"] = _with(f"""SELECT {FEATURE_COLS} FROM feat WHERE target_temperature IS NOT NULL""")
 
 
@@ -420,3 +462,44 @@ FROM ({DRIFT_LONG})"""),
 SELECT event_id, sensor_id, "timestamp", target_temperature AS actual, round(target_temperature + e, 4) AS predicted,
        round(e, 4) AS residual FROM ({_ERRORS}) WHERE split = 'test'"""),
 })
+
+
+# ------------------------------------------------------------------ hyperparameter search
+# Coordinate descent on the correlations of the train rows, one round per step of
+# the recursion: 600 are far more than these need.
+_VARS = ["a1", "a2", "a3", "a4", "y"]
+_CORR = ", ".join(f"covar_pop({x}, {y}) / (stddev_pop({x}) * stddev_pop({y})) AS r{i}{j}"
+                  for i, x in enumerate(_VARS) for j, y in enumerate(_VARS) if i < j)
+
+
+def _soft(j: int, weights: list[str]) -> str:
+    """The j-th weight given the others."""
+    pull = f"r{j}4" + "".join(f" - r{min(j, k)}{max(j, k)} * {w}" for k, w in enumerate(weights) if k != j)
+    return f"sign({pull}) * greatest(abs({pull}) - lasso, 0) / (1 + ridge)"
+
+
+def _round_of_descent() -> str:
+    sql = "SELECT *, i + 1 AS ni FROM cd, mom, grid WHERE cd.g = grid.gid AND i < 600"
+    for j in range(4):
+        weights = [f"n{k}" if k < j else f"w{k}" for k in range(4)]
+        sql = f"SELECT *, {_soft(j, weights)} AS n{j} FROM ({sql})"
+    return f"SELECT g, ni, n0, n1, n2, n3 FROM ({sql})"
+
+
+ORACLE["hyper_search"] = _with_tail(_FIT + f""",
+mom AS MATERIALIZED (SELECT {_CORR}, {", ".join(f"stddev_pop({v}) AS sd{i}, avg({v}) AS mean{i}" for i, v in enumerate(_VARS))} FROM tr),
+grid AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY reg, en) AS gid, reg, en, reg * en / sd4 AS lasso, reg * (1 - en) / sd4 AS ridge
+  FROM (VALUES (0.0e0), (0.01e0), (0.1e0)) x(reg), (VALUES (0.0e0), (0.5e0)) z(en), mom),
+cd AS (
+  SELECT gid AS g, 0 AS i, 0.0e0 AS w0, 0.0e0 AS w1, 0.0e0 AS w2, 0.0e0 AS w3 FROM grid
+  UNION ALL {_round_of_descent()}),
+fits AS MATERIALIZED (
+  SELECT reg, en, w0 * sd4 / sd0 AS b0, w1 * sd4 / sd1 AS b1, w2 * sd4 / sd2 AS b2, w3 * sd4 / sd3 AS b3,
+         mean4 - w0 * sd4 / sd0 * mean0 - w1 * sd4 / sd1 * mean1 - w2 * sd4 / sd2 * mean2 - w3 * sd4 / sd3 * mean3 AS b
+  FROM cd JOIN grid ON cd.g = grid.gid, mom WHERE i = 600)
+SELECT reg AS reg_param, en AS elastic_net_param, round(avg(e * e), 6) AS mse, round(avg(abs(e)), 6) AS mae,
+       round(sqrt(avg(e * e)), 6) AS rmse, round(1 - avg(e * e) / var_pop(target_temperature), 6) AS r2
+FROM (SELECT reg, en, target_temperature, b + b0 * temperature + b1 * humidity + b2 * temperature_change
+             + b3 * rolling_avg_temperature - target_temperature AS e FROM chrono_l, fits WHERE split = 'validation')
+GROUP BY reg, en""").replace("WITH raw AS", "WITH RECURSIVE raw AS", 1)

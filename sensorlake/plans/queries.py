@@ -37,20 +37,27 @@ from ..sinks.files import (
 from ..sinks.upsert import upsert
 from ..sources.events import readings_dup, readings_raw, repeated
 from ..sources.files import load_all, load_csv, load_json
-from ..sources.table import load_table, pull_increment, stream_table, write_table
+from ..sources.folder import open_folder
+from ..sources.table import load_table, pull_increment, stream_table, stream_table_by_id, write_table
 from ..streaming.consumer import (
+    SIMULATOR_COLUMNS,
     await_all,
+    consumer_commits,
     csv_file_source,
+    csv_tail_source,
     deduplicate,
     file_source,
+    observe_quality,
     parse_messages,
     quarantine_quality,
+    read_consumer,
     run_consumer,
     run_quarantine,
     split_stream,
     start_parquet,
 )
 from ..streaming.features import read_features, run_stream_features
+from ..streaming.metrics import ProgressLog, await_logged, read_progress, stream_totals
 from .export import export
 from .infer import run_inference, score_features, store_predictions
 from .monitor import evaluate_on, run_monitoring
@@ -569,15 +576,20 @@ def q_curated_layout(spark, sf_dir):
     return export(read_curated(spark, path))
 
 
+def _consumed(spark, readings: DataFrame) -> str:
+    out = scratch_path(spark, "consumer")
+    await_all([run_consumer(file_source(spark, _landing(spark, readings, "consumer-landing")), out, available_now=True)])
+    return out
+
+
 @query("consumer_run")
 def q_consumer_run(spark, sf_dir):
-    """The three-query consumer over a landing folder of repeated
-    events; the rows of its three tables (``sink``), raw messages parsed."""
-    landing = _landing(spark, readings_dup(spark, sf_dir), "consumer-landing")
-    out = scratch_path(spark, "consumer")
-    await_all(run_consumer(file_source(spark, landing), out, available_now=True))
-    tables = {"valid": spark.read.parquet(f"{out}/valid"), "invalid": spark.read.parquet(f"{out}/invalid"),
-              "raw": parse_messages(spark.read.parquet(f"{out}/raw"))}
+    """The consumer over a landing folder of repeated events, one scan
+    and one commit record per batch; the rows of its three tables (``sink``), raw
+    messages parsed."""
+    out = _consumed(spark, readings_dup(spark, sf_dir))
+    tables = {name: read_consumer(spark, out, name) for name in ("valid", "invalid")}
+    tables["raw"] = parse_messages(read_consumer(spark, out, "raw"))
     rows = [t.select(*READING_COLUMNS, F.col("reasons") if "reasons" in t.columns else F.lit(None).cast("string")
                      .alias("reasons"), F.lit(name).alias("sink")) for name, t in tables.items()]
     return export(reduce(DataFrame.unionByName, rows))
@@ -587,18 +599,51 @@ def q_consumer_run(spark, sf_dir):
 def q_replay_raw(spark, sf_dir):
     """Batch replay of the raw (bronze) table the consumer keeps:
     the same parse + validate functions over stored messages."""
-    landing = _landing(spark, readings_raw(spark, sf_dir), "consumer-landing")
-    out = scratch_path(spark, "consumer")
-    await_all(run_consumer(file_source(spark, landing), out, available_now=True))
-    raw = spark.read.parquet(f"{out}/raw")
+    raw = read_consumer(spark, _consumed(spark, readings_raw(spark, sf_dir)), "raw")
     valid, _ = split_stream(parse_messages(raw))
     return export(valid.select(*READING_COLUMNS))
 
 
+@query("consumer_batches")
+def q_consumer_batches(spark, sf_dir):
+    """The consumer over three arrivals with repeats and late rows, stopped
+    and restarted between them; its commit records, one per batch."""
+    out = scratch_path(spark, "consumer")
+    for landing in _arrivals(spark, _held_back(spark, sf_dir), "consumer-landing"):
+        await_all([run_consumer(file_source(spark, landing), out, available_now=True)])
+    return consumer_commits(spark, out).select("batch_id", "rows", "valid_rows", "invalid_rows", "accepted_rows", "late_rows",
+                                               "duplicate_rows", "missing_sensor_id", "temperature_out_of_range")
+
+
+@query("stream_metrics")
+def q_stream_metrics(spark, sf_dir):
+    """The progress log of the deduplicating stream over three arrivals and
+    restarts (rows, rule counts, rows dropped behind the watermark) beside the
+    rows its sink holds."""
+    base = scratch_path(spark, "stream-metrics")
+    log = ProgressLog(f"{base}/progress")
+    spark.streams.addListener(log)
+    try:
+        for landing in _arrivals(spark, _resent(spark, sf_dir), "stream-landing"):
+            valid, _ = split_stream(observe_quality(parse_messages(file_source(spark, landing))))
+            q = start_parquet(deduplicate(valid).select(*READING_COLUMNS), f"{base}/out", f"{base}/checkpoint", available_now=True)
+            await_all([q])
+            await_logged(log.folder, [q])
+    finally:
+        spark.streams.removeListener(log)
+    mine = read_progress(spark, log.folder).filter(F.col("query_id") == str(q.id))
+    return stream_totals(mine, spark.read.parquet(f"{base}/out"))
+
+
+def _held_back(spark, sf_dir) -> DataFrame:
+    """``_resent`` with every 89th event held back to the last step."""
+    held = F.when(F.col("event_id") % HELD_EVERY == 0, ARRIVALS - 1).otherwise(F.col("_step"))
+    return _resent(spark, sf_dir).withColumn("_step", held)
+
+
 def _quarantined(spark, sf_dir) -> str:
     out = scratch_path(spark, "quarantine")
-    held = F.when(F.col("event_id") % HELD_EVERY == 0, ARRIVALS - 1).otherwise(F.col("_step"))
-    for landing in _arrivals(spark, _resent(spark, sf_dir).withColumn("_step", held), "quarantine-landing"):
+    for landing in _arrivals(spark, _held_back(spark, sf_dir), "quarantine-landing"):
         await_all([run_quarantine(file_source(spark, landing), out)])
     return out
 
@@ -630,10 +675,67 @@ def q_stream_table(spark, sf_dir):
     return export(_run_stream(spark, stream_table(spark, path, max_files_per_trigger=2), "table-stream"))
 
 
+@query("stream_id_offsets")
+def q_stream_id_offsets(spark, sf_dir):
+    """S10 as a stream of ids: the lower half of a table is read, the query stops,
+    rows with higher ids come in two appends to the same folder, and it goes on
+    from its id."""
+    raw = _faulty(readings_raw(spark, sf_dir))
+    top = raw.agg(F.max("event_id")).first()[0] or 0
+    table, base = scratch_path(spark, "id-table"), scratch_path(spark, "id-stream")
+    for after, until in ((None, top // 2), (top // 2, 3 * top // 4), (3 * top // 4, top)):
+        part = F.col("event_id") <= until if after is None else F.col("event_id").between(after + 1, until)
+        write_table(raw.filter(part), table)
+        if until != 3 * top // 4:
+            await_all([start_parquet(stream_table_by_id(spark, table), f"{base}/out", f"{base}/checkpoint", available_now=True)])
+    return export(spark.read.parquet(f"{base}/out"))
+
+
+LINES_PER_FILE = 20_000
+
+
+def _growing_files(spark, readings: DataFrame, folder: str):
+    """The readings as simulator CSV files of at most ``LINES_PER_FILE`` lines, which
+    grow in three steps; the first two end in the middle of a line. Yields after each."""
+    lines = durable(readings.select(
+        F.floor(F.col("event_id") / LINES_PER_FILE).alias("_file"), "event_id",
+        F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in SIMULATOR_COLUMNS]).alias("line")), "csv-lines")
+    header = ",".join(SIMULATOR_COLUMNS)
+
+    def writer(step: int):
+        def write(group):
+            text = "\n".join([header, *group.sort_values("event_id")["line"], ""]).encode()
+            cut = len(text) if step == ARRIVALS else max(text.find(b"\n", len(text) * step // ARRIVALS) - 7, len(header))
+            files, root = open_folder(folder)
+            files.create_dir(root, recursive=True)
+            name = f"{root}/readings-{group['_file'].iloc[0]}.csv"
+            with files.open_output_stream(f"{root}/_{name.rpartition('/')[2]}.writing", compression=None) as out:
+                out.write(text[:cut])
+            files.move(f"{root}/_{name.rpartition('/')[2]}.writing", name)
+            return group[["_file"]].head(1)
+        return write
+
+    for step in range(1, ARRIVALS + 1):
+        lines.groupBy("_file").applyInPandas(writer(step), "_file long").write.format("noop").mode("overwrite").save()
+        yield
+
+
+@query("stream_csv_tail")
+def q_stream_csv_tail(spark, sf_dir):
+    """Simulator CSV files that grow in three steps, two of which end inside a
+    line; the stream restarts after each and reads the complete new lines."""
+    raw = _faulty(readings_raw(spark, sf_dir)).withColumn("timestamp", F.date_format("timestamp", ISO_TIME_TEXT))
+    folder, base = scratch_path(spark, "growing-csv"), scratch_path(spark, "csv-tail")
+    for _ in _growing_files(spark, raw, folder):
+        await_all([start_parquet(csv_tail_source(spark, folder), f"{base}/out", f"{base}/checkpoint", available_now=True)])
+    return export(spark.read.parquet(f"{base}/out"))
+
+
 @query("hyper_search")
 def q_hyper_search(spark, sf_dir):
     """regParam x elasticNetParam grid on the chronological split."""
-    return grid_search(label_chrono(_features(spark, sf_dir)))
+    found = grid_search(durable(label_chrono(_features(spark, sf_dir)), "labelled"))
+    return export(found, ("mse", "mae", "rmse", "r2"))
 
 
 @query("stream_features")

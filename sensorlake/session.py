@@ -13,6 +13,7 @@ import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -102,12 +103,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The Parquet table at ``path``, or None if nothing was written there yet.
-    Every other error is raised."""
+def read_if_exists(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None if nothing was written there yet. Every
+    other error is raised."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
-        return reader.parquet(path)
+        return reader.format(fmt).load(path)
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
@@ -148,6 +149,28 @@ def temporary_stages(spark: SparkSession):
             delete_path(spark, path)
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file if nothing is at ``path`` (put-if-absent); False if
+    something is. Of two callers at once one gets it, where the file system
+    creates exclusively: local disks, HDFS and stores with that contract."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    try:
+        if files.getUri().getScheme() == "file":
+            # Hadoop's local file system checks first and creates then
+            at = spark._jvm.java.io.File(target.toUri().getPath()).toPath()
+            spark._jvm.java.nio.file.Files.createFile(at, spark.sparkContext._gateway.new_array(
+                spark._jvm.java.nio.file.attribute.FileAttribute, 0))
+        else:
+            files.create(target, False).close()
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder that this library wrote, on whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

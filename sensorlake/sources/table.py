@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..schemas import READING_COLUMNS
 from ..session import read_if_exists
 from .files import reading_columns
+from .id_stream import ReadingTableById
 
 TABLE_SCHEMA = ("id long, sensor_id string, timestamp string, temperature double, humidity double, "
                 "is_faulty boolean, fault_type string, source string")
@@ -61,6 +62,14 @@ def stream_table(spark: SparkSession, path: str, *, max_files_per_trigger: int |
     return to_readings(r.parquet(path), None, extra=True)
 
 
+def stream_table_by_id(spark: SparkSession, path: str, *, after: int | None = None) -> DataFrame:
+    """S10 as a stream of ids: rows above the offset (at first above ``after``; None:
+    all), whichever files hold them."""
+    spark.dataSource.register(ReadingTableById)
+    r = spark.readStream.format(ReadingTableById.name()).option("path", path)
+    return to_readings((r if after is None else r.option("after", after)).load(), None, extra=True)
+
+
 def write_table(readings: DataFrame, path: str, mode: str = "append") -> None:
     """Readings as a reading table, in order of id inside each file (so that
     an id bound skips files and row groups)."""

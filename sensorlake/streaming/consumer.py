@@ -7,9 +7,11 @@ replays use a folder of JSON Lines files (``file_source``).
 
 decode -> parse -> validate is stateless; the valid branch then gets a
 10-minute watermark on event time and deduplication on (sensor_id,
-timestamp, source), whose state expires past the watermark. Both branches
-write to checkpointed sinks, so a restarted job resumes where it stopped and
-keeps its deduplication state.
+timestamp, source), whose state expires past the watermark. A single branch
+writes to a checkpointed sink (``start_parquet``); the whole consumer
+(``run_consumer``) reads its source once and writes all tables of a micro-batch
+under one commit record. A restarted job resumes where it stopped and keeps its
+deduplication state.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from ..operators.validate import validate_reading
 from ..schemas import READING_COLUMNS, STREAM_VALUE_STRICT, STREAM_VALUE_TEXT
 from ..session import durable, read_if_exists, temporary_stages
 from ..sinks.upsert import first_wins
+from ..sources.tail import GrowingTextFiles
 from .state import read_state, replace_batch, write_state
 
 ENVELOPE = ["topic", "partition", "offset"]
@@ -56,20 +59,13 @@ def file_source(spark: SparkSession, landing: str, *, max_files_per_trigger: int
         F.lit(None).cast("long").alias("offset"))
 
 
-def csv_file_source(spark: SparkSession, folder: str, *, max_files_per_trigger: int | None = 1) -> DataFrame:
-    """The simulator's 7-column CSV arriving as files; each file is one
-    unit of arrival (the checkpoint replaces an offset file). An empty field
-    is NULL: CSV cannot tell NULL from '', and an empty sensor id is a
-    missing one (the simulator's ``missing_sensor_id`` fault)."""
-    from pyspark.sql.types import StringType, StructField, StructType
-    names = ["sensor_id", "timestamp", "temperature", "humidity", "is_faulty", "fault_type", "source",
-             "event_id"]
-    schema = StructType([StructField(n, StringType(), True) for n in names])
-    r = spark.readStream.schema(schema).option("header", True)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.csv(folder)
-    return df.select(
+# The simulator's columns, in file order, with the event id that ours carry
+SIMULATOR_COLUMNS = ["sensor_id", "timestamp", "temperature", "humidity", "is_faulty", "fault_type", "source", "event_id"]
+
+
+def _simulator_readings(text: DataFrame) -> DataFrame:
+    """Typed columns from the simulator's text ones; what cannot be read is NULL."""
+    return text.select(
         F.col("event_id").try_cast("long").alias("event_id"),
         "sensor_id",
         F.col("timestamp").try_cast("timestamp").alias("timestamp"),
@@ -81,6 +77,32 @@ def csv_file_source(spark: SparkSession, folder: str, *, max_files_per_trigger:
     )
 
 
+def csv_file_source(spark: SparkSession, folder: str, *, max_files_per_trigger: int | None = 1) -> DataFrame:
+    """S9, file by file: the simulator's CSV where each file is one unit of
+    arrival (the checkpoint replaces an offset file). An empty field is NULL: CSV
+    cannot tell NULL from '', and an empty sensor id is a missing one (the
+    simulator's ``missing_sensor_id`` fault)."""
+    from pyspark.sql.types import StringType, StructField, StructType
+    schema = StructType([StructField(n, StringType(), True) for n in SIMULATOR_COLUMNS])
+    r = spark.readStream.schema(schema).option("header", True)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _simulator_readings(r.csv(folder))
+
+
+def csv_tail_source(spark: SparkSession, folder: str, *, header: bool = True, range_bytes: int | None = None) -> DataFrame:
+    """S9, line by line: the simulator's CSV files while they grow; complete new
+    lines only. A field cannot hold a line end. ``header``: the first line of each
+    file is one."""
+    spark.dataSource.register(GrowingTextFiles)
+    r = spark.readStream.format(GrowingTextFiles.name()).option("path", folder).option("ending", ".csv")
+    lines = (r if range_bytes is None else r.option("range_bytes", range_bytes)).load()
+    if header:
+        lines = lines.filter(F.col("position") > 0)
+    parsed = F.from_csv("value", ", ".join(f"{c} string" for c in SIMULATOR_COLUMNS))
+    return _simulator_readings(lines.select(parsed.alias("_r")).select("_r.*"))
+
+
 # ------------------------------------------------------------------ decode / parse
 
 def decode(messages: DataFrame) -> DataFrame:
@@ -191,22 +213,99 @@ def start_parquet(df: DataFrame, path: str | None, checkpoint: str, *, available
     return w.start(path) if path and fmt == "parquet" else w.start()
 
 
+def accept(rows: DataFrame, batch_id: int, out_dir: str, *, delay_seconds: int, keys) -> tuple[DataFrame, DataFrame]:
+    """(accepted, late) rows of one micro-batch of valid readings, with the native
+    operator's thresholds: rows at or before the watermark (the newest event time
+    of the batches up to two before, minus the delay) are late; the others are
+    deduplicated against themselves and against the accepted keys after the
+    watermark. Only those keys and the newest event times are carried on, so a
+    batch reads no history."""
+    spark = rows.sparkSession
+    marks = read_state(spark, f"{out_dir}/_marks", batch_id)
+    seen = read_state(spark, f"{out_dir}/_keys", batch_id)
+    mark = marks.first() if marks is not None else {"newest": None, "before": None}
+    wm = mark["before"] - _dt.timedelta(seconds=delay_seconds) if mark["before"] is not None else None
+    is_late = F.lit(False) if wm is None else (F.col("timestamp") <= F.lit(wm))
+    fresh = first_wins(rows.filter(~is_late), keys, [F.col("event_id")] if "event_id" in rows.columns else None)
+    if seen is not None:
+        if wm is not None:
+            seen = seen.filter(F.col("timestamp") > F.lit(wm))
+        old = seen.select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
+        same = [fresh[k].eqNullSafe(old[f"_seen_{k}"]) for k in keys]      # nulls are equal, as in dropDuplicates
+        fresh = fresh.join(old, reduce(and_, same), "left_anti")
+    fresh = durable(fresh, "accepted")
+    accepted = fresh.select(*keys)
+    write_state(accepted if seen is None else seen.unionByName(accepted), f"{out_dir}/_keys", batch_id)
+    newest = [t for t in (mark["newest"], rows.agg(F.max("timestamp")).first()[0]) if t is not None]
+    write_state(spark.createDataFrame([(max(newest, default=None), mark["newest"])],
+                                      "newest timestamp, before timestamp"), f"{out_dir}/_marks", batch_id)
+    return fresh, rows.filter(is_late)
+
+
+SINKS = ("raw", "valid", "invalid", "late")
+COMMIT_SCHEMA = ("batch_id long, rows long, valid_rows long, invalid_rows long, accepted_rows long, late_rows long, "
+                 "duplicate_rows long, " + ", ".join(f"{n} long" for n in RULE_NAMES) + ", newest timestamp, committed_at timestamp")
+
+
+def consumer_batch(parsed: DataFrame, batch_id: int, out_dir: str, *, delay_seconds: int = C.WATERMARK_SECONDS,
+                   keys=C.STREAM_DEDUP_KEYS, keep_late: bool = False) -> None:
+    """One micro-batch of parsed messages into all tables of the consumer. The
+    source is read once, into a stage; the tables are written from that, each
+    batch replacing its own rows, and the batch's record in ``_commits`` comes
+    last. A batch that failed anywhere before runs again and replaces what it had
+    written; ``read_consumer`` shows committed batches only."""
+    spark = parsed.sparkSession
+    with temporary_stages(spark):
+        rows = durable(parsed.withColumns({"ingested_at": F.current_timestamp(), "batch_id": F.lit(batch_id).cast("long")}),
+                       "consumer-batch")
+        valid, invalid = split_stream(rows)
+        kept = [*READING_COLUMNS, "is_faulty", "fault_type", *ENVELOPE, "batch_id"]
+        accepted, late = accept(valid.select(*kept), batch_id, out_dir, delay_seconds=delay_seconds, keys=keys)
+        replace_batch(rows.select("value", *ENVELOPE, "ingested_at", "batch_id"), f"{out_dir}/raw")         # B1
+        replace_batch(accepted, f"{out_dir}/valid")
+        replace_batch(invalid.drop("ingested_at"), f"{out_dir}/invalid")                                    # B3
+        if keep_late:
+            replace_batch(late, f"{out_dir}/late")                                                          # B4
+        broken = [F.count_if(r.isNotNull()).alias(n) for r, n in zip(reason_columns(), RULE_NAMES)]
+        seen = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(is_valid()).alias("valid_rows"), *broken,
+                        F.max("timestamp").alias("newest")).first()
+        n_accepted, n_late = accepted.count(), late.count()
+        record = {"batch_id": batch_id, "rows": seen["rows"], "valid_rows": seen["valid_rows"],
+                  "invalid_rows": seen["rows"] - seen["valid_rows"], "accepted_rows": n_accepted, "late_rows": n_late,
+                  "duplicate_rows": seen["valid_rows"] - n_accepted - n_late, **{n: seen[n] for n in RULE_NAMES},
+                  "newest": seen["newest"], "committed_at": _dt.datetime.now(_dt.timezone.utc)}
+        spark.createDataFrame([tuple(record.values())], COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+            f"{out_dir}/_commits/{batch_id}")
+
+
+def consumer_commits(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """One row per committed micro-batch: rows in, valid, invalid, accepted,
+    late, duplicate and per-rule counts, newest event time, commit time."""
+    return read_if_exists(spark, f"{out_dir}/_commits/*")
+
+
+def read_consumer(spark: SparkSession, out_dir: str, sink: str) -> DataFrame | None:
+    """A table of the consumer (one of ``SINKS``), committed batches only."""
+    rows, commits = read_if_exists(spark, f"{out_dir}/{sink}"), consumer_commits(spark, out_dir)
+    if rows is None or commits is None:
+        return None
+    last = commits.agg(F.max("batch_id")).first()[0]
+    return rows.filter(F.col("batch_id") <= last)
+
+
 def run_consumer(messages: DataFrame, out_dir: str, *, available_now: bool = False,
-                 processing_time: str | None = None, strict: bool = False) -> list[StreamingQuery]:
-    """T4: the full consumer. Three checkpointed queries over the same input:
-    raw events (B1, with ingestion time), deduplicated valid readings, and
-    rejects with reasons and the raw message (B3)."""
+                 processing_time: str | None = None, strict: bool = False, keep_late: bool = False) -> StreamingQuery:
+    """T4: the full consumer as one query that reads its source once: raw messages
+    (B1, with ingestion time), deduplicated valid readings, rejects with reasons
+    and the raw message (B3), and with ``keep_late`` the rows behind the watermark (B4)."""
     parsed = observe_quality(parse_messages(messages, strict=strict))
-    valid, invalid = split_stream(parsed)
-    deduped = deduplicate(valid).select(*READING_COLUMNS, "is_faulty", "fault_type", *ENVELOPE)
-    raw = messages.select(F.col("value").cast("string").alias("value"), *ENVELOPE,
-                          F.current_timestamp().alias("ingested_at"))
-    kw = dict(available_now=available_now, processing_time=processing_time)
-    return [
-        start_parquet(raw, f"{out_dir}/raw", f"{out_dir}/_checkpoints/raw", **kw),
-        start_parquet(deduped, f"{out_dir}/valid", f"{out_dir}/_checkpoints/valid", **kw),
-        start_parquet(invalid, f"{out_dir}/invalid", f"{out_dir}/_checkpoints/invalid", **kw),
-    ]
+    w = parsed.writeStream.option("checkpointLocation", f"{out_dir}/_checkpoint").foreachBatch(
+        lambda df, batch_id: consumer_batch(df, batch_id, out_dir, keep_late=keep_late))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
@@ -218,38 +317,15 @@ def await_all(queries: list[StreamingQuery]) -> None:
 
 # ------------------------------------------------------------------ late rows
 
-def quarantine_batch(batch: DataFrame, batch_id: int, out_dir: str, *, delay_seconds: int = 600,
+def quarantine_batch(batch: DataFrame, batch_id: int, out_dir: str, *, delay_seconds: int = C.WATERMARK_SECONDS,
                      keys=C.STREAM_DEDUP_KEYS) -> None:
-    """One micro-batch of the quarantine policy, with the native operator's
-    thresholds: rows at or before the watermark (the newest event time of the
-    batches up to two before, minus the delay) go to ``late/`` instead of being
-    dropped; the others are deduplicated against themselves and against the
-    accepted keys after the watermark, and go to ``valid/``. Only those keys and
-    the newest event times are carried on, so a batch reads no history. A
-    retried batch replaces its own output."""
-    spark = batch.sparkSession
-    with temporary_stages(spark):
+    """One micro-batch of the quarantine policy: accepted rows go to ``valid/``, late
+    ones to ``late/`` instead of being dropped. A retried batch replaces its own output."""
+    with temporary_stages(batch.sparkSession):
         rows = durable(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), "quarantine-batch")
-        marks = read_state(spark, f"{out_dir}/_marks", batch_id)
-        seen = read_state(spark, f"{out_dir}/_keys", batch_id)
-        mark = marks.first() if marks is not None else {"newest": None, "before": None}
-        wm = mark["before"] - _dt.timedelta(seconds=delay_seconds) if mark["before"] is not None else None
-        is_late = F.lit(False) if wm is None else (F.col("timestamp") <= F.lit(wm))
-        fresh = first_wins(rows.filter(~is_late), keys, [F.col("event_id")] if "event_id" in rows.columns else None)
-        if seen is not None:
-            if wm is not None:
-                seen = seen.filter(F.col("timestamp") > F.lit(wm))
-            old = seen.select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
-            same = [fresh[k].eqNullSafe(old[f"_seen_{k}"]) for k in keys]      # nulls are equal, as in dropDuplicates
-            fresh = fresh.join(old, reduce(and_, same), "left_anti")
-        fresh = durable(fresh, "quarantine-fresh")
+        fresh, late = accept(rows, batch_id, out_dir, delay_seconds=delay_seconds, keys=keys)
         replace_batch(fresh, f"{out_dir}/valid")
-        replace_batch(rows.filter(is_late), f"{out_dir}/late")
-        accepted = fresh.select(*keys)
-        write_state(accepted if seen is None else seen.unionByName(accepted), f"{out_dir}/_keys", batch_id)
-        newest = [t for t in (mark["newest"], rows.agg(F.max("timestamp")).first()[0]) if t is not None]
-        write_state(spark.createDataFrame([(max(newest, default=None), mark["newest"])],
-                                          "newest timestamp, before timestamp"), f"{out_dir}/_marks", batch_id)
+        replace_batch(late, f"{out_dir}/late")
 
 
 def quarantine_quality(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -261,7 +337,7 @@ def quarantine_quality(spark: SparkSession, out_dir: str) -> DataFrame:
         .withColumn("late_rate", F.try_divide(F.col("late_rows"), F.col("accepted_rows") + F.col("late_rows")))
 
 
-def run_quarantine(messages: DataFrame, out_dir: str, *, delay_seconds: int = 600,
+def run_quarantine(messages: DataFrame, out_dir: str, *, delay_seconds: int = C.WATERMARK_SECONDS,
                    available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """The consumer's valid branch with late rows kept (``late/``)
     instead of dropped silently. Rejects are not part of this query."""

@@ -3,9 +3,9 @@
     python -m sensorlake.streaming.run --kafka host:9092 --out /shared/stream
     python -m sensorlake.streaming.run --landing /shared/landing --out /shared/stream --available-now
 
-Three checkpointed queries (raw, deduplicated valid, rejects) under ``--out``;
-``--late quarantine`` replaces the valid query by the late-row quarantine.
-Waits for any query to stop (or, with ``--available-now``, for all).
+One checkpointed query that writes raw messages, deduplicated valid readings and
+rejects under ``--out``; ``--late quarantine`` also keeps the rows behind the
+watermark. Waits until it stops.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import argparse
 
 from .. import config as C
 from ..session import build_session
-from .consumer import await_all, file_source, kafka_source, run_consumer, run_quarantine
+from .consumer import await_all, file_source, kafka_source, run_consumer
 
 
 def main(argv=None) -> None:
@@ -33,16 +33,8 @@ def main(argv=None) -> None:
     spark = build_session(args.master, app="sensorlake-consumer")
     messages = (kafka_source(spark, args.kafka, args.topic, args.starting_offsets) if args.kafka
                 else file_source(spark, args.landing))
-    if args.late == "quarantine":
-        queries = [run_quarantine(messages, f"{args.out}/quarantine", available_now=args.available_now,
-                                  processing_time=args.trigger)]
-    else:
-        queries = run_consumer(messages, args.out, available_now=args.available_now,
-                               processing_time=args.trigger)
-    if args.available_now:
-        await_all(queries)
-    else:
-        spark.streams.awaitAnyTermination()
+    await_all([run_consumer(messages, args.out, available_now=args.available_now, processing_time=args.trigger,
+                            keep_late=args.late == "quarantine")])
 
 
 if __name__ == "__main__":

@@ -136,3 +136,42 @@ def test_champion_eval_equals_pandas(spark, grid):
     e = p["prediction"].to_numpy() - p["target_temperature"].to_numpy()
     assert m["mae"] == pytest.approx(np.abs(e).mean()) and m["rmse"] == pytest.approx(np.sqrt((e * e).mean()))
     assert m["n_rows"] == len(p)
+
+
+def test_grid_search_equals_sparks_fits(spark):
+    """Every pair solved from one aggregation against Spark's own estimator."""
+    from pyspark.ml.regression import LinearRegression
+    from sensorlake.ml.model import assembler
+    from sensorlake.ml.search import grid_search, moments, solve
+    from sensorlake.schemas import FEATURE_COLUMNS
+    u = [F.rand(i) for i in range(6)]
+    rows = spark.range(800).select(
+        (350 + 40 * u[0]).alias("temperature"), (50 + 10 * u[1] + 5 * u[0]).alias("humidity"),
+        (u[2] - 0.5 + u[0]).alias("temperature_change"), (350 + 35 * u[0] + 5 * u[3]).alias("rolling_avg_temperature"),
+        F.when(u[5] < 0.7, "train").otherwise("validation").alias("split"), u[4].alias("_e"))
+    rows = rows.select("*", (0.6 * F.col("temperature") + 0.3 * F.col("humidity") - 2 * F.col("temperature_change")
+                             + 6 * F.col("_e")).alias("target_temperature")).cache()
+    train, test = rows.filter("split = 'train'"), rows.filter("split = 'validation'")
+    grid_r, grid_e = (0.0, 0.01, 0.5, 3.0), (0.0, 0.3, 1.0)
+    got = {(r.reg_param, r.elastic_net_param): r for r in grid_search(rows, grid_r, grid_e).collect()}
+    assert len(got) == 12
+    m, vec = moments(train), assembler()
+    for reg in grid_r:
+        for en in grid_e:
+            lr = LinearRegression(labelCol="target_temperature", regParam=reg, elasticNetParam=en, tol=1e-14, maxIter=2000)
+            fit = lr.fit(vec.transform(train))
+            weights, intercept = solve(m, reg, en)
+            assert max(abs(a - b) for a, b in zip(weights, fit.coefficients.toArray())) < 1e-6, (reg, en)
+            assert abs(intercept - fit.intercept) < 1e-4
+            ev = fit.evaluate(vec.transform(test))
+            r = got[reg, en]
+            for mine, theirs in ((r.mse, ev.meanSquaredError), (r.mae, ev.meanAbsoluteError), (r.rmse, ev.rootMeanSquaredError),
+                                 (r.r2, ev.r2)):
+                assert abs(mine - theirs) < 1e-6, (reg, en)
+    # a constant feature, a constant target, no rows
+    flat = rows.withColumn("humidity", F.lit(50.0))
+    weights, _ = solve(moments(flat.filter("split = 'train'")), 0.1, 0.5)
+    assert weights[FEATURE_COLUMNS.index("humidity")] == 0 and abs(weights[0]) > 0
+    weights, intercept = solve(moments(rows.withColumn("target_temperature", F.lit(7.0))), 0.1, 0.5)
+    assert not weights.any() and intercept == 7.0
+    assert [r.mae for r in grid_search(rows.limit(0), (0.0,), (0.0,)).collect()] == [None]

@@ -156,11 +156,11 @@ def test_consumer_reports_quality_metrics(spark, tmp_path):
              "source": "csv"}]
     (landing / "a.json").write_text("\n".join(json.dumps(r) for r in rows) + "\n")
     out = str(tmp_path / "out")
-    qs = run_consumer(file_source(spark, str(landing)), out, available_now=True)
-    await_all(qs)
-    valid_q = qs[1]
-    m = [p["observedMetrics"]["etl_quality"] for p in valid_q.recentProgress if p.get("observedMetrics")]
+    q = run_consumer(file_source(spark, str(landing)), out, available_now=True)
+    await_all([q])
+    m = [p["observedMetrics"]["etl_quality"] for p in q.recentProgress if p.get("observedMetrics")]
     assert m and m[0]["rows"] == 3 and m[0]["valid_rows"] == 2 and m[0]["invalid_rows"] == 1
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 3          # the source is read once
     assert m[0]["missing_sensor_id"] == 1 and m[0]["temperature_out_of_range"] == 1
     assert spark.read.parquet(f"{out}/valid").count() == 1          # the repeat is dropped
     assert spark.read.parquet(f"{out}/invalid").count() == 1
