@@ -304,6 +304,9 @@ FROM (SELECT CAST(count(DISTINCT event_id) FILTER (WHERE NOT late) AS BIGINT) AS
        humidity IS NULL AS is_faulty, CASE WHEN humidity IS NULL THEN 'missing_humidity' END AS fault_type FROM raw"""),
 })
 
+ORACLE["summary_states"] = ORACLE["dashboard_summary"]
+ORACLE["summary_histogram"] = f"""SELECT * FROM ({ORACLE['dashboard_histogram']}) WHERE column_name IN ('temperature', 'humidity')"""
+ORACLE["backfill_dirty_days"] = ORACLE["features_all"]
 ORACLE["stream_id_offsets"] = ORACLE["stream_table"]
 ORACLE["stream_csv_tail"] = ORACLE["stream_csv_ingest"]
 # the same arrivals with the invalid rows and their reasons

@@ -22,6 +22,7 @@ from ..operators.features import add_features
 from ..operators.metrics import drift_report, drift_stats, quality_gate, regression_metrics, sensor_counts
 from ..operators.reports import actual_vs_predicted, dashboard_histogram, dashboard_summary, etl_quality, preview
 from ..operators.splits import label_chrono, label_reference_current
+from ..operators import summaries
 from ..operators.validate import dq_summary, reason_counts, validate_reading, with_reasons
 from ..schemas import FEATURE_STORE_COLUMNS, READING_COLUMNS
 from ..session import apply_runtime_conf, durable, read_if_exists, scratch_path
@@ -58,6 +59,7 @@ from ..streaming.consumer import (
 )
 from ..streaming.features import read_features, run_stream_features
 from ..streaming.metrics import ProgressLog, await_logged, read_progress, stream_totals
+from . import backfill
 from .export import export
 from .infer import run_inference, score_features, store_predictions
 from .monitor import evaluate_on, run_monitoring
@@ -554,6 +556,47 @@ def q_dashboard_summary(spark, sf_dir):
                   ("avg_temperature", "avg_humidity"))
 
 
+def _summarised(spark, sf_dir) -> str:
+    """Summary states after the consumer's accepted readings came in three steps, delayed and out of order."""
+    path = scratch_path(spark, "summaries")
+    steps = durable(_arrival_steps(_valid(spark, sf_dir)), "arrivals")
+    for i in range(ARRIVALS):
+        summaries.add_batch(steps.filter(F.col("_step") == i).drop("_step"), i, path)
+    return path
+
+
+@query("summary_states")
+def q_summary_states(spark, sf_dir):
+    """The dashboard summary from states per sensor and day, merged batch by
+    batch; no reading is read again."""
+    return export(summaries.summary(spark, _summarised(spark, sf_dir)), ("avg_temperature", "avg_humidity"))
+
+
+@query("summary_histogram")
+def q_summary_histogram(spark, sf_dir):
+    """The readings' histograms from the same states."""
+    return summaries.histogram(spark, _summarised(spark, sf_dir))
+
+
+LATE_EVERY, CORRECTED_EVERY, CORRECTED_BY = 997, 499, 5.0
+
+
+@query("backfill_dirty_days")
+def q_backfill_dirty_days(spark, sf_dir):
+    """Features of stored readings, then late readings (every 997th) and
+    corrected ones (every 499th had another temperature) come in; features of the
+    dirty days are computed again and replaced."""
+    valid = durable(_valid(spark, sf_dir), "valid")
+    late, wrong = F.col("event_id") % LATE_EVERY == 0, F.col("event_id") % CORRECTED_EVERY == 0
+    first = valid.filter(~late).withColumn("temperature", F.when(wrong, F.col("temperature") - CORRECTED_BY)
+                                           .otherwise(F.col("temperature")))
+    readings, features = scratch_path(spark, "backfill-readings"), scratch_path(spark, "backfill-features")
+    backfill.replace_days(backfill.with_date(first), readings)
+    backfill.build_features(spark, readings, features)
+    backfill.backfill(spark, valid.filter(late | wrong), readings, features)
+    return export(spark.read.parquet(features).drop("event_date"), ("rolling_avg_temperature",))
+
+
 @query("dashboard_histogram")
 def q_dashboard_histogram(spark, sf_dir):
     """Fixed-width histograms of the four features per sensor."""

@@ -85,6 +85,7 @@ def fit_and_register(labelled: DataFrame, *, registry_root: str, max_mae: float
     on ``train``, score all splits in one grouped pass, log the run, and register
     and promote the model if its validation MAE passes the gate."""
     spark, quality = labelled.sparkSession, quality or {}
+    labelled = durable(labelled, "labelled")                 # read by the fit, the scoring and the registration
     model = train_model(labelled.filter(F.col("split") == "train"), reg_param=reg_param,
                         elastic_net=elastic_net)                                  # M1, M2
     by_split = {r["split"]: r.asDict() for r in

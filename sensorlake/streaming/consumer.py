@@ -17,9 +17,11 @@ deduplication state.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterator
 from functools import reduce
 from operator import and_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -150,8 +152,23 @@ def split_stream(parsed: DataFrame, *, blank: str = "exact_space") -> tuple[Data
     return validate_reading(parsed, blank)
 
 
+def collapse_repeats(rows: DataFrame, keys=C.STREAM_DEDUP_KEYS) -> DataFrame:
+    """Drops repeats of a key inside each Arrow batch of each task (the first row
+    stays): no state and no shuffle, so it works on a stream before the
+    operator that has both, and a key that floods a micro-batch gets there as
+    one row per batch of a task."""
+    names = list(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch]).select(names).append_column("_at", pa.array(range(batch.num_rows), pa.int64()))
+            first = table.group_by(names).aggregate([("_at", "min")])["_at_min"]
+            yield batch.take(first.combine_chunks().sort())
+    return rows.mapInArrow(run, rows.schema)
+
+
 def deduplicate(valid: DataFrame, *, delay: str = C.WATERMARK_DELAY,
-                keys=C.STREAM_DEDUP_KEYS, mode: str = "state") -> DataFrame:
+                keys=C.STREAM_DEDUP_KEYS, mode: str = "state", collapse: bool = False) -> DataFrame:
     """Watermark on event time, then drop repeats of (sensor_id,
     timestamp, source). Rows older than the watermark are dropped; the state
     for a key is removed once the watermark passes its event time.
@@ -162,8 +179,11 @@ def deduplicate(valid: DataFrame, *, delay: str = C.WATERMARK_DELAY,
     ``event_id``), emitted in append mode once the watermark passes the key's
     event time. It aggregates partially before the shuffle, so a key repeated
     millions of times in one micro-batch reaches its task as one row per map
-    task; the price is output delayed by the watermark."""
-    w = valid.withWatermark("timestamp", delay)
+    task; the price is output delayed by the watermark.
+
+    ``collapse``: repeats inside a task's Arrow batches go first
+    (``collapse_repeats``), for hot keys without that delay."""
+    w = (collapse_repeats(valid, keys) if collapse else valid).withWatermark("timestamp", delay)
     if mode == "state":
         return w.dropDuplicates(list(keys))
     others = [c for c in valid.columns if c not in keys]
