@@ -6,6 +6,13 @@ Parquet and reads it back as the next stage's documents.
 The two classifiers learn from all given labels (of documents that the stage
 still has); the thresholds, shingle length and bit distance are those of the
 operators' own queries.
+
+Defined cases, for every stage: a null text counts as an empty one; a row with a
+null id is scored, linked, mixed and packed like any other but is never learned
+from; rows that repeat are rows of their own (near-dedup keeps one of them);
+columns of any name go through unchanged up to the last stage; an empty table gives
+no rows. Ties: equal texts score alike, near-dedup keeps the smallest id, mixing
+takes rows of equal hash by their other columns.
 """
 
 from __future__ import annotations

@@ -39,6 +39,7 @@ SHINGLE = 4
 RADIUS = 4
 SEED = 42
 BUCKET_ROWS = 4096
+HOT = 1024                    # a fingerprint of more than 1/HOT of all rows is hot
 _BLOCK = 1 << 15              # shingles hashed at a time
 
 
@@ -204,14 +205,14 @@ def components(links: DataFrame) -> DataFrame:
 
 def component_ids(marked: DataFrame, id_col: str, *, radius: int = RADIUS,
                   bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(``_fp``, ``component_id``) for every distinct ``fp`` of a stored frame
-    with ``id_col`` and ``fp``."""
-    first = durable(marked.groupBy("fp").agg(F.min(id_col).alias("first_id")), "fingerprints")
+    """(``_fp``, ``component_id``, ``n`` rows) for every distinct ``fp`` of a stored
+    frame with ``id_col`` and ``fp``."""
+    first = durable(marked.groupBy("fp").agg(F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("n")), "fingerprints")
     member = durable(components(find_links(first.select("fp"), radius=radius, bucket_rows=bucket_rows)), "members")
     named = member.join(first, member["node"] == first["fp"]).groupBy("root").agg(F.min("first_id").alias("least_id"))
     of_fp = member.join(named, "root").select(F.col("node").alias("_node"), "least_id")
     return (first.join(of_fp, first["fp"] == of_fp["_node"], "left")
-            .select(F.col("fp").alias("_fp"), F.coalesce("least_id", "first_id").alias("component_id")))
+            .select(F.col("fp").alias("_fp"), F.coalesce("least_id", "first_id").alias("component_id"), "n"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -219,9 +220,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """One row per document: id, ``fingerprint`` (16 hex digits) and
     ``component_id`` (smallest id reachable over links)."""
     marked = durable(common.with_fields(docs, [id_col], text_col, fingerprint_column(shingle), ["fp"]), "simhash")
-    of_fp = component_ids(marked, id_col, radius=radius, bucket_rows=bucket_rows)
-    return (marked.join(of_fp, marked["fp"] == of_fp["_fp"])
-            .select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    of_fp = durable(component_ids(marked, id_col, radius=radius, bucket_rows=bucket_rows), "components")
+    # fingerprints that hold over a thousandth of all rows each: fewer than HOT of them, so
+    # they are broadcast and their rows stay where they are
+    total = of_fp.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(of_fp.filter(F.col("n") * HOT > total).select(F.col("_fp").alias("fp"), "component_id"))
+    cold = marked.join(hot.select("fp"), "fp", "left_anti").join(of_fp, F.col("fp") == F.col("_fp"))
+    columns = [id_col, "fp", "component_id"]
+    named = marked.join(hot, "fp").select(*columns).unionByName(cold.select(*columns))
+    return named.select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -229,16 +236,18 @@ def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """``docs`` with one document of each component: the one with the smallest
     id (one row of it, if the row repeats). A component without any id keeps
     one row of each of its fingerprints. Columns are those of ``docs``."""
-    ident = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit(""))
-    marked = durable(docs.withColumns({"_fp": fingerprint_column(shingle)(F.col(text_col))["fp"], "_ident": ident}),
-                     "simhash")
-    named = component_ids(marked.select(id_col, F.col("_fp").alias("fp")), id_col, radius=radius,
-                          bucket_rows=bucket_rows)
+    # the document travels as one column, so its own names cannot clash with ours
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    ident = F.coalesce(F.concat(F.lit("="), F.col(f"`{id_col}`").cast("string")), F.lit(""))
+    marked = durable(docs.select(F.col(f"`{id_col}`").alias("_id"), ident.alias("_ident"),
+                                 fingerprint_column(shingle)(F.col(f"`{text_col}`"))["fp"].alias("_fp"), row.alias("_row")), "simhash")
+    named = component_ids(marked.select("_id", F.col("_fp").alias("fp")), "_id", radius=radius, bucket_rows=bucket_rows)
     named = named.select(F.col("_fp").alias("_named_fp"),
                          F.coalesce(F.concat(F.lit("="), F.col("component_id").cast("string")), F.lit("")).alias("_named"))
     # plain equality on two columns: the join and the removal of repeats use one exchange
     kept = marked.join(named, (marked["_ident"] == named["_named"]) & (marked["_fp"] == named["_named_fp"]), "left_semi")
-    return kept.dropDuplicates(["_ident", "_fp"]).select(*docs.columns)
+    kept = kept.dropDuplicates(["_ident", "_fp"])
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
