@@ -13,9 +13,11 @@
    verified letter by letter.
 3. The trie's first levels (length and the first ``TOP`` groups) are the shuffle
    key: a word searches the up to seven subtrees that the budget reaches. A
-   subtree of more than ``trie_words`` words is dealt over several tasks by a
-   hash, and its searches go to each of them: no task holds more, nothing is
-   capped. A task reads its subtree, then the searches as a stream of batches.
+   subtree of more than ``trie_words`` words is dealt over several pieces by a
+   hash, and its searches go to each of them; one with more than ``search_words``
+   searches has its pieces several times, each with a share of the searches. No
+   task gets more of either, nothing is capped. A task reads its piece, then the
+   searches as a stream of batches.
 4. A word's form is its most frequent near word if that is ``ratio`` times as
    frequent; forms are followed to the last by pointer doubling. Counts rise
    along the way by ``ratio``, so the rounds are the logarithm of a logarithm of
@@ -47,6 +49,7 @@ LEAST_COUNT = 2
 RATIO = 10
 TRIE_WORDS = 1 << 14         # words of one subtree in one task
 TRIE_BYTES = 1 << 22
+SEARCH_WORDS = 1 << 15       # searches of one piece of a subtree in one task
 FLUSH_WORDS = 1 << 18        # distinct words a task counts before it passes them on
 SEARCH_ROWS = 1 << 14        # searches that go down together
 PAIR_BYTES = 1 << 24         # candidate letters verified at a time
@@ -240,7 +243,7 @@ def _search_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     open_key, held, trie, words, counts = None, [], None, None, None
     for batch in batches:
         reach = batch.column("reach").to_numpy()
-        key = np.stack([batch.column(c).to_numpy() for c in (*_KEY, "salt")] + [reach], axis=1)
+        key = np.stack([batch.column(c).to_numpy() for c in (*_KEY, "salt", "share")] + [reach], axis=1)
         bounds = [0, *(np.flatnonzero((np.diff(key, axis=0) != 0).any(axis=1)) + 1).tolist(), len(key)]
         for s, e in zip(bounds, bounds[1:]):
             if s == e:
@@ -266,28 +269,38 @@ def _search_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                     yield out(words.take(other), asked.take(one), asked_n.take(one))
 
 
-def near_words(words: DataFrame, *, trie_words: int = TRIE_WORDS, trie_bytes: int = TRIE_BYTES) -> DataFrame:
+def near_words(words: DataFrame, *, trie_words: int = TRIE_WORDS, trie_bytes: int = TRIE_BYTES,
+               search_words: int = SEARCH_WORDS) -> DataFrame:
     """(``word``, ``near``, ``near_n``) for every pair at one edit, in both
     directions, of a stored (``word``, ``n``) frame of distinct words."""
     text = F.decode("word", "ISO-8859-1")
     size = F.octet_length("word")
     keyed = words.select("word", "n", size.alias("len"), *[
         (size - F.length(F.replace(text, F.lit(LETTERS[k]), F.lit("")))).alias(f"c{k}") for k in range(TOP)])
-    splits = F.greatest(F.ceil(F.count(F.lit(1)) / trie_words), F.ceil(F.count(F.lit(1)) * F.col("len") / trie_bytes))
-    # one row per length and count of two letters
-    subtrees = durable(keyed.groupBy(*_KEY).agg(splits.cast("int").alias("splits")), "subtrees")
-    held = keyed.join(subtrees, _KEY).withColumn("salt", F.pmod(F.xxhash64("word"), F.col("splits")).cast("int")) \
-        .withColumn("reach", F.lit(-1))
-    reach = F.explode(F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in zip(("i", "dl", "d0", "d1"), (i, *r))])
+    steps = F.explode(F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in zip(("i", "dl", "d0", "d1"), (i, *r))])
                                 for i, r in enumerate(_REACH)])).alias("r")
-    asked = (keyed.select("word", "n", *_KEY, reach)
-             .select("word", "n", (F.col("len") + F.col("r.dl")).alias("len"), (F.col("c0") + F.col("r.d0")).alias("c0"),
-                     (F.col("c1") + F.col("r.d1")).alias("c1"), F.col("r.i").alias("reach"))
-             .join(subtrees, _KEY)
-             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("splits") - 1))))
-    rows = ["word", "n", *_KEY, "salt", "reach"]
-    dealt = (held.select(*rows).unionByName(asked.select(*rows))
-             .repartition(*_KEY, "salt").sortWithinPartitions(*_KEY, "salt", "reach"))
+    reached = [(F.col("len") + F.col("r.dl")).alias("len"), (F.col("c0") + F.col("r.d0")).alias("c0"),
+               (F.col("c1") + F.col("r.d1")).alias("c1")]
+    # one row per length and count of two letters
+    held = durable(keyed.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("held")), "subtree-sizes")
+    searches = (held.select(*_KEY, "held", steps).select(*reached, "held").groupBy(*_KEY).agg(F.sum("held").alias("asked")))
+    subtrees = durable(held.join(searches, _KEY).select(
+        *_KEY, F.greatest(F.ceil(F.col("held") / trie_words), F.ceil(F.col("held") * F.col("len") / trie_bytes)).cast("int").alias("pieces"),
+        F.ceil(F.col("asked") / search_words).cast("int").alias("shares")), "subtrees")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def one_of(n: str, seed: int):
+        return F.pmod(F.xxhash64("word", F.lit(seed)), F.col(n)).cast("int")
+
+    words_in = (keyed.join(subtrees, _KEY).withColumn("salt", one_of("pieces", 1)).withColumn("share", every("shares"))
+                .withColumn("reach", F.lit(-1)))
+    asked = (keyed.select("word", "n", *_KEY, steps).select("word", "n", *reached, F.col("r.i").alias("reach"))
+             .join(subtrees, _KEY).withColumn("share", one_of("shares", 2)).withColumn("salt", every("pieces")))
+    rows = ["word", "n", *_KEY, "salt", "share", "reach"]
+    dealt = (words_in.select(*rows).unionByName(asked.select(*rows))
+             .repartition(*_KEY, "salt", "share").sortWithinPartitions(*_KEY, "salt", "share", "reach"))
     return dealt.mapInArrow(_search_subtrees, "word binary, near binary, near_n long")
 
 
@@ -307,11 +320,11 @@ def follow(links: DataFrame) -> DataFrame:
 
 def spelling_variants(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", delete_every: int = DELETE_EVERY,
                       least_chars: int = LEAST_CHARS, least_count: int = LEAST_COUNT, ratio: int = RATIO,
-                      trie_words: int = TRIE_WORDS, trie_bytes: int = TRIE_BYTES) -> DataFrame:
+                      trie_words: int = TRIE_WORDS, trie_bytes: int = TRIE_BYTES, search_words: int = SEARCH_WORDS) -> DataFrame:
     """One row per word: ``word``, ``form``, ``root``, ``n``, ``n_near``, ``form_n``."""
     words = durable(word_counts(docs, id_col=id_col, text_col=text_col, delete_every=delete_every,
                                 least_chars=least_chars, least_count=least_count), "words")
-    near = near_words(words, trie_words=trie_words, trie_bytes=trie_bytes).groupBy("word").agg(
+    near = near_words(words, trie_words=trie_words, trie_bytes=trie_bytes, search_words=search_words).groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("_best"))
     formed = durable(words.join(near, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),

@@ -162,11 +162,11 @@ def random_texts(seed, n):
 WORD_COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
 
 
-@pytest.mark.parametrize("trie_words", [1 << 14, 3])
-def test_variants_by_definition(spark, trie_words):
+@pytest.mark.parametrize("sizes", [{}, dict(trie_words=3, search_words=5)])
+def test_variants_by_definition(spark, sizes):
     rows = random_texts(7, 60)
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, word string, n int").repartition(5)
-    got = variants.spelling_variants(docs, trie_words=trie_words)
+    got = variants.spelling_variants(docs, **sizes)
     want = wanted_words(rows)
     assert multiset(got, *WORD_COLUMNS) == want
     assert sum(r[1] is not None for r in want) > 20 and max(r[4] for r in want) > 3
