@@ -267,6 +267,8 @@ FROM (SELECT CAST(sum(n) AS BIGINT) AS total_rows,
              CAST(count(*) FILTER (WHERE humidity < 30 OR humidity > 80) AS BIGINT) AS humidity_out_of_range
       FROM tagged) r""", raw=READINGS_DUP),
     "curated_layout": _with("""SELECT *, CAST("timestamp" AS DATE) AS event_date FROM valid"""),
+    # a day's readings are far below the target size: one file
+    "curated_compaction": _with("""SELECT *, CAST("timestamp" AS DATE) AS event_date, CAST(1 AS BIGINT) AS day_files FROM valid"""),
     "consumer_run": _with(f"""SELECT DISTINCT *, NULL AS reasons, 'valid' AS sink FROM valid
 UNION ALL SELECT {_RAW_COLS}, reasons, 'invalid' FROM tagged WHERE reasons <> ''
 UNION ALL SELECT {_RAW_COLS}, NULL, 'raw' FROM raw""", raw=READINGS_DUP),

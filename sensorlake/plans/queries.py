@@ -26,7 +26,7 @@ from ..operators import summaries
 from ..operators.validate import dq_summary, reason_counts, validate_reading, with_reasons
 from ..schemas import FEATURE_STORE_COLUMNS, READING_COLUMNS
 from ..session import apply_runtime_conf, durable, read_if_exists, scratch_path
-from ..sinks.curated import read_curated, write_curated
+from ..sinks.curated import compact_curated, curated_files, read_curated, write_curated
 from ..sinks.files import (
     ISO_TIME_TEXT,
     readings_to_json,
@@ -619,6 +619,19 @@ def q_curated_layout(spark, sf_dir):
     return export(read_curated(spark, path))
 
 
+@query("curated_compaction")
+def q_curated_compaction(spark, sf_dir):
+    """B2: valid readings appended in three steps, so that days lie in many small
+    files, then packed; the rows, with the number of files of their day."""
+    path = scratch_path(spark, "curated-steps")
+    steps = durable(_arrival_steps(_valid(spark, sf_dir)), "arrivals")
+    for i in range(ARRIVALS):
+        write_curated(steps.filter(F.col("_step") == i).drop("_step"), path)
+    compact_curated(spark, path)
+    files = curated_files(spark, path).groupBy("event_date").agg(F.count(F.lit(1)).alias("day_files"))
+    return export(read_curated(spark, path).join(files, "event_date"))
+
+
 def _consumed(spark, readings: DataFrame) -> str:
     out = scratch_path(spark, "consumer")
     await_all([run_consumer(file_source(spark, _landing(spark, readings, "consumer-landing")), out, available_now=True)])

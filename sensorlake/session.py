@@ -171,6 +171,30 @@ def claim(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def publish(spark: SparkSession, path: str, content: bytes) -> bool:
+    """Puts a whole file at ``path`` if nothing is there; False if something is.
+    Readers see all of it or nothing: it is written beside first and then
+    linked (local disks) or renamed, which HDFS refuses where the target exists."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    beside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    out = files.create(beside)
+    out.write(bytearray(content))
+    out.close()
+    try:
+        if files.getUri().getScheme() != "file":
+            return files.rename(beside, target)
+        at = [spark._jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, beside)]
+        spark._jvm.java.nio.file.Files.createLink(*at)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        files.delete(beside, False)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder that this library wrote, on whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
