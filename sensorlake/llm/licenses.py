@@ -24,7 +24,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common
+from . import common, notices
 
 _LETTERS = bytes((c + 32 if 65 <= c <= 90 else c) if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256))
 
@@ -46,6 +46,13 @@ def _rule(label: str, keyword: str, pattern: str, priority: int) -> Rule:
                 {4: 1.0, 3: 0.9, 2: 0.75, 1: 0.5}[priority])
 
 
+def longest_word(pattern: str) -> str:
+    """The longest word that any match has: not one of a group, of which a match
+    may have another, and not half of one that may be written as two."""
+    plain = re.sub(r"[a-z]+ \?[a-z]+", "?", re.sub(r"\([^()]*\)\??", "", pattern))
+    return max((w for w in plain.split(" ") if re.fullmatch("[a-z0-9]+", w)), key=len)
+
+
 def build_rules() -> list[Rule]:
     """All rules, from the most to the least specific of each family.
     Priorities: 4 identifiers and whole sentences, 3 names with a version,
@@ -63,7 +70,8 @@ def build_rules() -> list[Rule]:
             label = f"{short}-{major}.{minor}"
             add(label, "spdx", rf"spdx {lic} identifier {short} {major} {minor}(?: only| or later)?", 4)
             add(label, "general", rf"(?:gnu )?{middle}general public {lic} (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?{v}(?: or (?:any )?later(?: version)?)?", 3)
-            add(label, short, rf"(?:gnu )?{short} ?v? ?{v}(?: only| or later)?", 3)
+            add(label, short, rf"(?:gnu )?{short} (?:v ?)?{v}(?: only| or later)?", 3)
+            add(label, f"{short}{major}", rf"(?:gnu )?{short}{v}", 3)
             add(label, f"{short}v{major}", rf"(?:gnu )?{short}v{v}", 3)
             add(label, "gnu", rf"gnu {short} (?:{lic} )?version {v}", 3)
         add(short, "general", rf"(?:gnu )?{middle}general public {lic}", 2)
@@ -86,7 +94,7 @@ def build_rules() -> list[Rule]:
     add("mit", "mit", rf"(?:the )?mit (?:expat )?{lic}", 2)
     add("mit", "mit", rf"(?:under|licensed under|released under) (?:the )?mit", 2)
     add("isc", "spdx", rf"spdx {lic} identifier isc", 4)
-    add("isc", "hereby", r"permission to use copy modify and or distribute this software for any purpose", 4)
+    add("isc", "purpose", r"permission to use copy modify and or distribute this software for any purpose", 4)
     add("isc", "isc", rf"isc {lic}", 2)
     add("x11", "x11", rf"x11 {lic}", 2)
     # BSD by number of clauses
@@ -97,7 +105,7 @@ def build_rules() -> list[Rule]:
         add(label, "bsd", rf"(?:{n}|{word}) clause bsd(?: {lic})?", 3)
     for name, label in (("new", "bsd-3-clause"), ("modified", "bsd-3-clause"), ("revised", "bsd-3-clause"),
                         ("simplified", "bsd-2-clause"), ("freebsd", "bsd-2-clause"), ("original", "bsd-4-clause")):
-        add(label, "bsd" if name != "freebsd" else "freebsd", rf"{name}(?: bsd)? {lic}", 3)
+        add(label, name if name == "freebsd" else "bsd", rf"{name} {lic}" if name == "freebsd" else rf"{name} bsd {lic}", 3)
     add("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification", 4)
     add("bsd", "bsd", rf"bsd(?: style)? {lic}", 2)
     # Creative Commons: terms by version, short and long
@@ -147,6 +155,12 @@ def build_rules() -> list[Rule]:
             ("copyright-notice", "copyright", r"copyright (?:c )?(?:19|20)\d\d", 1),
             ("unknown-license", "licensed", r"licensed under(?: the)?", 1), ("unknown-license", "terms", f"(?:under|subject to) the terms of (?:the|this) {lic}", 1)):
         add(label, keyword, pattern, priority)
+    # sentences of licences and notices, names without a version
+    for label, lines in notices.SENTENCES.items():
+        for sentence in lines.strip().split("\n"):
+            add(label, longest_word(sentence), sentence, 4)
+    for label, name in notices.NAMES.items():
+        add(label, longest_word(name), f"{name} {lic}", 2)
     return rules
 
 

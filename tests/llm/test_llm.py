@@ -237,6 +237,64 @@ def test_license_scan(docs, empty, rows):
     assert got[11].labels == "apache,apache-2.0,gpl,lgpl-3.0,mit"
 
 
+def _shortest(parsed) -> str:
+    """A text that an expression matches: first branches, least repeats."""
+    out = []
+    for op, arg in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            out.append(chr(arg))
+        elif kind == "NOT_LITERAL":
+            out.append("x")
+        elif kind == "IN":
+            what, value = arg[0]
+            out.append({"LITERAL": lambda: chr(value), "CATEGORY": lambda: "7", "RANGE": lambda: chr(value[0]),
+                        "NEGATE": lambda: "x"}[str(what)]())
+        elif kind == "MAX_REPEAT":
+            out.append(_shortest(arg[2]) * arg[0])
+        elif kind == "SUBPATTERN":
+            out.append(_shortest(arg[3]))
+        elif kind == "BRANCH":
+            out.append(_shortest(arg[1][0]))
+        else:
+            assert kind == "ASSERT_NOT", kind
+    return "".join(out)
+
+
+def test_every_license_rule_finds_a_text():
+    made, scanner = licenses.build_rules(), licenses.Scanner()
+    folded = {re.sub(rb"\d+(?: \d+)?", b"#", r.pattern.pattern) for r in made}
+    assert len(folded) >= 300 and len({(r.label, r.pattern.pattern) for r in made}) == len(made)
+    for r in made:
+        text = _shortest(re._parser.parse(r.pattern.pattern.decode()))
+        words = text.encode().split()
+        assert b" ".join(words) == text.encode() and r.keyword in words and r.pattern.fullmatch(text.encode()), text
+        # it, or a detection that covers it
+        kept = scanner.detections([b"before", *words, b"after"])
+        a, b = len("before "), len("before ") + len(text)
+        assert any(d.label == r.label for d in kept if (d.start, d.stop) == (a, b)) or any(
+            d.start <= a and b <= d.stop for d in kept), (r.label, text, kept)
+        assert r.label in scanner.scan(f"<< {text.upper()} >>")["labels"].split(",") or any(d.start <= a and b <= d.stop for d in kept)
+
+
+def test_license_notices_in_files():
+    scanner = licenses.Scanner()
+
+    def labels(text):
+        return set(scanner.scan(text)["labels"].split(","))
+    assert "apache-2.0" in labels("""# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.""")
+    assert {"gpl", "lgpl"} & labels("""/* This library is free software; you can redistribute it and/or
+ modify it under the terms of the GNU Lesser General Public License */""") == {"gpl", "lgpl"}
+    assert "mpl-2.0" in labels("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.")
+    assert "bsd-3-clause" in labels("Neither the name of the copyright holder nor the names of its contributors may be used to "
+                                    "endorse or promote products derived from this software without permission")
+    assert "mit-or-apache-2.0" in labels("Licensed under either of Apache License, Version 2.0 or MIT license at your option.")
+    assert "zlib" in labels("Altered source versions must be plainly marked as such")
+    # words of the sentences apart from them say nothing
+    assert labels("The author may copy a beer notice; the software company shall rest in freedom and hope.") == {""}
+
+
 def test_suppression_is_containment_by_priority():
     r = [licenses._rule("long", "b", "a b c", 3), licenses._rule("inner", "b", "b", 2),
          licenses._rule("cross", "c", "c d", 2), licenses._rule("low", "b", "a b c d e", 1), licenses._rule("all", "b", "b c", 4)]
