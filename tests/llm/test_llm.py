@@ -614,7 +614,28 @@ def test_quality_rules_ratio_is_the_multinomial_one(spark):
     assert (raw == one + two).all() and (good == one).all()
 
 
-def test_quality_rules_trust_every_good_label(spark):
+def test_trusted_bitmap_never_loses_an_id(spark, monkeypatch):
+    monkeypatch.setattr(rules, "FILTER_BITS", 16)
+    ids = spark.range(0, 40_000, 7)
+    bits = np.unpackbits(rules.bitmap(ids))
+    at = ids.select(rules._positions(F.col("id")).alias("p")).toPandas()["p"]
+    want = np.zeros(1 << 16, "uint8")
+    for p in at:
+        want[list(p)] = 1
+    assert (bits == want).all() and 0 < want.sum() <= 2 * ids.count()
+    assert not rules.bitmap(ids.limit(0)).any()
+
+
+def test_trusted_ids_of_another_type(spark):
+    d = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id int, text string")
+    ids = spark.createDataFrame([(1,), (1 << 40,), (None,)], "doc_id long")
+    _, good = rules.bucket_counts(d, ids, id_col="doc_id", text_col="text")
+    assert (good == np.bincount(rules.hashed([b"a"]), minlength=rules.BUCKETS)).all()
+
+
+@pytest.mark.parametrize("bits", [rules.FILTER_BITS, 15])       # 15: a bitmap so full that others pass it
+def test_quality_rules_trust_every_good_label(spark, monkeypatch, bits):
+    monkeypatch.setattr(rules, "FILTER_BITS", bits)
     d = spark.range(22_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 40).alias("text"))
     d = d.unionByName(spark.createDataFrame([(None, "none"), (7, "again"), (30_000, "raw")], "doc_id long, text string"))
     good = d.select("doc_id", F.lit(1).alias("quality")).filter("doc_id is null or doc_id < 22000")      # 7 is there twice
