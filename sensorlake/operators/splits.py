@@ -9,7 +9,9 @@
 
 Both number rows with ``sequence_index`` (range-partitioned, exact), so
 neither a sensor nor the whole table is ever one task, and neither needs the
-count-per-sensor self-join: the per-key count comes from the run table.
+count-per-sensor self-join: the per-key count comes from the run table. Where the
+features were numbered for their own sake and none was dropped, ``label_numbered``
+takes those numbers: the rows with a target are all but the last 12 of a sensor.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .features import ORDER
+from .features import ORDER, add_features
 from .sequence import sequence_index
 
 C_TARGET = "target_temperature"
@@ -40,6 +42,28 @@ def label_chrono(features: DataFrame, *, keys: tuple[str, ...] = ("sensor_id",),
     test). With n >= 2 the first row is always in train, so both rules agree."""
     rows = features.filter(F.col(C_TARGET).isNotNull())
     s = sequence_index(rows.drop("seq", "key_rows"), list(keys), ORDER, seq_col="row_num", count_col="total_rows")
+    return _with_split(s, drop_null_change_everywhere)
+
+
+def label_numbered(features: DataFrame, *, drop_null_change_everywhere: bool = True) -> DataFrame:
+    """``label_chrono`` of everything that ``add_features(..., with_seq=True)``
+    returned, none filtered since, by the numbers that it already has: no row is
+    sorted or stored again. A reading without a temperature (no valid one is) would
+    make other rows lack a target; it raises an error."""
+    n = F.col("key_rows") - C.TARGET_LEAD_ROWS
+    target = F.coalesce(C_TARGET, F.raise_error(F.lit("label_numbered: a reading has no temperature")).cast("double"))
+    rows = (features.filter(F.col("seq") <= n).withColumns({C_TARGET: target, "total_rows": n})
+            .withColumnRenamed("seq", "row_num").drop("key_rows"))
+    return _with_split(rows, drop_null_change_everywhere)
+
+
+def labelled_features(valid: DataFrame, *, drop_null_change_everywhere: bool = True, **feature_kw) -> DataFrame:
+    """Features and splits of validated readings with one numbering."""
+    return label_numbered(add_features(valid, with_seq=True, **feature_kw),
+                          drop_null_change_everywhere=drop_null_change_everywhere)
+
+
+def _with_split(s: DataFrame, drop_null_change_everywhere: bool) -> DataFrame:
     s = (s.withColumn("train_end", _bound("total_rows", C.TRAIN_FRACTION))
           .withColumn("validation_end", _bound("total_rows", C.VALIDATION_FRACTION)))
     split = (F.when(F.col("row_num") <= F.col("train_end"), F.lit("train"))

@@ -21,7 +21,7 @@ from ..operators.faults import inject_faults
 from ..operators.features import add_features
 from ..operators.metrics import drift_report, drift_stats, quality_gate, regression_metrics, sensor_counts
 from ..operators.reports import actual_vs_predicted, dashboard_histogram, dashboard_summary, etl_quality, preview
-from ..operators.splits import label_chrono, label_reference_current
+from ..operators.splits import label_numbered, label_reference_current, labelled_features
 from ..operators import summaries
 from ..operators.validate import dq_summary, reason_counts, validate_reading, with_reasons
 from ..schemas import FEATURE_STORE_COLUMNS, READING_COLUMNS
@@ -160,7 +160,7 @@ def q_feat_target(spark, sf_dir):
 @query("split_chrono")
 def q_split_chrono(spark, sf_dir):
     """Per-sensor chronological 70/15/15 split."""
-    lab = label_chrono(add_features(_valid(spark, sf_dir), with_seq=True))
+    lab = labelled_features(_valid(spark, sf_dir))
     return export(lab.select("event_id", "sensor_id", "timestamp", "row_num", "total_rows",
                              "train_end", "validation_end", "split"))
 
@@ -192,7 +192,7 @@ def _persistence_validation(spark, sf_dir) -> DataFrame:
     """Validation split scored by the persistence forecast (prediction =
     current temperature): a model-free prediction the metrics can be checked
     on exactly."""
-    lab = label_chrono(add_features(_valid(spark, sf_dir), with_seq=True))
+    lab = labelled_features(_valid(spark, sf_dir))
     return lab.filter(F.col("split") == "validation").withColumn("prediction", F.col("temperature"))
 
 
@@ -430,14 +430,14 @@ def _features(spark, sf_dir) -> DataFrame:
 def _champion(spark, features: DataFrame) -> Registry:
     """A registry whose champion was trained on the features' train split."""
     root = scratch_path(spark, "registry")
-    fit_and_register(label_chrono(features), registry_root=root, max_mae=CHAMPION_MAE)
+    fit_and_register(label_numbered(features), registry_root=root, max_mae=CHAMPION_MAE)
     return Registry(spark, root)
 
 
 @query("train_linear")
 def q_train_linear(spark, sf_dir):
     """M1-M2: fit on the train split; one row per coefficient."""
-    lab = label_chrono(_features(spark, sf_dir))
+    lab = label_numbered(_features(spark, sf_dir))
     return export(coefficients(spark, train_model(lab.filter(F.col("split") == "train"))), ("coefficient",))
 
 
@@ -512,7 +512,7 @@ def q_dashboard_actual_predicted(spark, sf_dir):
     """Actual against predicted temperature on the test split."""
     feats = _features(spark, sf_dir)
     champion = _champion(spark, feats).load()
-    test = label_chrono(feats).filter(F.col("split") == "test")
+    test = label_numbered(feats).filter(F.col("split") == "test")
     return export(actual_vs_predicted(predict(champion, test)).withColumns(
         {c: F.round(c, 4) for c in ("predicted", "residual")}))
 
@@ -544,7 +544,7 @@ def q_feat_humidity_trend(spark, sf_dir):
 @query("eval_test_metrics")
 def q_eval_test_metrics(spark, sf_dir):
     """MSE/MAE/RMSE/R² on the test split (persistence forecast)."""
-    lab = label_chrono(add_features(_valid(spark, sf_dir), with_seq=True))
+    lab = labelled_features(_valid(spark, sf_dir))
     pred = lab.filter(F.col("split") == "test").withColumn("prediction", F.col("temperature"))
     return export(regression_metrics(pred), ("mse", "mae", "rmse", "r2"))
 
@@ -790,7 +790,7 @@ def q_stream_csv_tail(spark, sf_dir):
 @query("hyper_search")
 def q_hyper_search(spark, sf_dir):
     """regParam x elasticNetParam grid on the chronological split."""
-    found = grid_search(durable(label_chrono(_features(spark, sf_dir)), "labelled"))
+    found = grid_search(durable(label_numbered(_features(spark, sf_dir)), "labelled"))
     return export(found, ("mse", "mae", "rmse", "r2"))
 
 

@@ -18,7 +18,7 @@ from ..ml.model import params_of, predict, train_model
 from ..ml.registry import Registry, signature
 from ..operators.features import add_features
 from ..operators.metrics import regression_metrics
-from ..operators.splits import label_chrono
+from ..operators.splits import label_numbered
 from ..operators.validate import dq_summary, validate_reading
 from ..schemas import FEATURE_STORE_COLUMNS
 from ..session import durable
@@ -72,7 +72,7 @@ def run_training(readings: DataFrame, *, registry_root: str, store_root: str | N
                partition_by=["event_date"])                                       # K3
     short = feats.groupBy("sensor_id").agg(F.max("key_rows").alias("n")) \
         .filter(F.col("n") <= C.TARGET_LEAD_ROWS).count()                       # D11
-    result = fit_and_register(label_chrono(feats), registry_root=registry_root, max_mae=max_mae,
+    result = fit_and_register(label_numbered(feats), registry_root=registry_root, max_mae=max_mae,
                               reg_param=reg_param, elastic_net=elastic_net, model_name=model_name, quality=quality)
     result.sensors_without_target = short
     return result

@@ -62,3 +62,27 @@ def test_filtered_features_are_split_by_what_is_left(spark):
     def sizes(df):
         return {r["split"]: r["count"] for r in label_chrono(df).groupBy("split").count().collect()}
     assert sizes(later) == sizes(later.drop("seq", "key_rows"))
+
+
+def test_numbers_of_the_features_give_the_same_splits(spark, readings):
+    from sensorlake.operators.features import add_features
+    from sensorlake.operators.splits import label_numbered, labelled_features
+    # sensors of 1, 12, 13, 14 and 90 readings, ties in time, a null id
+    rows = [(1000 * s + i, sid, f"2024-01-01 00:{i // 2:02d}:00", 350.0 + (i * 7) % 11, 50.0)
+            for s, (sid, n) in enumerate([("A", 1), ("B", 12), ("C", 13), ("D", 14), ("E", 90), (None, 20), ("", 30)]) for i in range(n)]
+    f = add_features(readings(rows), with_seq=True)
+    for everywhere in (True, False):
+        want = label_chrono(f, drop_null_change_everywhere=everywhere)
+        got = label_numbered(f, drop_null_change_everywhere=everywhere)
+        assert sorted(got.columns) == sorted(want.columns)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert labelled_features(readings(rows)).count() == label_chrono(f).count() > 0
+    assert labelled_features(readings([])).count() == 0
+
+
+def test_a_reading_without_temperature_is_not_split_silently(spark, readings):
+    import pytest
+    from sensorlake.operators.splits import labelled_features
+    rows = [(i, "A", f"2024-01-01 00:{i:02d}:00", None if i == 20 else 350.0, 50.0) for i in range(40)]
+    with pytest.raises(Exception, match="no temperature"):
+        labelled_features(readings(rows)).collect()
