@@ -16,8 +16,13 @@ signatures (the ``FREQUENT`` most frequent come last), so every pair is found
 whatever it is. ``with_next`` compares by the same ``likeness``.
 
 The ordered walk (each document and the next) is one exchange of the texts:
-ids are cut into ranges by sampled quantiles, every range also gets the first
+ids are cut into ranges by approximate quantiles, every range also gets the first
 document of the following one, and a task walks its sorted range as a stream.
+An id that holds a range or more, and the rows without an id, are cut further
+by the start of the text, and rows that are equal there by a random salt (the next
+document of a row is then an equal one wherever it lies). Only different long texts
+of one id with the same first 64 characters stay together. The salt follows the
+row order of the input, so documents should be a stored table.
 
 Defined cases: null text is empty; texts without an anchor (or without
 content words after one) fall back to their content words, then to all their
@@ -29,6 +34,7 @@ document follows itself; an empty table gives no rows; other columns are ignored
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -46,7 +52,8 @@ from . import common
 CHAIN = 3
 DISTANCE = 1
 RANGE_ROWS = 4096       # documents of one task's walk, about
-MAX_RANGES = 20_000     # beyond, walks get longer instead: they are sorted streams
+MAX_RANGES = 20_000     # beyond (82 million documents), walks get longer instead: they are sorted streams
+START = 64              # characters of a text that place a row among those of its hot id
 LEAST = 0.8             # likeness of near copies
 FREQUENT = 1 << 17      # signatures whose order is by their count
 _SLACK = 1e-9           # pruning never drops a pair at the threshold by rounding
@@ -117,37 +124,73 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - k] + following[:k]
 
 
+def _cuts(rows: DataFrame, hot: dict) -> dict:
+    """Where each hot id (id -> number of walks) is cut: sorted (start of the
+    text, salt) pairs, from a sample of about 8 rows a walk. Cuts only balance
+    the walks; any cuts give the same rows."""
+    if not hot:
+        return {}
+    wanted = 8 * sum(hot.values())
+    sample = rows.filter(F.rand(11) < wanted / max(wanted, rows.count())).select("_id", "_start", "_salt").collect()
+    seen = {h: [] for h in hot}
+    for ident, start, salt in sample:
+        seen[ident].append((start, salt))
+    return {h: sorted({sorted(s)[i * len(s) // hot[h]] for i in range(1, hot[h])}) if s else [] for h, s in seen.items()}
+
+
 def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = 0.0,
               range_rows: int = RANGE_ROWS) -> DataFrame:
     """Every document, in descending order of its (integer) id, against its
     edited text and the next document."""
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    ids = rows.select("_id")
-    ranges = min(MAX_RANGES, max(1, -(-ids.count() // range_rows)))
-    quantiles = ids.filter(F.col("_id").isNotNull()).approxQuantile("_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges) \
+    total, known = rows.agg(F.count(F.lit(1)), F.count("_id")).first()
+    ranges = min(MAX_RANGES, max(1, -(-known // range_rows)))
+    quantiles = rows.agg(F.percentile_approx("_id", [i / ranges for i in range(1, ranges)], 5 * ranges)).first()[0] \
         if ranges > 1 else []
-    bounds = np.unique(np.array(quantiles, "float64"))
-
-    @F.pandas_udf("long")
-    def range_of(values: pd.Series) -> pd.Series:
-        # descending: the highest ids are range 0, null ids come last
-        at = len(bounds) - np.searchsorted(bounds, values.to_numpy("float64", na_value=-np.inf), side="left")
-        return pd.Series(np.where(values.isna(), len(bounds) + 1, at))
-
-    marked = rows.withColumn("_range", range_of("_id"))
-    # the first id of each range and the range before it, the last one's being
-    # the first: at most MAX_RANGES + 2 rows, compared in the JVM, where a long
-    # beside a null stays a long
-    heads = sorted(map(tuple, ids.withColumn("_range", range_of("_id")).groupBy("_range").agg(F.max("_id")).collect()))
-    table = docs.sparkSession.createDataFrame([(r, head, heads[i - 1][0]) for i, (r, head) in enumerate(heads)],
-                                              "_range long, _head long, _before long")
-    also = F.when(F.col("_id").eqNullSafe(F.col("_head")), F.bitwise_not("_before"))     # ~range: only seen as the next document
-
-    dealt = (marked.join(F.broadcast(table), "_range")
-             .withColumn("_to", F.explode(F.array_compact(F.array("_range", also))))
+    bounds, times = np.unique(np.array(quantiles, "int64"), return_counts=True)
+    # ids that hold a range or more, and over how many walks each is dealt; None: the rows without an id
+    hot = {int(b): int(t) for b, t in zip(bounds, times) if t > 1}
+    is_hot = F.coalesce(F.col("_id").isin(list(hot)), F.lit(False))
+    if total - known > range_rows:
+        hot[None] = min(MAX_RANGES, -(-(total - known) // range_rows))
+        is_hot = is_hot | F.col("_id").isNull()
+    # the order inside a hot id is by text; the salt only deals out equal rows
+    marked = (rows.withColumn("_start", F.when(is_hot, F.substring("_text", 1, START)))
+              .withColumn("_salt", F.when(F.length("_text") <= START, F.rand(7)).otherwise(1.0)))
+    cuts = _cuts(marked.filter(is_hot), hot)
+
+    # walks in order, by range (ids descend, null ids last): those of its hot id, then that of its other ids
+    sizes = np.zeros((len(bounds) + 2, 2), "int64")
+    sizes[:, 1] = 1
+    for ident, own in cuts.items():
+        sizes[len(bounds) + 1 if ident is None else len(bounds) - np.searchsorted(bounds, ident), 0] = len(own) + 1
+    first = np.cumsum(sizes).reshape(sizes.shape) - sizes
+
+    @F.pandas_udf("int")
+    def walk_of(ident: pd.Series, absent: pd.Series, start: pd.Series, salt: pd.Series) -> pd.Series:
+        numbers, absent, cold = ident.to_numpy("int64"), absent.to_numpy(bool), start.isna().to_numpy()
+        at = np.where(absent, len(bounds) + 1, len(bounds) - np.searchsorted(bounds, numbers, side="left"))
+        walk = first[at, cold.astype(int)]
+        for i in np.flatnonzero(~cold):
+            walk[i] += bisect_right(cuts[None if absent[i] else int(numbers[i])], (start.iat[i], salt.iat[i]))
+        return pd.Series(walk)
+
+    marked = marked.withColumn("_walk", walk_of(F.coalesce("_id", F.lit(0)), F.col("_id").isNull(), "_start", "_salt"))
+    # what each walk starts with and the walk before it, the last one's being
+    # the first: at most 2.5 * MAX_RANGES + 2 rows, compared in the JVM, where a
+    # long beside a null stays a long
+    heads = sorted(map(tuple, marked.groupBy("_walk").agg(F.max("_id"), F.min("_start")).collect()), key=lambda h: h[0])
+    table = docs.sparkSession.createDataFrame([(w, head, start, heads[i - 1][0]) for i, (w, head, start) in enumerate(heads)],
+                                              "_walk int, _head long, _head_start string, _before int")
+    also = F.when(F.col("_id").eqNullSafe(F.col("_head")) & F.col("_start").eqNullSafe(F.col("_head_start")),
+                  F.bitwise_not("_before"))         # ~walk: only seen as the next document
+
+    # a walk is a partition, so the largest task does not grow with the table
+    dealt = (marked.join(F.broadcast(table), "_walk")
+             .withColumn("_to", F.explode(F.array_compact(F.array("_walk", also))))
              .select("_id", "_text", (F.col("_to") < 0).alias("_seen"),
                      F.when(F.col("_to") < 0, F.bitwise_not("_to")).otherwise(F.col("_to")).alias("_walk"))
-             .repartition(F.col("_walk"))
+             .repartitionById(max(1, int(sizes.sum())), "_walk")
              .sortWithinPartitions("_walk", "_seen", F.col("_id").desc_nulls_last(), "_text"))
     fields = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [T.LongType(), T.LongType(), T.StringType(), T.StringType(), T.StringType(), T.DoubleType(), T.DoubleType()]

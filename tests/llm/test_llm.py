@@ -473,6 +473,30 @@ def test_spotsigs_walk_keeps_rows_of_large_ids_beside_null_ids(spark):
     assert Counter(r.doc_id for r in got) == Counter(i for i, _ in made)
 
 
+@pytest.mark.parametrize("range_rows", [40, 7])
+def test_spotsigs_walk_deals_out_hot_ids(spark, range_rows):
+    rng = np.random.default_rng(5)
+    words = BASE[:12]
+    texts = [" ".join(rng.choice(words, int(rng.integers(0, 30)))) for _ in range(90)]
+    made = [(None, t) for t in texts] + [(5, t + " of the fifth") for t in texts]       # one id, and none, many texts
+    made += [(None, "")] * 130 + [(5, "the same text of one id")] * 130 + [(9, None)] * 60      # equal rows
+    made += [(i, f"the plain text of number {i} " * 4) for i in range(-20, 60)]
+    made = [made[i] for i in rng.permutation(len(made))]
+    stored = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    got = spotsigs.with_next(stored, range_rows=range_rows)
+    order = sorted(made, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    want = []
+    for i, r in enumerate(order):
+        t, n = r[1] or "", order[(i + 1) % len(order)][1] or ""
+        e = spotsigs.edited(t, n)
+        a, b, c = map(spotsigs.signatures, (t, e, n))
+        want.append((r[0], len(t), hashlib.sha256(e.encode()).hexdigest(), spotsigs.to_string(a), spotsigs.to_string(b),
+                     spotsigs.likeness(a, b), spotsigs.likeness(a, c)))
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == len(made) and max(tasks) <= 4 * range_rows
+
+
 def test_likeness_pruning():
     a, b = np.arange(0, 100, dtype="uint32"), np.arange(10, 110, dtype="uint32")
     assert spotsigs.likeness(a, b) == spotsigs.likeness(a, b, 0.8) == 90 / 110
