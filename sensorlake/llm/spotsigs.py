@@ -156,7 +156,7 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         is_hot = is_hot | F.col("_id").isNull()
     # the order inside a hot id is by text; the salt only deals out equal rows
     marked = (rows.withColumn("_start", F.when(is_hot, F.substring("_text", 1, START)))
-              .withColumn("_salt", F.when(F.length("_text") <= START, F.rand(7)).otherwise(1.0)))
+              .withColumn("_salt", F.when(is_hot & (F.length("_text") <= START), F.rand(7)).otherwise(1.0)))
     cuts = _cuts(marked.filter(is_hot), hot)
 
     # walks in order, by range (ids descend, null ids last): those of its hot id, then that of its other ids
