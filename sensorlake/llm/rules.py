@@ -8,10 +8,10 @@ first: too few words, too many repeated ones.
 
 Both counts cover every whole text of their documents; each task adds up a vector of
 ``BUCKETS`` numbers. The raw corpus is counted where it lies. Of the trusted
-documents, those whose id a bitmap of fixed size (8 MB, two bits an id) lets through
-are joined with the trusted ids: only their texts are exchanged, and an id that the
-bitmap lets through by chance ends at the join. The more trusted ids, the more it
-lets through: about 2 % of the others at 5 million ids, nearly all at 100 million.
+documents, those whose id a bitmap (two bits an id; 8 MB to 128 MB, by the number of trusted
+ids) lets through are joined with the trusted ids: only their texts are exchanged, and
+an id that the bitmap lets through by chance ends at the join. These are about 1 %
+of the others up to 64 million trusted ids, 3 % at 100 million, 71 % at a billion.
 
 Defined cases: null text has no words and fails the base rules; repeated rows
 count as often as they occur and get equal verdicts; null ids are never trusted;
@@ -38,7 +38,8 @@ SMOOTHING = 1.0
 LEAST_RATIO = -0.07       # mean log ratio that a document must reach
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-FILTER_BITS = 26
+FILTER_BITS = 26          # the bitmap's size as a power of two: 8 MB
+MOST_FILTER_BITS = 30     # and 128 MB, where there are 64 million trusted ids or more
 SALTS = 8                 # tasks that an id's rows are dealt over in the join
 _BLANKS = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -79,26 +80,32 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def _positions(ident) -> Column:
-    """Where an id stands in the bitmap of trusted ids."""
+def _positions(ident, power: int | None = None) -> Column:
+    """Where an id stands in the bitmap of trusted ids, of 2^power bits."""
     h = F.xxhash64(ident)
-    return F.array(*[F.pmod(F.shiftrightunsigned(h, 32 * i), F.lit(1 << FILTER_BITS)) for i in range(2)])
+    return F.array(*[F.pmod(F.shiftrightunsigned(h, 32 * i), F.lit(1 << (power or FILTER_BITS))) for i in range(2)])
 
 
-def bitmap(ids: DataFrame) -> np.ndarray:
-    """One bit for each position of the ids of a frame of one column: 2^FILTER_BITS
-    bits, whatever the number of ids, in blocks that are put together on Spark."""
-    block = 1 << 15
+def filter_power(n: int) -> int:
+    """Size of the bitmap for ``n`` ids: 16 bits an id or more, so that 1.4 % of
+    the others pass at most, between the two bounds."""
+    return min(MOST_FILTER_BITS, max(FILTER_BITS, (16 * n).bit_length()))
+
+
+def bitmap(ids: DataFrame, power: int | None = None) -> np.ndarray:
+    """One bit for each position of the ids of a frame of one column, 2^power
+    bits in all, in blocks that are put together on Spark."""
+    power, block = power or FILTER_BITS, 1 << 15
 
     def fill(key, rows):
         bits = np.zeros(block, bool)
         bits[rows["at"].to_numpy()] = True
         return pd.DataFrame({"block": [key[0]], "bits": [np.packbits(bits).tobytes()]})
 
-    at = ids.select(F.explode(_positions(F.col(ids.columns[0]))).alias("p")).distinct()
+    at = ids.select(F.explode(_positions(F.col(ids.columns[0]), power)).alias("p")).distinct()
     rows = (at.select((F.col("p") / block).cast("long").alias("block"), (F.col("p") % block).alias("at"))
             .groupBy("block").applyInPandas(fill, "block long, bits binary").collect())
-    out = np.zeros((1 << FILTER_BITS) // 8, "uint8")
+    out = np.zeros((1 << power) // 8, "uint8")
     for n, bits in rows:
         out[n * (block // 8):(n + 1) * (block // 8)] = np.frombuffer(bits, "uint8")
     return out
@@ -126,14 +133,15 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame, *, id_col: str, text_col:
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
     ids = trusted.select(F.col(id_col).try_cast(texts.schema["_doc"].dataType).alias("_id"))
     ids = ids.filter(F.col("_id").isNotNull()).distinct()
-    bits = bitmap(ids)
+    power = filter_power(ids.count())
+    bits = bitmap(ids, power)
 
     @F.pandas_udf("boolean")
     def may_be(first: pd.Series, second: pd.Series) -> pd.Series:
         a, b = (x.to_numpy("int64") for x in (first, second))
         return pd.Series((bits[a >> 3] >> (7 - (a & 7)).astype("uint8")) & (bits[b >> 3] >> (7 - (b & 7)).astype("uint8")) & 1 == 1)
 
-    at = _positions(F.col("_doc"))
+    at = _positions(F.col("_doc"), power)
     likely = texts.filter(F.col("_doc").isNotNull()).filter(may_be(at[0], at[1]))
     # the partition of the scan as salt: rows of one id go to as many tasks
     likely = likely.withColumn("_salt", F.spark_partition_id() % SALTS)

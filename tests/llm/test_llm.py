@@ -648,6 +648,11 @@ def test_trusted_bitmap_never_loses_an_id(spark, monkeypatch):
         want[list(p)] = 1
     assert (bits == want).all() and 0 < want.sum() <= 2 * ids.count()
     assert not rules.bitmap(ids.limit(0)).any()
+    assert [rules.filter_power(n) for n in (0, 1 << 11, 1 << 12, 1 << 25, 1 << 26, 1 << 40)] == [16, 16, 17, 30, 30, 30]
+    larger = np.unpackbits(rules.bitmap(ids, 19))
+    for i, p in enumerate(ids.select(rules._positions(F.col("id"), 19).alias("p")).toPandas()["p"]):
+        assert larger[p[0]] and larger[p[1]]
+    assert len(larger) == 1 << 19 and larger.sum() <= 2 * ids.count()
 
 
 def test_trusted_ids_of_another_type(spark):
@@ -660,6 +665,7 @@ def test_trusted_ids_of_another_type(spark):
 @pytest.mark.parametrize("bits", [rules.FILTER_BITS, 15])       # 15: a bitmap so full that others pass it
 def test_quality_rules_trust_every_good_label(spark, monkeypatch, bits):
     monkeypatch.setattr(rules, "FILTER_BITS", bits)
+    monkeypatch.setattr(rules, "MOST_FILTER_BITS", bits)
     d = spark.range(22_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 40).alias("text"))
     d = d.unionByName(spark.createDataFrame([(None, "none"), (7, "again"), (30_000, "raw")], "doc_id long, text string"))
     good = d.select("doc_id", F.lit(1).alias("quality")).filter("doc_id is null or doc_id < 22000")      # 7 is there twice
